@@ -84,13 +84,17 @@ def latest(events: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def history(events: DataFrame, keys: list[str], limits: SkewLimits) -> DataFrame:
+def history(
+    events: DataFrame, keys: list[str], limits: SkewLimits, at_most: int | None = None
+) -> DataFrame:
     """Every event with its end; of events with equal sequence the last one.
 
     One shuffle and one sort serve both: an event followed by one of the same
     sequence is superseded by it.
     """
-    closed = with_neighbours(events, keys, _order(events, keys), {END: (START, 1)}, limits)
+    closed = with_neighbours(
+        events, keys, _order(events, keys), {END: (START, 1)}, limits, at_most
+    )
     return closed.filter(F.col(END).isNull() | (F.col(END) > F.col(START)))
 
 
@@ -141,7 +145,9 @@ def merge_history(
     marked = prior.join(touched, keys, "left")
     settled = F.col("__from").isNull() | F.coalesce(F.col(END) <= F.col("__from"), F.lit(False))
     reopened = marked.filter(~settled).select(*events.columns)
-    rebuilt = history(reopened.unionByName(events), keys, limits)
+    # Counting both inputs is cheaper than counting what the join leaves of them.
+    at_most = prior.count() + events.count()
+    rebuilt = history(reopened.unionByName(events), keys, limits, at_most)
     return marked.filter(settled).select(*rebuilt.columns).unionByName(rebuilt)
 
 

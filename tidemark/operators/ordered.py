@@ -26,15 +26,22 @@ def _group_id(keys: list[str]) -> Column:
 
 
 def find_hot_groups(
-    df: DataFrame, keys: list[str], order: str, limits: SkewLimits
+    df: DataFrame,
+    keys: list[str],
+    order: str,
+    limits: SkewLimits,
+    at_most: int | None = None,
 ) -> DataFrame | None:
     """The groups too big for one task, with the bounds that cut them.
 
-    None when there are none, which a plain row count settles for small inputs.
+    None when there are none, which a plain row count settles for small inputs,
+    or ``at_most``, a bound on it, where the caller knows one.
     At most ``limits.groups`` rows reach the driver, each with fewer bounds than
     that; the returned table holds those rows as constants, so that every use of
     it in a plan cuts alike.
     """
+    if at_most is not None and at_most <= limits.rows:
+        return None
     total = df.count()
     if total <= limits.rows:
         return None
@@ -87,13 +94,14 @@ def with_neighbours(
     order: list[str],
     wanted: dict[str, tuple[str, int]],
     limits: SkewLimits,
+    at_most: int | None = None,
 ) -> DataFrame:
     """Add columns taken from the next (+1) or previous (-1) row of the group.
 
     ``wanted`` maps a new column to the source column and direction. ``order``
     starts with the column that decides; the rest break ties.
     """
-    hot = find_hot_groups(df, keys, order[0], limits)
+    hot = find_hot_groups(df, keys, order[0], limits, at_most)
     if hot is None:
         w = Window.partitionBy(*keys).orderBy(*order)
         return df.withColumns(

@@ -203,13 +203,19 @@ class CdcTable:
         """Apply change rows and commit the outcome as ``version``."""
         if scd_type not in (None, self.scd_type):
             raise ValueError(f"{self.path} is of type {self.scd_type}")
-        self.merge(
-            cdc.to_events(changes, self.keys, sequence_by, delete_when, except_columns, tie_by),
-            version,
-        )
+        events = cdc.to_events(
+            changes, self.keys, sequence_by, delete_when, except_columns, tie_by
+        ).persist()
+        try:
+            self.merge(events, version)
+        finally:
+            events.unpersist()
 
     def merge(self, events: DataFrame, version: int) -> None:
-        """Merge events in the shape of a state and commit as ``version``."""
+        """Merge events in the shape of a state and commit as ``version``.
+
+        Reads the events several times; :meth:`apply` keeps them for that.
+        """
         before = self.version_before(version)
         touched = self._bucket_ids(events) if before is not None else set()
         opened = (

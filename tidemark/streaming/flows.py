@@ -21,8 +21,6 @@ from tidemark.settings import Settings
 from tidemark.sources.changes import stream_raw
 from tidemark.sources.tables import CdcTable
 
-_FLOW_COLUMNS = [CAST_ERRORS, RAW_TEXT]
-
 
 def route_changes(
     changes: DataFrame, spec: EntitySpec, null_policy: str = "pass_deletes"
@@ -52,6 +50,18 @@ def route_changes(
     ).withColumn("reasons", F.concat(quality.failed_rules(rules), missing))
 
 
+def valid_events(routed: DataFrame, spec: EntitySpec) -> DataFrame:
+    """The valid ones of routed changes, as events of the target."""
+    return cdc.to_events(
+        routed.filter(F.col(quality.ROUTE) == quality.VALID),
+        spec.keys,
+        spec.sequence_by,
+        spec.delete_when,
+        [*spec.except_columns, CAST_ERRORS, RAW_TEXT, quality.ROUTE, "reasons"],
+        LOG_POSITION,
+    )
+
+
 def _decoded(batch: DataFrame, spec: EntitySpec) -> DataFrame:
     return decode_changes(batch, spec.row, spec.keys, position=True, diagnostics=True)
 
@@ -93,15 +103,7 @@ def run_entity(
         )
         routed = route_changes(watched, spec, null_policy).persist()
         try:
-            valid = routed.filter(F.col(quality.ROUTE) == quality.VALID)
-            table.apply(
-                valid,
-                batch_id,
-                sequence_by=spec.sequence_by,
-                delete_when=spec.delete_when,
-                except_columns=[*spec.except_columns, *_FLOW_COLUMNS, quality.ROUTE, "reasons"],
-                tie_by=LOG_POSITION,
-            )
+            table.merge(valid_events(routed, spec), batch_id)
             if rejects is not None:
                 (
                     routed.filter(F.col(quality.ROUTE) == quality.QUARANTINE)
@@ -136,14 +138,7 @@ def run_order_enriched(
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         routed = route_changes(_decoded(batch, ORDERS), ORDERS)
-        events = cdc.to_events(
-            routed.filter(F.col(quality.ROUTE) == quality.VALID),
-            ORDERS.keys,
-            ORDERS.sequence_by,
-            ORDERS.delete_when,
-            [*ORDERS.except_columns, *_FLOW_COLUMNS, quality.ROUTE, "reasons"],
-            LOG_POSITION,
-        )
+        events = valid_events(routed, ORDERS)
         # Only the last event of an order is served, so only that is looked up.
         last = cdc.latest(events, ORDERS.keys).persist()
         try:

@@ -70,6 +70,12 @@ def scd2_events(spark, sf_dir):
     return _history(derive.log_events(spark, sf_dir), ["user_id"])
 
 
+def _table(spark: SparkSession, purpose: str, key: str, scd_type: int) -> CdcTable:
+    """An empty target with as many buckets as shuffles have partitions."""
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return CdcTable(spark, work_dir(spark, purpose), [key], scd_type, buckets, SETTINGS.skew)
+
+
 def _apply_in_batches(table: CdcTable, log: DataFrame, batches: int = 3) -> DataFrame:
     """Apply a log in batches out of order, a part of it twice."""
     for batch in range(batches):
@@ -86,12 +92,12 @@ def _apply_in_batches(table: CdcTable, log: DataFrame, batches: int = 3) -> Data
 
 
 def scd2_incremental_orders(spark, sf_dir):
-    table = CdcTable(spark, work_dir(spark, "orders"), ["order_id"], scd_type=2)
+    table = _table(spark, "orders", "order_id", 2)
     return _apply_in_batches(table, derive.log_orders(spark, sf_dir))
 
 
 def scd1_incremental_events(spark, sf_dir):
-    table = CdcTable(spark, work_dir(spark, "events"), ["user_id"], scd_type=1)
+    table = _table(spark, "events", "user_id", 1)
     return _apply_in_batches(table, derive.log_events(spark, sf_dir))
 
 
@@ -231,8 +237,8 @@ def revenue_change_feed(spark, sf_dir):
 
 def synced_orders(spark, sf_dir):
     log = derive.log_orders(spark, sf_dir)
-    source = CdcTable(spark, work_dir(spark, "served"), ["order_id"], scd_type=1)
-    target = CdcTable(spark, work_dir(spark, "synced"), ["order_id"], scd_type=1)
+    source = _table(spark, "served", "order_id", 1)
+    target = _table(spark, "synced", "order_id", 1)
     early = F.col("lsn") <= AS_OF
     for version, part in enumerate((log.filter(early), log.filter(~early))):
         source.apply(
@@ -256,7 +262,7 @@ def _stream_orders(spark: SparkSession, sf_dir: str) -> tuple[CdcTable, str]:
     ).write.parquet(f"{folder}/topic")
     topic = read_changes(spark, "parquet", path=f"{folder}/topic")
     land_raw(topic, f"{folder}/raw", f"{folder}/checkpoints/raw").awaitTermination()
-    table = CdcTable(spark, f"{folder}/state_orders", ["order_id"], scd_type=2)
+    table = _table(spark, "state_orders", "order_id", 2)
     run_entity(
         spark,
         entities.ORDERS,
