@@ -40,6 +40,11 @@ def _delete(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def _touch(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target, True).close()
+
+
 def _labels(path: str) -> dict[str, str]:
     """The ``name=value`` folders of a path."""
     return dict(part.split("=", 1) for part in path.split("/") if "=" in part)
@@ -102,7 +107,10 @@ class CdcTable:
     def _parts(self, version: int) -> dict[str, dict[int, list[str]]]:
         """Folders that make up a version, by open or ended rows and bucket."""
         complete = set(complete_versions(self.spark, self.path))
-        if version not in complete:
+        expired = {
+            int(_labels(p)["version"]) for p in _list(self.spark, f"{self.path}/version=*/_EXPIRED")
+        }
+        if version not in complete or version in expired:
             raise ValueError(f"{self.path} has no complete version {version}")
         newest_first = []
         for path in _list(self.spark, f"{self.path}/version=*/kind=*/bucket=*"):
@@ -285,6 +293,9 @@ class CdcTable:
         for version in complete:
             for kind in self._parts(version).values():
                 needed.update(p for paths in kind.values() for p in paths)
+        for version in complete_versions(self.spark, self.path):
+            if version < keep_from:
+                _touch(self.spark, f"{self.path}/version={version}/_EXPIRED")
         for path in _list(self.spark, f"{self.path}/version=*/kind=*/bucket=*"):
             if int(_labels(path)["version"]) < keep_from and path not in needed:
                 _delete(self.spark, path)
