@@ -157,8 +157,8 @@ def test_published_versions_and_their_feed(spark, tmp_path):
     path = str(tmp_path / "m")
     first = spark.range(100).withColumn("n", F.col("id") % 7)
     second = first.filter("id > 3").withColumn("n", F.when(F.col("id") == 9, 99).otherwise(F.col("n")))
-    publish(first, path, 0, ["n", "id"])
-    publish(second, path, 1, ["n", "id"])
+    publish(first, path, 0, ["n"], ["id"])
+    publish(second, path, 1, ["n"], ["id"])
     assert complete_versions(spark, path) == [0, 1]
     assert rows_of(read_published(spark, path)) == rows_of(second)
     assert published_feed(spark, path, ["id"], 0, 1).count() == 6

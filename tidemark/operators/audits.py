@@ -61,24 +61,38 @@ def anomaly_shares(orders: DataFrame) -> DataFrame:
     )
 
 
-def status_transition_audit(versions: DataFrame, limits: SkewLimits = SkewLimits()) -> DataFrame:
-    """Every status change of an order and whether the lifecycle allows it."""
+def status_transition_audit(
+    versions: DataFrame,
+    limits: SkewLimits = SkewLimits(),
+    measured_on: DataFrame | None = None,
+) -> DataFrame:
+    """Every status change of an order and whether the lifecycle allows it.
+
+    Where ``versions`` are not stored, ``measured_on`` takes the events they come
+    from, which are cheaper to search for hot keys.
+    """
     steps = with_neighbours(
         versions.select("order_id", START, "status"),
         ["order_id"],
         [START],
         {"previous_status": ("status", -1)},
         limits,
+        measured_on,
     )
     return steps.filter(
         F.col("previous_status").isNotNull() & (F.col("previous_status") != F.col("status"))
     ).withColumn("legal", legal_step(F.col("previous_status"), F.col("status")))
 
 
-def price_move_audit(versions: DataFrame, limits: SkewLimits = SkewLimits()) -> DataFrame:
+def price_move_audit(
+    versions: DataFrame,
+    limits: SkewLimits = SkewLimits(),
+    measured_on: DataFrame | None = None,
+) -> DataFrame:
     """Every price change of a product; more than a tenth either way is flagged.
 
-    Compares by multiplying out, so no division loses digits.
+    Compares by multiplying out, so no division loses digits. ``measured_on`` as
+    in :func:`status_transition_audit`.
     """
     moves = with_neighbours(
         versions.select("product_id", START, "price"),
@@ -86,6 +100,7 @@ def price_move_audit(versions: DataFrame, limits: SkewLimits = SkewLimits()) ->
         [START],
         {"previous_price": ("price", -1)},
         limits,
+        measured_on,
     )
     new, old = F.col("price") * 10, F.col("previous_price")
     return moves.filter(old.isNotNull() & (old != F.col("price"))).withColumn(
@@ -114,10 +129,8 @@ def active_floor_audit(
         )
         .select("s.lsn", "s.step")
         .filter(F.col("lsn").isNotNull())
-        .groupBy("lsn")
-        .agg(F.sum("step").alias("delta"))
-        .filter(F.col("delta") != 0)
-    )
-    return with_running_total(steps, "lsn", "delta", "active_count", limits).withColumn(
-        "breach", deactivation_breach(F.col("delta"), F.col("active_count"), floor)
     )
+    deltas = steps.groupBy("lsn").agg(F.sum("step").alias("delta")).filter(F.col("delta") != 0)
+    return with_running_total(
+        deltas, "lsn", "delta", "active_count", limits, measured_on=steps
+    ).withColumn("breach", deactivation_breach(F.col("delta"), F.col("active_count"), floor))

@@ -85,7 +85,10 @@ def latest(events: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def history(
-    events: DataFrame, keys: list[str], limits: SkewLimits, at_most: int | None = None
+    events: DataFrame,
+    keys: list[str],
+    limits: SkewLimits,
+    measured_on: DataFrame | None = None,
 ) -> DataFrame:
     """Every event with its end; of events with equal sequence the last one.
 
@@ -93,7 +96,7 @@ def history(
     sequence is superseded by it.
     """
     closed = with_neighbours(
-        events, keys, _order(events, keys), {END: (START, 1)}, limits, at_most
+        events, keys, _order(events, keys), {END: (START, 1)}, limits, measured_on
     )
     return closed.filter(F.col(END).isNull() | (F.col(END) > F.col(START)))
 
@@ -145,9 +148,8 @@ def merge_history(
     marked = prior.join(touched, keys, "left")
     settled = F.col("__from").isNull() | F.coalesce(F.col(END) <= F.col("__from"), F.lit(False))
     reopened = marked.filter(~settled).select(*events.columns)
-    # Counting both inputs is cheaper than counting what the join leaves of them.
-    at_most = prior.count() + events.count()
-    rebuilt = history(reopened.unionByName(events), keys, limits, at_most)
+    inputs = prior.select(*keys, START).unionByName(events.select(*keys, START))
+    rebuilt = history(reopened.unionByName(events), keys, limits, measured_on=inputs)
     return marked.filter(settled).select(*rebuilt.columns).unionByName(rebuilt)
 
 
@@ -202,7 +204,9 @@ def collapse_unchanged(
         ).alias("__joins_after"),
     ).filter(~F.col("__joins_before") | ~F.col("__joins_after"))
     # What is left of a merged run is its first and its last version.
-    paired = with_neighbours(edges, keys, [START], {"__run_end": (END, 1)}, limits)
+    paired = with_neighbours(
+        edges, keys, [START], {"__run_end": (END, 1)}, limits, measured_on=versions
+    )
     return (
         paired.filter(~F.col("__joins_before"))
         .withColumn(END, F.when(F.col("__joins_after"), F.col("__run_end")).otherwise(F.col(END)))

@@ -39,6 +39,7 @@ def join_dimension(
     settings: Settings,
     *,
     may_be_hot: bool = True,
+    measured_on: DataFrame | None = None,
 ) -> DataFrame:
     """Equi-join of facts to a dimension that is unique on its key.
 
@@ -46,7 +47,9 @@ def join_dimension(
     for the rows of hot keys and of NULL keys: those would pile up in one task,
     so they stay where they are and meet a broadcast of just their dimension
     rows. ``how`` is ``inner`` or ``left``. With ``may_be_hot=False`` the caller
-    states that the facts are already aggregated to the key.
+    states that the facts are already aggregated to the key. ``measured_on`` is
+    where to look for hot keys, if the rows the facts come from are cheaper to
+    count than the facts.
     """
     side = dimension.withColumnRenamed(dimension_key, "__dimension_key")
     on = F.col(fact_key) == F.col("__dimension_key")
@@ -56,7 +59,8 @@ def join_dimension(
 
     if fits_broadcast(dimension, settings.broadcast_rows):
         return joined(facts, F.broadcast(side))
-    hot = hot_values(facts, fact_key, settings.skew) if may_be_hot else None
+    measured = facts if measured_on is None else measured_on
+    hot = hot_values(measured, fact_key, settings.skew) if may_be_hot else None
     if hot is None:
         return joined(facts, side)
     hot = hot.withColumnRenamed(fact_key, "__hot")

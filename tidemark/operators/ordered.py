@@ -26,22 +26,15 @@ def _group_id(keys: list[str]) -> Column:
 
 
 def find_hot_groups(
-    df: DataFrame,
-    keys: list[str],
-    order: str,
-    limits: SkewLimits,
-    at_most: int | None = None,
+    df: DataFrame, keys: list[str], order: str, limits: SkewLimits
 ) -> DataFrame | None:
     """The groups too big for one task, with the bounds that cut them.
 
-    None when there are none, which a plain row count settles for small inputs,
-    or ``at_most``, a bound on it, where the caller knows one.
+    None when there are none, which a plain row count settles for small inputs.
     At most ``limits.groups`` rows reach the driver, each with fewer bounds than
     that; the returned table holds those rows as constants, so that every use of
     it in a plan cuts alike.
     """
-    if at_most is not None and at_most <= limits.rows:
-        return None
     total = df.count()
     if total <= limits.rows:
         return None
@@ -94,14 +87,17 @@ def with_neighbours(
     order: list[str],
     wanted: dict[str, tuple[str, int]],
     limits: SkewLimits,
-    at_most: int | None = None,
+    measured_on: DataFrame | None = None,
 ) -> DataFrame:
     """Add columns taken from the next (+1) or previous (-1) row of the group.
 
     ``wanted`` maps a new column to the source column and direction. ``order``
-    starts with the column that decides; the rest break ties.
+    starts with the column that decides; the rest break ties. ``measured_on`` is
+    what to look for hot groups in, where some rows that ``df`` is made from are
+    cheaper to count than ``df`` itself and at least as many per group.
     """
-    hot = find_hot_groups(df, keys, order[0], limits, at_most)
+    measured = df if measured_on is None else measured_on
+    hot = find_hot_groups(measured, keys, order[0], limits)
     if hot is None:
         w = Window.partitionBy(*keys).orderBy(*order)
         return df.withColumns(
@@ -152,13 +148,18 @@ def with_neighbours(
 
 
 def with_running_total(
-    df: DataFrame, order: str, value: str, name: str, limits: SkewLimits
+    df: DataFrame,
+    order: str,
+    value: str,
+    name: str,
+    limits: SkewLimits,
+    measured_on: DataFrame | None = None,
 ) -> DataFrame:
     """Add the running total of ``value`` over all rows in ``order``.
 
     The whole table is one group here. ``order`` must be unique.
     """
-    hot = find_hot_groups(df, [], order, limits)
+    hot = find_hot_groups(df if measured_on is None else measured_on, [], order, limits)
     if hot is None:
         # No more than limits.rows rows, so one task is enough.
         w = Window.partitionBy(F.lit(0)).orderBy(order)

@@ -33,7 +33,10 @@ def daily_orders_by_restaurant(
         F.col("restaurant_id").alias("r_id"), F.col("name").alias("restaurant_name")
     )
     return (
-        join_dimension(per_day, names, "restaurant_id", "r_id", "inner", settings)
+        # A restaurant has a row per day at most.
+        join_dimension(
+            per_day, names, "restaurant_id", "r_id", "inner", settings, may_be_hot=False
+        )
         .groupBy("order_date", "restaurant_id", "restaurant_name")
         .agg(
             F.sum("n").alias("order_count"),
@@ -91,7 +94,9 @@ def top_products(
         F.col("restaurant_id").alias("r_id"), F.col("name").alias("restaurant_name")
     )
     return (
-        join_dimension(named, names, "restaurant_id", "r_id", "inner", settings)
+        join_dimension(
+            named, names, "restaurant_id", "r_id", "inner", settings, measured_on=products
+        )
         .groupBy("product_id", "product_name", "restaurant_id", "restaurant_name")
         .agg(
             F.sum("quantity").alias("total_quantity"),
@@ -105,11 +110,14 @@ def enrich_orders(
     customers: DataFrame,
     restaurants: DataFrame,
     settings: Settings = Settings(),
+    measured_on: DataFrame | None = None,
 ) -> DataFrame:
     """Order events with customer and restaurant context, in serving columns.
 
-    Events lacking a dimension row keep NULLs. Bookkeeping columns stay.
+    Events lacking a dimension row keep NULLs. Bookkeeping columns stay. Hot
+    customers and restaurants are looked for in ``measured_on``, or the events.
     """
+    measured = events if measured_on is None else measured_on
     with_customer = join_dimension(
         events,
         customers.select(
@@ -122,6 +130,7 @@ def enrich_orders(
         "c_id",
         "left",
         settings,
+        measured_on=measured,
     )
     with_both = join_dimension(
         with_customer,
@@ -134,6 +143,7 @@ def enrich_orders(
         "r_id",
         "left",
         settings,
+        measured_on=measured,
     )
     kept = [c for c in (cdc.START, cdc.DELETED, cdc.TIE) if c in events.columns]
     return with_both.select(
@@ -166,7 +176,9 @@ def order_enriched(
     needs the joins; earlier ones of the batch would be overwritten.
     """
     events = cdc.to_events(valid_orders, ["order_id"], "lsn", "op = 'd'", ["op", "lsn"], tie_by)
-    served = enrich_orders(cdc.latest(events, ["order_id"]), customers, restaurants, settings)
+    served = enrich_orders(
+        cdc.latest(events, ["order_id"]), customers, restaurants, settings, measured_on=events
+    )
     return served if prior is None else cdc.merge_latest(prior, served, ["order_id"])
 
 

@@ -110,7 +110,7 @@ def publish_marts(spark: SparkSession, layout: Layout, settings: Settings) -> No
         path = layout.mart(mart.name)
         done = complete_versions(spark, path)
         result = mart.build(*[current(name) for name in mart.inputs], settings)
-        publish(result, path, done[-1] + 1 if done else 0, mart.cluster_by)
+        publish(result, path, done[-1] + 1 if done else 0, mart.cluster_by, mart.keys)
 
 
 def sync_serving(spark: SparkSession, layout: Layout, settings: Settings) -> int | None:

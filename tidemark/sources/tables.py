@@ -56,11 +56,18 @@ def complete_versions(spark: SparkSession, path: str) -> list[int]:
     return sorted(int(_labels(p)["version"]) for p in done)
 
 
-def publish(df: DataFrame, path: str, version: int, cluster_by: list[str]) -> None:
-    """Write a whole table version, laid out so that filters on it skip files."""
+def publish(
+    df: DataFrame, path: str, version: int, cluster_by: list[str], keys: list[str]
+) -> None:
+    """Write a whole table version, laid out so that filters on it skip files.
+
+    The keys follow the clustering columns, so a value of those that most rows
+    share is still spread over tasks.
+    """
+    layout = list(dict.fromkeys([*cluster_by, *keys]))
     (
-        df.repartitionByRange(*cluster_by)
-        .sortWithinPartitions(*cluster_by)
+        df.repartitionByRange(*layout)
+        .sortWithinPartitions(*layout)
         .write.mode("overwrite")
         .parquet(f"{path}/version={version}")
     )

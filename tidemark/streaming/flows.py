@@ -40,14 +40,17 @@ def route_changes(
             quality.ROUTE,
             F.when(F.coalesce(quality.all_rules(rules), F.lit(False)), quality.VALID),
         )
-    unsequenced = F.col(spec.sequence_by).isNull()
+    route, unsequenced = F.col(quality.ROUTE), F.col(spec.sequence_by).isNull()
     missing = F.when(unsequenced, F.array(F.lit("sequence_present"))).otherwise(F.array())
-    return routed.withColumn(
-        quality.ROUTE,
-        F.when(unsequenced & (F.col(quality.ROUTE) == quality.VALID), quality.QUARANTINE).otherwise(
-            F.col(quality.ROUTE)
-        ),
-    ).withColumn("reasons", F.concat(quality.failed_rules(rules), missing))
+    return (
+        routed.withColumn(
+            quality.ROUTE,
+            F.when(unsequenced & (route == quality.VALID), quality.QUARANTINE).otherwise(route),
+        )
+        .withColumn("reasons", F.concat(quality.failed_rules(rules), missing))
+        # The text is for inspecting rejects; valid rows need not carry it.
+        .withColumn(RAW_TEXT, F.when(route == quality.QUARANTINE, F.col(RAW_TEXT)))
+    )
 
 
 def valid_events(routed: DataFrame, spec: EntitySpec) -> DataFrame:

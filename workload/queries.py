@@ -270,7 +270,7 @@ def _stream_orders(spark: SparkSession, sf_dir: str) -> tuple[CdcTable, str]:
         table,
         f"{folder}/checkpoints/orders",
         rejects=f"{folder}/orders_quarantine",
-        max_files_per_batch=3,
+        max_files_per_batch=4,
     )
     return table, f"{folder}/orders_quarantine"
 
@@ -301,11 +301,17 @@ def order_anomalies(spark, sf_dir):
 
 
 def status_transition_audit(spark, sf_dir):
-    return audits.status_transition_audit(scd2_orders(spark, sf_dir), SETTINGS.skew)
+    events = _events(derive.log_orders(spark, sf_dir), ["order_id"])
+    return audits.status_transition_audit(
+        scd2_orders(spark, sf_dir), SETTINGS.skew, measured_on=events
+    )
 
 
 def price_move_audit(spark, sf_dir):
-    return audits.price_move_audit(scd2_products(spark, sf_dir), SETTINGS.skew)
+    events = _events(derive.log_products(spark, sf_dir), ["product_id"])
+    return audits.price_move_audit(
+        scd2_products(spark, sf_dir), SETTINGS.skew, measured_on=events
+    )
 
 
 def active_floor_audit(spark, sf_dir):
