@@ -108,19 +108,18 @@ def with_neighbours(
         )
 
     rows = _segmented(df, keys, order[0], hot)
-    sources = sorted({source for source, _ in wanted.values()})
-    row = F.struct(*sources)
-    position = F.struct(*order)
     by_segment = Window.partitionBy(*keys).orderBy(SEGMENT)
     edges = (
         rows.filter(F.col(_BOUNDS).isNotNull())
         .groupBy(*keys, SEGMENT)
-        .agg(F.min_by(row, position).alias("__first"), F.max_by(row, position).alias("__last"))
+        .agg(*[_edge(source, step, order).alias(name) for name, (source, step) in wanted.items()])
         .select(
             *keys,
             SEGMENT,
-            F.lead("__first").over(by_segment).alias("__after"),
-            F.lag("__last").over(by_segment).alias("__before"),
+            *[
+                (F.lead if step > 0 else F.lag)(name).over(by_segment).alias(f"__edge_{name}")
+                for name, (_, step) in wanted.items()
+            ],
         )
     )
     w = Window.partitionBy(*keys, SEGMENT).orderBy(*order)
@@ -135,18 +134,24 @@ def with_neighbours(
         }
     )
     filled = {
-        name: (
-            F.when(F.col("__at_end"), F.col(f"__after.{source}")).otherwise(F.col(name))
-            if step > 0
-            else F.when(F.col("__at_start"), F.col(f"__before.{source}")).otherwise(F.col(name))
-        )
-        for name, (source, step) in wanted.items()
+        name: F.when(
+            F.col("__at_end" if step > 0 else "__at_start"), F.col(f"__edge_{name}")
+        ).otherwise(F.col(name))
+        for name, (_, step) in wanted.items()
     }
     # One row per segment of a hot group: a bounded side.
     joined = inner.join(F.broadcast(edges), [*keys, SEGMENT], "left").withColumns(filled)
     return joined.select(*df.columns, *wanted)
 
 
+def _edge(source: str, step: int, order: list[str]) -> Column:
+    """What a segment offers its neighbour: its first or its last row's value."""
+    if source == order[0]:
+        return F.min(source) if step > 0 else F.max(source)
+    position = F.struct(*order)
+    return F.min_by(source, position) if step > 0 else F.max_by(source, position)
+
+
 def with_running_total(
     df: DataFrame,
     order: str,
