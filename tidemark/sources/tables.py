@@ -29,10 +29,14 @@ OPEN, BASE, ADD = "open", "base", "add"
 
 
 def _list(spark: SparkSession, pattern: str) -> list[str]:
-    """Paths matching a pattern on whatever file system the cluster uses."""
+    """Paths matching a pattern on whatever file system the cluster uses.
+
+    Fetches them as one text; asking for each path would take a call apiece.
+    """
     path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
-    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
-    return [str(status.getPath()) for status in found or []]
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = spark._jvm.org.apache.spark.deploy.SparkHadoopUtil.get().globPath(files, path)
+    return found.mkString("\n").splitlines()
 
 
 def _delete(spark: SparkSession, path: str) -> None:
@@ -232,11 +236,10 @@ class CdcTable:
         Reads the events several times; :meth:`apply` keeps them for that.
         """
         before = self.version_before(version)
-        touched = self._bucket_ids(events) if before is not None else set()
-        opened = (
-            self.state(before, buckets=touched, open_only=True) if before is not None else None
-        )
-        rewritten: set[int] = set()
+        opened, rewritten = None, set()
+        if before is not None:
+            stored, touched = self._parts(before), self._bucket_ids(events)
+            opened = self._load(stored[OPEN], touched)
         if self.scd_type == 1:
             state = cdc.merge_latest(opened, cdc.latest(events, self.keys), self.keys)
         else:
@@ -245,7 +248,7 @@ class CdcTable:
                 rewritten = self._late_buckets(opened, events)
                 if version % self.rewrite_every == 0:
                     rewritten = touched
-                ended = self._load(self._parts(before)[BASE], rewritten)
+                ended = self._load(stored[BASE], rewritten)
                 prior = opened if ended is None else opened.unionByName(ended)
             state = cdc.merge_history(prior, events, self.keys, self.limits)
         self._write(state, version, rewritten)
