@@ -226,7 +226,8 @@ def test_a_key_with_most_rows_is_cut_into_segments(spark, keys):
     limits = SkewLimits(rows=300, groups=16)
     hot = ordered.find_hot_groups(df, keys, "lsn", limits)
     assert hot.count() == 1
-    cut = ordered._segmented(df, keys, "lsn", hot)
+    cold, cut = ordered._split_hot(df, keys, "lsn", hot)
+    assert cold.count() + cut.count() == n
     biggest = cut.groupBy(*keys, ordered.SEGMENT).count().agg(F.max("count")).first()[0]
     assert biggest <= 2 * limits.threshold(n)
     wanted = {"after": ("lsn", 1), "before": ("lsn", -1)}

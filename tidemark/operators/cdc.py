@@ -89,6 +89,7 @@ def history(
     keys: list[str],
     limits: SkewLimits,
     measured_on: DataFrame | None = None,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Every event with its end; of events with equal sequence the last one.
 
@@ -96,7 +97,7 @@ def history(
     sequence is superseded by it.
     """
     closed = with_neighbours(
-        events, keys, _order(events, keys), {END: (START, 1)}, limits, measured_on
+        events, keys, _order(events, keys), {END: (START, 1)}, limits, measured_on, partitions
     )
     return closed.filter(F.col(END).isNull() | (F.col(END) > F.col(START)))
 
@@ -127,29 +128,46 @@ def apply_changes(
     raise ValueError(f"scd_type must be 1 or 2, not {scd_type}")
 
 
-def merge_latest(prior: DataFrame | None, fresh: DataFrame, keys: list[str]) -> DataFrame:
-    """A state of last events with ``fresh``, one event per key, merged in."""
+def merge_latest(
+    prior: DataFrame | None,
+    fresh: DataFrame,
+    keys: list[str],
+    partitions: int | None = None,
+) -> DataFrame:
+    """A state of last events with ``fresh``, one event per key, merged in.
+
+    ``partitions`` fixes how many partitions the merged rows are hashed into.
+    """
     if prior is None:
-        return fresh
+        return fresh.repartition(partitions, *keys) if partitions else fresh
     touched = fresh.select(*keys)
     reopened = prior.join(touched, keys, "left_semi").select(*fresh.columns)
     settled = prior.join(touched, keys, "left_anti").select(*fresh.columns)
-    return settled.unionByName(latest(reopened.unionByName(fresh), keys))
+    both = reopened.unionByName(fresh)
+    # Two rows of a key at most, so hashing them by key piles nothing up.
+    both = both.repartition(partitions, *keys) if partitions else both
+    return settled.unionByName(latest(both, keys))
 
 
 def merge_history(
-    prior: DataFrame | None, events: DataFrame, keys: list[str], limits: SkewLimits
+    prior: DataFrame | None,
+    events: DataFrame,
+    keys: list[str],
+    limits: SkewLimits,
+    partitions: int | None = None,
 ) -> DataFrame:
-    """A history state with new events merged in."""
+    """A history state with new events merged in; ``partitions`` as above."""
     if prior is None:
-        return history(events, keys, limits)
+        return history(events, keys, limits, partitions=partitions)
     # Only rows reaching past the earliest new event of their key can change.
     touched = events.groupBy(*keys).agg(F.min(START).alias("__from"))
     marked = prior.join(touched, keys, "left")
     settled = F.col("__from").isNull() | F.coalesce(F.col(END) <= F.col("__from"), F.lit(False))
     reopened = marked.filter(~settled).select(*events.columns)
     inputs = prior.select(*keys, START).unionByName(events.select(*keys, START))
-    rebuilt = history(reopened.unionByName(events), keys, limits, measured_on=inputs)
+    rebuilt = history(
+        reopened.unionByName(events), keys, limits, measured_on=inputs, partitions=partitions
+    )
     return marked.filter(settled).select(*rebuilt.columns).unionByName(rebuilt)
 
 

@@ -71,14 +71,16 @@ def find_hot_groups(
     return spark.createDataFrame(bounds.collect(), bounds.schema)
 
 
-def _segmented(df: DataFrame, keys: list[str], order: str, hot: DataFrame) -> DataFrame:
-    """Number each row's segment: 0 for ordinary groups, by bounds for hot ones."""
-    inside = F.size(F.filter(_BOUNDS, lambda b: b <= F.col(order)))
-    return (
-        df.withColumn(_GROUP, _group_id(keys))
-        .join(F.broadcast(hot), _GROUP, "left")
-        .withColumn(SEGMENT, F.when(F.col(_BOUNDS).isNull(), 0).otherwise(inside))
+def _split_hot(
+    df: DataFrame, keys: list[str], order: str, hot: DataFrame
+) -> tuple[DataFrame, DataFrame]:
+    """The rows of ordinary groups, and those of hot groups with their segment."""
+    marked = df.withColumn(_GROUP, _group_id(keys))
+    cold = marked.join(F.broadcast(hot), _GROUP, "left_anti").drop(_GROUP)
+    cut = marked.join(F.broadcast(hot), _GROUP).withColumn(
+        SEGMENT, F.size(F.filter(_BOUNDS, lambda b: b <= F.col(order)))
     )
+    return cold, cut.drop(_GROUP, _BOUNDS)
 
 
 def with_neighbours(
@@ -88,6 +90,7 @@ def with_neighbours(
     wanted: dict[str, tuple[str, int]],
     limits: SkewLimits,
     measured_on: DataFrame | None = None,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Add columns taken from the next (+1) or previous (-1) row of the group.
 
@@ -95,23 +98,17 @@ def with_neighbours(
     starts with the column that decides; the rest break ties. ``measured_on`` is
     what to look for hot groups in, where some rows that ``df`` is made from are
     cheaper to count than ``df`` itself and at least as many per group.
+    ``partitions`` fixes how many partitions the ordinary groups are hashed into.
     """
     measured = df if measured_on is None else measured_on
     hot = find_hot_groups(measured, keys, order[0], limits)
     if hot is None:
-        w = Window.partitionBy(*keys).orderBy(*order)
-        return df.withColumns(
-            {
-                name: (F.lead if step > 0 else F.lag)(source).over(w)
-                for name, (source, step) in wanted.items()
-            }
-        )
+        return _neighbours(_hashed(df, keys, partitions), keys, order, wanted)
 
-    rows = _segmented(df, keys, order[0], hot)
+    cold, cut = _split_hot(df, keys, order[0], hot)
     by_segment = Window.partitionBy(*keys).orderBy(SEGMENT)
     edges = (
-        rows.filter(F.col(_BOUNDS).isNotNull())
-        .groupBy(*keys, SEGMENT)
+        cut.groupBy(*keys, SEGMENT)
         .agg(*[_edge(source, step, order).alias(name) for name, (source, step) in wanted.items()])
         .select(
             *keys,
@@ -122,26 +119,39 @@ def with_neighbours(
             ],
         )
     )
-    w = Window.partitionBy(*keys, SEGMENT).orderBy(*order)
-    inner = rows.withColumns(
-        {
-            **{
-                name: (F.lead if step > 0 else F.lag)(source).over(w)
-                for name, (source, step) in wanted.items()
-            },
-            "__at_end": F.lead(F.lit(1)).over(w).isNull(),
-            "__at_start": F.lag(F.lit(1)).over(w).isNull(),
-        }
+    one = cut.withColumn("__one", F.lit(1))
+    inner = _neighbours(
+        one,
+        [*keys, SEGMENT],
+        order,
+        {**wanted, "__after": ("__one", 1), "__before": ("__one", -1)},
     )
     filled = {
         name: F.when(
-            F.col("__at_end" if step > 0 else "__at_start"), F.col(f"__edge_{name}")
+            F.col("__after" if step > 0 else "__before").isNull(), F.col(f"__edge_{name}")
         ).otherwise(F.col(name))
         for name, (_, step) in wanted.items()
     }
     # One row per segment of a hot group: a bounded side.
     joined = inner.join(F.broadcast(edges), [*keys, SEGMENT], "left").withColumns(filled)
-    return joined.select(*df.columns, *wanted)
+    plain = _neighbours(_hashed(cold, keys, partitions), keys, order, wanted)
+    return plain.unionByName(joined.select(*df.columns, *wanted))
+
+
+def _hashed(df: DataFrame, keys: list[str], partitions: int | None) -> DataFrame:
+    return df.repartition(partitions, *keys) if partitions else df
+
+
+def _neighbours(
+    df: DataFrame, keys: list[str], order: list[str], wanted: dict[str, tuple[str, int]]
+) -> DataFrame:
+    w = Window.partitionBy(*keys).orderBy(*order)
+    return df.withColumns(
+        {
+            name: (F.lead if step > 0 else F.lag)(source).over(w)
+            for name, (source, step) in wanted.items()
+        }
+    )
 
 
 def _edge(source: str, step: int, order: list[str]) -> Column:
@@ -169,7 +179,7 @@ def with_running_total(
         # No more than limits.rows rows, so one task is enough.
         w = Window.partitionBy(F.lit(0)).orderBy(order)
         return df.withColumn(name, F.sum(value).over(w))
-    rows = _segmented(df, [], order, hot).drop(_GROUP, _BOUNDS)
+    _, rows = _split_hot(df, [], order, hot)
     w = Window.partitionBy(SEGMENT).orderBy(order)
     before = Window.partitionBy(F.lit(0)).orderBy(SEGMENT)
     # One row per segment, and segments are bounded.

@@ -200,7 +200,11 @@ class CdcTable:
     # Writing
 
     def _bucket(self) -> Column:
-        """The hash Spark partitions by, so a shuffle on the keys keeps buckets together."""
+        """The hash Spark partitions by.
+
+        A merge hashes rows into as many partitions as there are buckets, so each
+        task writes one bucket and a version has few files.
+        """
         return F.pmod(F.hash(*self.keys), F.lit(self.buckets))
 
     def _bucket_ids(self, rows: DataFrame) -> set[int]:
@@ -241,7 +245,8 @@ class CdcTable:
             stored, touched = self._parts(before), self._bucket_ids(events)
             opened = self._load(stored[OPEN], touched)
         if self.scd_type == 1:
-            state = cdc.merge_latest(opened, cdc.latest(events, self.keys), self.keys)
+            fresh = cdc.latest(events, self.keys)
+            state = cdc.merge_latest(opened, fresh, self.keys, self.buckets)
         else:
             prior = opened
             if opened is not None:
@@ -250,7 +255,7 @@ class CdcTable:
                     rewritten = touched
                 ended = self._load(stored[BASE], rewritten)
                 prior = opened if ended is None else opened.unionByName(ended)
-            state = cdc.merge_history(prior, events, self.keys, self.limits)
+            state = cdc.merge_history(prior, events, self.keys, self.limits, self.buckets)
         self._write(state, version, rewritten)
 
     def _late_buckets(self, opened: DataFrame, events: DataFrame) -> set[int]:
