@@ -74,6 +74,8 @@ def test_periodic_rewrite_keeps_the_rows(spark, tmp_path):
         plain.apply(part, version, **ARGUMENTS)
     assert "kind=base" in kinds(tmp_path / "t", 2)
     assert rows_of(table.read()) == rows_of(plain.read())
+    files = list((tmp_path / "t" / "version=2").rglob("*.parquet"))
+    assert len(files) <= 4 * 2 + int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def test_expire_keeps_later_versions_readable(spark, table, tmp_path):

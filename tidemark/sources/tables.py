@@ -11,7 +11,8 @@ and a batch rewrites only buckets it touches. Within a bucket, rows are kept as
 * ``add``   ended versions a batch added to those before.
 
 A batch whose events are all newer than what is stored thus neither reads nor
-rewrites ended versions, however many a key has.
+rewrites ended versions, however many a key has. Every so many batches the
+touched buckets are rewritten whole to keep files few.
 """
 
 from __future__ import annotations
@@ -95,7 +96,10 @@ def published_feed(
 
 @dataclass(frozen=True)
 class CdcTable:
-    """A target of change events, stored as described above."""
+    """A target of change events, stored as described above.
+
+    ``buckets`` stays the same over the life of a table.
+    """
 
     spark: SparkSession
     path: str
@@ -240,6 +244,7 @@ class CdcTable:
         Reads the events several times; :meth:`apply` keeps them for that.
         """
         before = self.version_before(version)
+        compact = before is not None and version % self.rewrite_every == 0
         opened, rewritten = None, set()
         if before is not None:
             stored, touched = self._parts(before), self._bucket_ids(events)
@@ -251,12 +256,12 @@ class CdcTable:
             prior = opened
             if opened is not None:
                 rewritten = self._late_buckets(opened, events)
-                if version % self.rewrite_every == 0:
+                if compact:
                     rewritten = touched
                 ended = self._load(stored[BASE], rewritten)
                 prior = opened if ended is None else opened.unionByName(ended)
             state = cdc.merge_history(prior, events, self.keys, self.limits, self.buckets)
-        self._write(state, version, rewritten)
+        self._write(state, version, rewritten, compact)
 
     def _late_buckets(self, opened: DataFrame, events: DataFrame) -> set[int]:
         """Buckets with an event older than the last stored one of its key."""
@@ -268,15 +273,25 @@ class CdcTable:
         )
         return self._bucket_ids(late)
 
-    def _write(self, state: DataFrame, version: int, rewritten: set[int]) -> None:
+    def _write(
+        self, state: DataFrame, version: int, rewritten: set[int], compact: bool
+    ) -> None:
+        """Write the rows of a version by kind and bucket.
+
+        Rows that pass through a merge stay in the tasks that read them, so files
+        grow in number. ``compact`` gathers them, by ranges that also cut within
+        a bucket and within a key.
+        """
         kind = F.lit(OPEN)
         if self.scd_type == 2:
             whole = F.col("bucket").isin(*rewritten) if rewritten else F.lit(False)
             kind = F.when(F.col(cdc.END).isNull(), OPEN).when(whole, BASE).otherwise(ADD)
+        placed = state.withColumn("bucket", self._bucket()).withColumn("kind", kind)
+        order = ["kind", "bucket", *self.keys, cdc.START]
+        if compact:
+            placed = placed.repartitionByRange(*order)
         (
-            state.withColumn("bucket", self._bucket())
-            .withColumn("kind", kind)
-            .sortWithinPartitions("kind", "bucket", *self.keys)
+            placed.sortWithinPartitions(*order)
             .write.mode("overwrite")
             .partitionBy("kind", "bucket")
             .parquet(f"{self.path}/version={version}")
