@@ -206,7 +206,7 @@ def topics(spark, tmp_path_factory):
 
 def test_staged_run_equals_batch(spark, topics, tmp_path):
     folder, write, logs = topics
-    settings = Settings(source_format="parquet", source=str(folder), buckets=4)
+    settings = Settings(source_format="parquet", source=str(folder), buckets=4, database="default")
     layout = stages.Layout(str(tmp_path))
     for half in (0, 1):
         write(half)
@@ -224,6 +224,9 @@ def test_staged_run_equals_batch(spark, topics, tmp_path):
     for mart in marts.MARTS:
         published = read_published(spark, layout.mart(mart.name))
         assert rows_of(published) == rows_of(mart.build(*[now(n) for n in mart.inputs]))
+        assert rows_of(spark.table(f"default.{mart.name}")) == rows_of(published)
+        described = spark.catalog.getTable(f"default.{mart.name}")
+        assert described.description == mart.comment
         keys = published.groupBy(*mart.keys).count().filter("count > 1").count()
         assert keys == 0
     source = stages.serving_table(spark, layout, "order_enriched", settings)

@@ -10,7 +10,7 @@ from tidemark.plans import entities
 from tidemark.plans.marts import MARTS
 from tidemark.settings import Settings
 from tidemark.sources.changes import kafka_options, land_raw, read_changes
-from tidemark.sources.tables import CdcTable, complete_versions, publish, sync_table
+from tidemark.sources.tables import CdcTable, complete_versions, name_published, publish, sync_table
 from tidemark.streaming.flows import run_entity, run_order_enriched
 
 
@@ -110,7 +110,12 @@ def publish_marts(spark: SparkSession, layout: Layout, settings: Settings) -> No
         path = layout.mart(mart.name)
         done = complete_versions(spark, path)
         result = mart.build(*[current(name) for name in mart.inputs], settings)
-        publish(result, path, done[-1] + 1 if done else 0, mart.cluster_by, mart.keys)
+        version = done[-1] + 1 if done else 0
+        publish(result, path, version, mart.cluster_by, mart.keys)
+        if settings.database:
+            name_published(
+                spark, path, version, f"{settings.database}.{mart.name}", mart.comment
+            )
 
 
 def sync_serving(spark: SparkSession, layout: Layout, settings: Settings) -> int | None:

@@ -32,7 +32,8 @@ class Settings:
     ``source`` names the brokers of a Kafka source, or for a file format the
     folder that holds a folder per topic.
     ``broadcast_rows`` bounds the dimension sides that may be broadcast; larger
-    ones take the shuffle path.  ``buckets`` is fixed over the life of a table.
+    ones take the shuffle path. ``buckets`` is fixed over the life of a table.
+    Aggregates are named in the catalog under ``database``, if one is given.
     """
 
     source_format: str = "kafka"
@@ -41,6 +42,7 @@ class Settings:
     buckets: int = 16
     broadcast_rows: int = 100_000
     rewrite_every: int = 50
+    database: str = ""
     skew: SkewLimits = SkewLimits()
 
 

@@ -85,6 +85,15 @@ def read_published(spark: SparkSession, path: str, version: int | None = None) -
     return spark.read.parquet(f"{path}/version={version}")
 
 
+def name_published(spark: SparkSession, path: str, version: int, name: str, comment: str) -> None:
+    """Point a catalog name, with its description, at a published version."""
+    quoted = comment.replace("'", "\\'")
+    spark.sql(
+        f"CREATE OR REPLACE VIEW {name} COMMENT '{quoted}' "
+        f"AS SELECT * FROM parquet.`{path}/version={version}`"
+    )
+
+
 def published_feed(
     spark: SparkSession, path: str, keys: list[str], start: int, end: int
 ) -> DataFrame:
