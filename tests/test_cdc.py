@@ -214,8 +214,8 @@ def test_unknown_history_type_is_refused(spark):
         cdc.apply_changes(None, df, keys=KEYS, scd_type=3, **ARGUMENTS)
 
 
-@pytest.mark.parametrize("keys", [["id"], []])
-def test_a_key_with_most_rows_is_cut_into_segments(spark, keys):
+@pytest.mark.parametrize("keys, rows", [(["id"], 300), (["id"], 10), ([], 300), ([], 20)])
+def test_a_key_with_most_rows_is_cut_into_segments(spark, keys, rows):
     """A hot key gives the same history, and no task gets all of its rows."""
     n = 4000
     df = spark.range(n).select(
@@ -223,13 +223,17 @@ def test_a_key_with_most_rows_is_cut_into_segments(spark, keys):
         (F.col("id") * 7 % n).alias("lsn"),
         F.lit(1).alias("v"),
     )
-    limits = SkewLimits(rows=300, groups=16)
+    limits = SkewLimits(rows=rows)
     hot = ordered.find_hot_groups(df, keys, "lsn", limits)
     assert hot.count() == 1
     cold, cut = ordered._split_hot(df, keys, "lsn", hot)
     assert cold.count() + cut.count() == n
     biggest = cut.groupBy(*keys, ordered.SEGMENT).count().agg(F.max("count")).first()[0]
     assert biggest <= 2 * limits.threshold(n)
+    counted = cut.join(F.broadcast(hot.select("__bounds"))).filter(
+        F.col(ordered.SEGMENT) != F.size(F.filter("__bounds", lambda b: b <= F.col("lsn")))
+    )
+    assert counted.count() == 0
     wanted = {"after": ("lsn", 1), "before": ("lsn", -1)}
     got = ordered.with_neighbours(df, keys, ["lsn"], wanted, limits)
     plain = ordered.with_neighbours(df, keys or [], ["lsn"], wanted, SkewLimits())

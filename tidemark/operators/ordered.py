@@ -19,6 +19,8 @@ from tidemark.settings import SkewLimits
 SEGMENT = "__segment"
 _GROUP = "__group"
 _BOUNDS = "__bounds"
+_COARSE = "__coarse"
+_EVERY = 64
 
 
 def _group_id(keys: list[str]) -> Column:
@@ -58,7 +60,9 @@ def find_hot_groups(
         sized.join(F.broadcast(cuts), _GROUP)
         .groupBy(_GROUP)
         .agg(
-            F.percentile_approx("__order", [i / most for i in range(1, most)] or [0.5]).alias("q"),
+            F.percentile_approx(
+                "__order", [i / most for i in range(1, most)] or [0.5], max(10_000, 10 * most)
+            ).alias("q"),
             F.first("__stride").alias("__stride"),
         )
         .select(
@@ -67,20 +71,27 @@ def find_hot_groups(
                 F.filter("q", lambda _, i: (i + 1) % F.col("__stride") == 0)
             ).alias(_BOUNDS),
         )
+        .withColumn(_COARSE, F.filter(_BOUNDS, lambda _, i: (i + 1) % _EVERY == 0))
     )
     return spark.createDataFrame(bounds.collect(), bounds.schema)
 
 
+def _segment(order: str) -> Column:
+    """How many bounds a row is at or past: by every 64th, then those in between."""
+    here = F.col(order)
+    coarse = F.size(F.filter(_COARSE, lambda b: b <= here)) * _EVERY
+    between = F.slice(F.col(_BOUNDS), coarse + 1, F.lit(_EVERY - 1))
+    return coarse + F.size(F.filter(between, lambda b: b <= here))
+
+
 def _split_hot(
     df: DataFrame, keys: list[str], order: str, hot: DataFrame
 ) -> tuple[DataFrame, DataFrame]:
     """The rows of ordinary groups, and those of hot groups with their segment."""
     marked = df.withColumn(_GROUP, _group_id(keys))
     cold = marked.join(F.broadcast(hot), _GROUP, "left_anti").drop(_GROUP)
-    cut = marked.join(F.broadcast(hot), _GROUP).withColumn(
-        SEGMENT, F.size(F.filter(_BOUNDS, lambda b: b <= F.col(order)))
-    )
-    return cold, cut.drop(_GROUP, _BOUNDS)
+    cut = marked.join(F.broadcast(hot), _GROUP).withColumn(SEGMENT, _segment(order))
+    return cold, cut.drop(_GROUP, _BOUNDS, _COARSE)
 
 
 def with_neighbours(

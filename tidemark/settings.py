@@ -15,11 +15,11 @@ class SkewLimits:
 
     A group is hot once it holds more than ``rows`` rows and more than a
     ``1 / groups`` share of its input, so at most ``groups`` groups are ever hot
-    whatever the data looks like.
+    and they are cut into at most twice as many pieces, whatever the data is.
     """
 
     rows: int = 1_000_000
-    groups: int = 1024
+    groups: int = 20_000
 
     def threshold(self, total: int) -> int:
         return max(self.rows, total // self.groups)

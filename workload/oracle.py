@@ -394,3 +394,6 @@ ORACLE = {
         h=_history("log_restaurants", "restaurant_id"),
     ),
 }
+# Stored and streamed forms of the same answers.
+ORACLE["published_revenue_feed"] = ORACLE["revenue_change_feed"]
+ORACLE["stream_order_enriched"] = ORACLE["order_enriched"]

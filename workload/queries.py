@@ -11,8 +11,8 @@ from tidemark.operators.decode import decode_changes
 from tidemark.plans import entities, marts
 from tidemark.settings import Settings, work_dir
 from tidemark.sources.changes import encode_changes, land_raw, read_changes
-from tidemark.sources.tables import CdcTable, sync_table
-from tidemark.streaming.flows import run_entity
+from tidemark.sources.tables import CdcTable, publish, published_feed, sync_table
+from tidemark.streaming.flows import run_entity, run_order_enriched
 from workload import derive
 
 SETTINGS = Settings()
@@ -235,6 +235,18 @@ def revenue_change_feed(spark, sf_dir):
     )
 
 
+def published_revenue_feed(spark, sf_dir):
+    """Two published versions of an aggregate and what changed between them."""
+    versions = _history(_valid_orders(spark, sf_dir), ["order_id"])
+    places = _current_restaurants(spark, sf_dir)
+    path = work_dir(spark, "revenue_by_city")
+    states = (cdc.versions_as_of(versions, AS_OF), cdc.current_versions(versions))
+    for version, orders in enumerate(states):
+        revenue = marts.revenue_by_city(orders, places, SETTINGS)
+        publish(revenue, path, version, ["city"], ["city"])
+    return published_feed(spark, path, ["city"], 0, 1)
+
+
 def synced_orders(spark, sf_dir):
     log = derive.log_orders(spark, sf_dir)
     source = _table(spark, "served", "order_id", 1)
@@ -254,14 +266,21 @@ def synced_orders(spark, sf_dir):
 
 # Streams --------------------------------------------------------------------
 
-def _stream_orders(spark: SparkSession, sf_dir: str) -> tuple[CdcTable, str]:
-    """Replay the order log as a topic of files, several batches of them."""
+def _landed_orders(spark: SparkSession, sf_dir: str) -> str:
+    """Replay the order log as a topic of files and land them; gives the folder."""
     folder = work_dir(spark, "stream")
-    encode_changes(derive.log_orders(spark, sf_dir), ["order_id"], ORDER_COLUMNS, "orders").orderBy(
-        F.xxhash64("offset")
-    ).write.parquet(f"{folder}/topic")
+    files = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    encode_changes(
+        derive.log_orders(spark, sf_dir), ["order_id"], ORDER_COLUMNS, "orders"
+    ).repartition(files, F.xxhash64("offset")).write.parquet(f"{folder}/topic")
     topic = read_changes(spark, "parquet", path=f"{folder}/topic")
     land_raw(topic, f"{folder}/raw", f"{folder}/checkpoints/raw").awaitTermination()
+    return folder
+
+
+def _stream_orders(spark: SparkSession, sf_dir: str) -> tuple[CdcTable, str]:
+    """Apply the landed order changes in several batches."""
+    folder = _landed_orders(spark, sf_dir)
     table = _table(spark, "state_orders", "order_id", 2)
     run_entity(
         spark,
@@ -287,6 +306,27 @@ def stream_quarantine(spark, sf_dir):
     )
 
 
+def stream_order_enriched(spark, sf_dir):
+    arguments = dict(sequence_by="lsn", delete_when="op = 'd'", except_columns=["op", "lsn"])
+    customers = _table(spark, "state_customers", "customer_id", 1)
+    customers.apply(derive.log_customers(spark, sf_dir), 0, **arguments)
+    restaurants = _table(spark, "state_restaurants", "restaurant_id", 2)
+    restaurants.apply(derive.log_restaurants(spark, sf_dir), 0, **arguments)
+    folder = _landed_orders(spark, sf_dir)
+    served = _table(spark, "state_served", "order_id", 1)
+    run_order_enriched(
+        spark,
+        f"{folder}/raw",
+        served,
+        customers,
+        restaurants,
+        f"{folder}/checkpoints/served",
+        settings=SETTINGS,
+        max_files_per_batch=4,
+    )
+    return served.read()
+
+
 # Audits ---------------------------------------------------------------------
 
 def order_total_reconciliation(spark, sf_dir):
@@ -346,9 +386,11 @@ QUERIES = {
         order_lookup,
         order_change_feed,
         revenue_change_feed,
+        published_revenue_feed,
         synced_orders,
         stream_scd2_orders,
         stream_quarantine,
+        stream_order_enriched,
         order_total_reconciliation,
         order_anomalies,
         status_transition_audit,
