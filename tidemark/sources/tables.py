@@ -247,10 +247,11 @@ class CdcTable:
         finally:
             events.unpersist()
 
-    def merge(self, events: DataFrame, version: int) -> None:
+    def merge(self, events: DataFrame, version: int, *, one_per_key: bool = False) -> None:
         """Merge events in the shape of a state and commit as ``version``.
 
         Reads the events several times; :meth:`apply` keeps them for that.
+        ``one_per_key`` says that they are the last of their key already.
         """
         before = self.version_before(version)
         compact = before is not None and version % self.rewrite_every == 0
@@ -259,7 +260,7 @@ class CdcTable:
             stored, touched = self._parts(before), self._bucket_ids(events)
             opened = self._load(stored[OPEN], touched)
         if self.scd_type == 1:
-            fresh = cdc.latest(events, self.keys)
+            fresh = events if one_per_key else cdc.latest(events, self.keys)
             state = cdc.merge_latest(opened, fresh, self.keys, self.buckets)
         else:
             prior = opened

@@ -144,12 +144,13 @@ def run_order_enriched(
         events = valid_events(routed, ORDERS)
         # Only the last event of an order is served, so only that is looked up.
         last = cdc.latest(events, ORDERS.keys).persist()
+        served = marts.enrich_orders(
+            last, customers.current(), restaurants.current(), settings
+        ).persist()
         try:
-            served = marts.enrich_orders(
-                last, customers.current(), restaurants.current(), settings
-            )
-            table.merge(served, batch_id)
+            table.merge(served, batch_id, one_per_key=True)
         finally:
+            served.unpersist()
             last.unpersist()
 
     _run(stream_raw(spark, raw, maxFilesPerTrigger=max_files_per_batch), checkpoint, on_batch)
