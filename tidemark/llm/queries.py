@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm import jaccard, sharding
 from tidemark.llm import quality_rules as rules
-from tidemark.llm import sharding
 from tidemark.llm.common import table
 
 
@@ -26,9 +26,14 @@ def op6_prefix_sum_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op2_adaptive_rules": op2_adaptive_rules,
     "op6_prefix_sum_shards": op6_prefix_sum_shards,
+    "op10_jaccard_join": op10_jaccard_join,
 }
 
 ORACLE: dict[str, str] = {}
