@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import jaccard, sharding
+from tidemark.llm import decontaminate, jaccard, sharding
 from tidemark.llm import quality_rules as rules
 from tidemark.llm.common import table
 
@@ -26,6 +26,15 @@ def op6_prefix_sum_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_fm_index_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contaminated_spans(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), ["doc_id"]
+    )
+    return decontaminate.report(found).select(
+        "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"
+    )
+
+
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
 
@@ -33,6 +42,7 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_adaptive_rules": op2_adaptive_rules,
     "op6_prefix_sum_shards": op6_prefix_sum_shards,
+    "op9_fm_index_decontamination": op9_fm_index_decontamination,
     "op10_jaccard_join": op10_jaccard_join,
 }
 
