@@ -39,3 +39,22 @@ def id_remainder(column: str | Column, modulus: int) -> Column:
 
 def partitions_for(df: DataFrame, at_least: int = 1) -> int:
     return max(at_least, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
+def join_groups(rows: DataFrame, groups: DataFrame, keys: list[str], salt: Column, salts: int = 32, most: int = 50_000) -> DataFrame:
+    """Left join of rows to one row per group, null keys included.
+
+    Up to ``most`` groups are broadcast, after counting them. More are shuffled, each repeated for
+    ``salts`` values of ``salt``, so that a group with a third of all rows is spread over as many keys.
+    """
+    names = {k: f"__key_{k}" for k in keys}
+    side = groups.withColumnsRenamed(names)
+    on = F.lit(True)
+    for k, other in names.items():
+        on = on & F.col(k).eqNullSafe(F.col(other))
+    if groups.limit(most + 1).count() <= most:
+        return rows.join(F.broadcast(side), on, "left").drop(*names.values())
+    salted = rows.withColumn("__salt", F.pmod(F.xxhash64(salt), F.lit(salts)).cast("int"))
+    side = side.withColumn("__copy", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    on = on & (F.col("__salt") == F.col("__copy"))
+    return salted.join(side, on, "left").drop("__salt", "__copy", *names.values())

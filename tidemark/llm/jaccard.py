@@ -372,3 +372,29 @@ def jaccard_components(docs: DataFrame, id_column: str = "doc_id", text_column:
         rows.select("doc_id", "n").join(labels, F.col("doc_id") == F.col("node"), "left")
         .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
     )
+
+
+def one_of_each(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose document stays.
+
+    Of each group of linked documents the one with the least id stays, and of several rows with
+    that id those with the least text, once. Documents without words and rows without an id stay.
+    """
+    found = stored(jaccard_components(docs, id_column, text_column), "components")
+
+    def among(ids: DataFrame) -> DataFrame:
+        """The ids, broadcast if they are few enough (8 bytes each)."""
+        few = ids.limit(2_000_001).count() <= 2_000_000
+        return F.broadcast(ids) if few else ids
+
+    gone = found.filter(F.col("component_id") != F.col("doc_id"))
+    gone = stored(gone.select(F.col("doc_id").alias("__id")).distinct(), "gone")
+    same = F.col(id_column) == F.col("__id")
+    kept = docs.join(among(gone), same, "left_anti")
+    times = found.filter("doc_id is not null").groupBy(F.col("doc_id").alias("__id"))
+    several = stored(times.count().filter("count > 1").select("__id"), "several")
+    if several.isEmpty():
+        return kept
+    least = F.min_by(F.struct(*docs.columns), F.struct(text_column))
+    once = kept.join(among(several), same, "left_semi").groupBy(id_column).agg(least.alias("__row"))
+    return kept.join(among(several), same, "left_anti").union(once.select("__row.*"))

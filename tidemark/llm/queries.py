@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, jaccard, sharding
+from tidemark.llm import decontaminate, jaccard, mixing, sharding
+from tidemark.llm import quality_classifier as quality
 from tidemark.llm import quality_rules as rules
-from tidemark.llm.common import table
+from tidemark.llm.common import id_remainder, table
 
 
 def op2_adaptive_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,6 +19,13 @@ def op2_adaptive_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_temperature_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As many tokens as there are, drawn by weights near those of equal sources."""
+    docs = table(spark, sf_dir, "documents")
+    tokens = docs.agg(F.sum(mixing.token_count(F.col("text")))).first()[0] or 0
+    return mixing.mixture(docs, mixing.Target(entropy=0.95, repeats=4.0, budget=tokens))
+
+
 def op6_prefix_sum_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.shard_documents(table(spark, sf_dir, "documents"), shards=40)
     return placed.select(
@@ -26,6 +34,16 @@ def op6_prefix_sum_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_pairwise_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = quality.scored_documents(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    )
+    return scored.select(
+        "doc_id", (id_remainder("doc_id", 3) == 1).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 def op9_fm_index_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contaminated_spans(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), ["doc_id"]
@@ -41,7 +59,9 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_adaptive_rules": op2_adaptive_rules,
+    "op5_temperature_mix": op5_temperature_mix,
     "op6_prefix_sum_shards": op6_prefix_sum_shards,
+    "op8_pairwise_quality": op8_pairwise_quality,
     "op9_fm_index_decontamination": op9_fm_index_decontamination,
     "op10_jaccard_join": op10_jaccard_join,
 }
