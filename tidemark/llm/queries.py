@@ -8,9 +8,20 @@ from pyspark.sql import functions as F
 from tidemark.llm import decontaminate, jaccard, mixing, sharding
 from tidemark.llm import quality_classifier as quality
 from tidemark.llm import quality_rules as rules
+from tidemark.llm import toxicity
 from tidemark.llm.common import id_remainder, table
 
 
+def op1_lexicon_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = toxicity.scored_documents(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    )
+    return scored.select(
+        "doc_id", (id_remainder("doc_id", 4) == 2).alias("held_out"), "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
 def op2_adaptive_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = rules.quality_rules(table(spark, sf_dir, "documents"))
     return judged.select(
@@ -58,6 +69,7 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_lexicon_toxicity": op1_lexicon_toxicity,
     "op2_adaptive_rules": op2_adaptive_rules,
     "op5_temperature_mix": op5_temperature_mix,
     "op6_prefix_sum_shards": op6_prefix_sum_shards,
