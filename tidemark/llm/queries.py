@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, jaccard, mixing, sharding
+from tidemark.llm import decontaminate, jaccard, mixing, pii, secrets, sharding
 from tidemark.llm import quality_classifier as quality
 from tidemark.llm import quality_rules as rules
 from tidemark.llm import toxicity
@@ -30,6 +30,10 @@ def op2_adaptive_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_randomness_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.report(secrets.secret_spans(table(spark, sf_dir, "documents")))
+
+
 def op5_temperature_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """As many tokens as there are, drawn by weights near those of equal sources."""
     docs = table(spark, sf_dir, "documents")
@@ -45,6 +49,10 @@ def op6_prefix_sum_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_boosted_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(pii.personal_spans(table(spark, sf_dir, "documents")))
+
+
 def op8_pairwise_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = quality.scored_documents(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
@@ -71,8 +79,10 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_lexicon_toxicity": op1_lexicon_toxicity,
     "op2_adaptive_rules": op2_adaptive_rules,
+    "op4_randomness_secrets": op4_randomness_secrets,
     "op5_temperature_mix": op5_temperature_mix,
     "op6_prefix_sum_shards": op6_prefix_sum_shards,
+    "op7_boosted_pii": op7_boosted_pii,
     "op8_pairwise_quality": op8_pairwise_quality,
     "op9_fm_index_decontamination": op9_fm_index_decontamination,
     "op10_jaccard_join": op10_jaccard_join,
