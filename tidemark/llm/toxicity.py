@@ -34,6 +34,7 @@ SAMPLE_ROWS = 24_000  # labelled rows looked at when fitting
 MAX_TERMS = 200  # terms of the lexicon
 STEM = (4, 8)  # letters of a word beginning
 LEAST_ODDS = 2.0
+EXPLAINED = 4  # chosen terms that explain a text
 WINDOW = 5
 
 # Words of saying and of address.
@@ -114,7 +115,7 @@ def candidates(counts: list[tuple[str, int, int]], toxic: int, other: int, most:
 def choose_terms(terms: list[str], other_counts: np.ndarray, texts: list[list[int]], toxic: int, other: int, bar: float, most: int = MAX_TERMS) -> list[int]:
     """Indexes of the terms taken, one after another, each the most telling for what is left.
 
-    ``texts`` has the candidates in each toxic text. A text with two chosen terms is explained and counts no more,
+    ``texts`` has the candidates in each toxic text. A text with ``EXPLAINED`` chosen terms is explained and counts no more,
     so that the words of a passage or of copies of one toxic text are not taken for toxic themselves. Of
     terms one of which begins with the other only one is taken.
     """
@@ -124,8 +125,8 @@ def choose_terms(terms: list[str], other_counts: np.ndarray, texts: list[list[in
     chosen: list[int] = []
     open_terms = np.ones(len(terms), bool)
     while len(chosen) < most and open_terms.any():
-        seen = np.bincount(term[explained[text] < 2], minlength=len(terms)).astype(float)
-        left = max(1, int((explained < 2).sum()))
+        seen = np.bincount(term[explained[text] < EXPLAINED], minlength=len(terms)).astype(float)
+        left = max(1, int((explained < EXPLAINED).sum()))
         more = (seen + 0.5) / (left + 1) > 3 * (other_counts + 0.5) / (other + 1)
         g = np.where(open_terms & (seen >= 3) & more, _surprise(np.minimum(seen, left), other_counts, left, other), -1)
         best = int(np.argmax(g))
