@@ -13,7 +13,7 @@ with sets A and B link when ``100 |A n B| >= 90 |A u B|``.
   each document's pair with its least hub is verified. Verified links make components.
   A cell that lies within one component has nothing more to say.
 * **Trees.** The other cells' documents become points, the counts of their shingles in
-  16 hash groups, in a packed R-tree per cell. The overlap of two
+  64 hash groups, in a packed R-tree per cell. The overlap of two
   sets is at most the sum of their counts' minima, and of a point and a box at most the
   sum of the minima with the box's upper corner; pairs of different components that this bound
   lets pass are verified. A cell with many documents is split into blocks, and each pair
@@ -29,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.blocks import NOT_SPACE, U64, Words, mix, sort_rows, word_chunks
@@ -37,7 +37,8 @@ from tidemark.llm.common import stored
 from tidemark.llm.links import components
 
 SHINGLE = 3
-GROUPS = 16
+GROUPS = 64
+COARSE = 16  # groups merged for a first, cheaper look at a pair
 NODE = 16  # points of a tree node
 BLOCK = 4096  # documents of a cell that one task compares with as many others
 SPARE = 1
@@ -257,16 +258,29 @@ def least_overlap(n: np.ndarray, m: np.ndarray | None) -> np.ndarray:
 
 
 def _pairs_in(ids, comp, points, side) -> tuple[np.ndarray, np.ndarray]:
-    left = np.flatnonzero(side != 2)
-    right = np.flatnonzero(side != 1)
-    tree = PackedTree(points[right])
-    found = []
-    for k in range(0, len(left), 256):
-        q = left[k : k + 256]
-        at, hit = tree.search(points[q], least_overlap)
-        i, j = q[at], right[hit]
-        ok = (comp[i] != comp[j]) & (ids[i] != ids[j])
-        found.append(np.stack([np.minimum(ids[i], ids[j])[ok], np.maximum(ids[i], ids[j])[ok]]))
+    """Pairs of different components whose overlap bound lets them link.
+
+    Both kinds of rows of the most frequent component have nothing to say to each other, so
+    the others are searched for among all, from either side.
+    """
+    names, back, times = np.unique(comp, return_inverse=True, return_counts=True)
+    few = back != np.argmax(times)
+    coarse = points.reshape(len(points), COARSE, -1).sum(axis=2)
+    found = [np.zeros((2, 0), np.int64)]
+    for left, right in (((side != 2) & few, side != 1), ((side != 2) & ~few, (side != 1) & few)):
+        left, right = np.flatnonzero(left), np.flatnonzero(right)
+        if not len(left) or not len(right):
+            continue
+        tree = PackedTree(coarse[right])
+        for k in range(0, len(left), 256):
+            q = left[k : k + 256]
+            at, hit = tree.search(coarse[q], least_overlap)
+            i, j = q[at], right[hit]
+            ok = (comp[i] != comp[j]) & (ids[i] != ids[j])
+            i, j = i[ok], j[ok]
+            sizes = points.sum(axis=1)
+            ok = np.minimum(points[i], points[j]).sum(axis=1) >= needed(sizes[i], sizes[j])
+            found.append(np.stack([np.minimum(ids[i], ids[j])[ok], np.maximum(ids[i], ids[j])[ok]]))
     both = np.unique(np.concatenate(found, axis=1), axis=1)
     return both[0], both[1]
 
@@ -282,7 +296,7 @@ def _cell_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = pa.Table.from_batches(held)
         col = lambda c: t.column(c).combine_chunks().to_numpy(zero_copy_only=False)
         points = np.frombuffer(b"".join(t.column("counts").to_pylist()), np.uint32)
-        a, b = _pairs_in(col("doc_id"), col("comp"), points.reshape(-1, GROUPS).astype(np.int64), col("side"))
+        a, b = _pairs_in(col("doc_id"), col("comp"), points.reshape(-1, GROUPS).astype(np.int32), col("side"))
         return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
     last = None
@@ -334,9 +348,9 @@ def jaccard_components(docs: DataFrame, id_column: str = "doc_id", text_column:
         "classes",
     )
     in_cells = known.filter(F.size("cell") > 0).select(F.explode("cell").alias("cell"), "doc_id")
-    shared = in_cells.groupBy("cell").agg(F.min("doc_id").alias("hub"), F.max("doc_id").alias("other"))
-    shared = shared.filter("hub < other").select("cell", "hub")
-    meet = stored(in_cells.join(shared, "cell").distinct(), "meetings")
+    alike = Window.partitionBy("cell")
+    both_ends = in_cells.withColumn("hub", F.min("doc_id").over(alike)).withColumn("last", F.max("doc_id").over(alike))
+    meet = stored(both_ends.filter("hub < last").drop("last"), "meetings")
     firsts = meet.filter("doc_id > hub").groupBy("doc_id").agg(F.min("hub").alias("hub"))
     firsts = stored(firsts.select(F.col("hub").alias("a"), F.col("doc_id").alias("b")), "hubs")
     sets = _sets_of(texts, meet.select("doc_id").distinct().repartition(1))
