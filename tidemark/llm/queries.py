@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, jaccard, mixing, pii, secrets, sharding
+from tidemark.llm import decontaminate, jaccard, lm_scoring, mixing, pii, secrets, sharding
 from tidemark.llm import quality_classifier as quality
 from tidemark.llm import quality_rules as rules
 from tidemark.llm import toxicity
@@ -30,6 +30,12 @@ def op2_adaptive_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_cross_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The target is what labels call good and not toxic; below 0 is nearer to it than the average."""
+    target = table(spark, sf_dir, "labels").filter("quality = 1 and toxic = 0")
+    return lm_scoring.cross_entropy_difference(table(spark, sf_dir, "documents"), target)
+
+
 def op4_randomness_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(secrets.secret_spans(table(spark, sf_dir, "documents")))
 
@@ -79,6 +85,7 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_lexicon_toxicity": op1_lexicon_toxicity,
     "op2_adaptive_rules": op2_adaptive_rules,
+    "op3_cross_entropy": op3_cross_entropy,
     "op4_randomness_secrets": op4_randomness_secrets,
     "op5_temperature_mix": op5_temperature_mix,
     "op6_prefix_sum_shards": op6_prefix_sum_shards,
