@@ -1,4 +1,4 @@
-"""The registered queries of the text operators, and their SQL twins."""
+"""The registered queries of the text operators."""
 
 from __future__ import annotations
 
@@ -44,7 +44,8 @@ def op5_temperature_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """As many tokens as there are, drawn by weights near those of equal sources."""
     docs = table(spark, sf_dir, "documents")
     tokens = docs.agg(F.sum(mixing.token_count(F.col("text")))).first()[0] or 0
-    return mixing.mixture(docs, mixing.Target(entropy=0.95, repeats=4.0, budget=tokens))
+    draws = mixing.mixture(docs, mixing.Target(entropy=0.95, repeats=4.0, budget=tokens))
+    return draws.withColumn("weight", F.round("weight", 12))
 
 
 def op6_prefix_sum_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -94,5 +95,3 @@ QUERIES = {
     "op9_fm_index_decontamination": op9_fm_index_decontamination,
     "op10_jaccard_join": op10_jaccard_join,
 }
-
-ORACLE: dict[str, str] = {}
