@@ -12,7 +12,7 @@ DUCK_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "boolea
 DIR = os.environ.get("ORACLE_SF_DIR", SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(oracle_sql()))
 def test_query_equals_sql(spark, name):
     got = queries()[name](spark, DIR)
     types, expected = oracle_rows(oracle_sql()[name], DIR)
