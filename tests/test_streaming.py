@@ -206,7 +206,10 @@ def topics(spark, tmp_path_factory):
 
 def test_staged_run_equals_batch(spark, topics, tmp_path):
     folder, write, logs = topics
-    settings = Settings(source_format="parquet", source=str(folder), buckets=4, database="default")
+    settings = Settings(
+        source_format="parquet", source=str(folder), topic_prefix="delivery.public.", buckets=4,
+        database="default",
+    )
     layout = stages.Layout(str(tmp_path))
     for half in (0, 1):
         write(half)

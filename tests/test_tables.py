@@ -78,7 +78,8 @@ def test_periodic_rewrite_keeps_the_rows(spark, tmp_path):
     assert len(files) <= 4 * 2 + int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def test_expire_keeps_later_versions_readable(spark, table, tmp_path):
+def test_expire_keeps_later_versions_readable(spark, tmp_path):
+    table = CdcTable(spark, str(tmp_path / "t"), ["id"], 2, buckets=4, rewrite_every=1)
     for version in range(3):
         table.apply(changes(spark, version, since=version * 1000), version, **ARGUMENTS)
     expected = {2: rows_of(table.read(2))}
@@ -166,6 +167,92 @@ def test_published_versions_and_their_feed(spark, tmp_path):
     assert published_feed(spark, path, ["id"], 0, 1).count() == 6
 
 
-def test_changing_tables_are_not_streamed(spark):
-    with pytest.raises(ValueError):
-        stream_raw(spark, "/somewhere/state_orders")
+def test_feed_of_unchanged_null_keys_is_empty(spark):
+    rows = [(None, 2), (1, 1), (2, None)]
+    before = spark.createDataFrame([*rows, (3, 3)], "id int, v int")
+    after = spark.createDataFrame([*rows, (4, 4)], "id int, v int")
+    got = rows_of(change_feed(before, after, ["id"]), [CHANGE, "id", "v"])
+    assert set(got) == {("delete", 3, 3), ("insert", 4, 4)}
+    assert set(rows_of(change_feed(before, after.filter("id > 3"), ["id"]), ["id"])) == {
+        (None,), (1,), (2,), (3,), (4,),
+    }
+
+
+def test_changing_tables_are_not_streamed(spark, tmp_path):
+    """By what a folder holds, not by its name."""
+    table = CdcTable(spark, str(tmp_path / "served-1"), ["id"], 1, buckets=2)
+    table.apply(changes(spark, 1), 0, **ARGUMENTS)
+    publish(spark.range(3), str(tmp_path / "mart"), 0, ["id"], ["id"])
+    for name in ("served-1", "mart"):
+        with pytest.raises(ValueError):
+            stream_raw(spark, str(tmp_path / name))
+    (tmp_path / "state_x").mkdir()
+    assert stream_raw(spark, str(tmp_path / "state_x")).isStreaming
+
+
+@pytest.mark.parametrize("scd_type", [1, 2])
+def test_lower_and_foreign_versions_are_refused(spark, tmp_path, scd_type):
+    table = CdcTable(spark, str(tmp_path / "t"), ["id"], scd_type, buckets=4)
+    table.apply(changes(spark, 1), 0, writer="a", **ARGUMENTS)
+    table.apply(changes(spark, 2, since=1000), 1, writer="a", **ARGUMENTS)
+    before = rows_of(table.read())
+    for version, writer in ((0, "a"), (0, "b"), (1, "b")):  # a lost checkpoint starts at 0 again
+        with pytest.raises(ValueError):
+            table.apply(changes(spark, 9), version, writer=writer, **ARGUMENTS)
+    assert rows_of(table.read()) == before
+    table.apply(changes(spark, 2, since=1000), 1, writer="a", **ARGUMENTS)
+    assert rows_of(table.read()) == before
+
+
+def test_a_cluster_without_success_marks_is_noticed(spark, table):
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    conf.set("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+    try:
+        with pytest.raises(RuntimeError):
+            table.apply(changes(spark, 1), 0, **ARGUMENTS)
+    finally:
+        conf.unset("mapreduce.fileoutputcommitter.marksuccessfuljobs")
+
+
+@pytest.mark.parametrize("scd_type", [1, 2])
+def test_a_small_batch_writes_what_it_changes(spark, tmp_path, scd_type):
+    table = CdcTable(spark, str(tmp_path / "t"), ["id"], scd_type, buckets=35)
+    base = spark.range(20_000).selectExpr("id", "id AS lsn", "'u' AS op", "cast(id % 7 AS int) AS v")
+    table.apply(base, 0, **ARGUMENTS)
+    batch = spark.range(0, 20_000, 50).selectExpr("id", "id + 100000 AS lsn", "'u' AS op", "9 AS v")
+    table.apply(batch, 1, **ARGUMENTS)
+    folder = tmp_path / "t" / "version=1"
+    assert spark.read.parquet(str(folder)).count() <= 3 * 400
+    folders = list(folder.glob("kind=*/bucket=*"))
+    assert len(list(folder.rglob("*.parquet"))) <= 2 * len(folders)
+    assert table.current().filter("v = 9").count() == 400
+
+
+def test_buckets_are_folded_by_what_has_piled_up(spark, tmp_path):
+    """However the batches are numbered."""
+    table = CdcTable(spark, str(tmp_path / "t"), ["id"], 2, buckets=2, rewrite_every=3)
+    plain = CdcTable(spark, str(tmp_path / "p"), ["id"], 2, buckets=2)
+    for k, version in enumerate(range(1, 21, 2)):
+        for t in (table, plain):
+            t.apply(changes(spark, version, rows=60, since=k * 1000), version, **ARGUMENTS)
+        parts = table._parts(version)
+        assert max(len(p) for side in parts.values() for p in side.values()) <= 4
+    assert rows_of(table.read()) == rows_of(plain.read())
+    assert rows_of(table.current()) == rows_of(plain.current())
+
+
+def test_a_filter_on_the_clustering_column_skips_files(spark, tmp_path):
+    path = str(tmp_path / "m")
+    rows = spark.range(50_000).selectExpr("id", "cast(id % 100 AS int) AS day")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        publish(rows, path, 0, ["day"], ["id"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    import pyarrow.parquet as pq
+
+    bounds = []
+    for file in (tmp_path / "m" / "version=0").glob("*.parquet"):
+        stats = pq.ParquetFile(file).metadata.row_group(0).column(1).statistics
+        bounds.append((stats.min, stats.max))
+    assert len(bounds) > 1 and sum(a <= 7 <= b for a, b in bounds) < len(bounds)

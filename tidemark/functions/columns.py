@@ -56,10 +56,3 @@ def deactivation_breach(delta: Column, active_after: Column, floor: int) -> Colu
     """Whether a net deactivation left fewer active rows than the floor."""
     return (delta < 0) & (active_after < floor)
 
-
-def same_rows(left: str, right: str, columns: list[str]) -> Column:
-    """Null-safe equality of two aliased rows over the given columns."""
-    same = F.lit(True)
-    for name in columns:
-        same = same & F.col(f"{left}.`{name}`").eqNullSafe(F.col(f"{right}.`{name}`"))
-    return same

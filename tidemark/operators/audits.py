@@ -48,7 +48,7 @@ def anomaly_shares(orders: DataFrame) -> DataFrame:
     ]
     return (
         label_anomalies(orders)
-        .groupBy(F.to_date("created_at").alias("order_date"))
+        .groupBy(F.col("created_at").try_cast("date").alias("order_date"))
         .agg(F.array(*per_kind).alias("kinds"), F.count(F.lit(1)).alias("day_orders"))
         .select("order_date", "day_orders", F.explode("kinds").alias("k"))
         .filter("k.orders > 0")

@@ -23,18 +23,26 @@ START, END, DELETED, TIE = "__START_AT", "__END_AT", "__deleted", "__tie"
 _BOOKKEEPING = (START, END, DELETED, TIE)
 
 
-def usable_changes(changes: DataFrame, keys: list[str], sequence_by: str) -> DataFrame:
+def _column(expression: Column | str) -> Column:
+    return F.expr(expression) if isinstance(expression, str) else expression
+
+
+def usable_changes(
+    changes: DataFrame, keys: list[str], sequence_by: Column | str
+) -> DataFrame:
     """Change rows that can be applied: every key and the sequence are present."""
     return changes.filter(_usable(keys, sequence_by))
 
 
-def unusable_changes(changes: DataFrame, keys: list[str], sequence_by: str) -> DataFrame:
+def unusable_changes(
+    changes: DataFrame, keys: list[str], sequence_by: Column | str
+) -> DataFrame:
     """The rest of the change rows, for the rejects table."""
     return changes.filter(~_usable(keys, sequence_by))
 
 
-def _usable(keys: list[str], sequence_by: str) -> Column:
-    usable = F.col(sequence_by).isNotNull()
+def _usable(keys: list[str], sequence_by: Column | str) -> Column:
+    usable = _column(sequence_by).isNotNull()
     for key in keys:
         usable = usable & F.col(key).isNotNull()
     return usable
@@ -43,18 +51,18 @@ def _usable(keys: list[str], sequence_by: str) -> Column:
 def to_events(
     changes: DataFrame,
     keys: list[str],
-    sequence_by: str,
+    sequence_by: Column | str,
     delete_when: Column | str,
     except_columns: list[str],
     tie_by: list[str] | None = None,
 ) -> DataFrame:
     """Change rows in the shape of a state, without ends."""
-    deleted = F.expr(delete_when) if isinstance(delete_when, str) else delete_when
+    deleted = _column(delete_when)
     dropped = {*except_columns, *(tie_by or [])} - set(keys)
     usable = usable_changes(changes, keys, sequence_by)
     return usable.select(
         *[c for c in changes.columns if c not in dropped],
-        F.col(sequence_by).alias(START),
+        _column(sequence_by).alias(START),
         F.coalesce(deleted, F.lit(False)).alias(DELETED),
         *([F.struct(*tie_by).alias(TIE)] if tie_by else []),
     )
@@ -107,7 +115,7 @@ def apply_changes(
     changes: DataFrame,
     *,
     keys: list[str],
-    sequence_by: str,
+    sequence_by: Column | str,
     delete_when: Column | str,
     except_columns: list[str],
     scd_type: int,
@@ -140,13 +148,8 @@ def merge_latest(
     """
     if prior is None:
         return fresh.repartition(partitions, *keys) if partitions else fresh
-    touched = fresh.select(*keys)
-    reopened = prior.join(touched, keys, "left_semi").select(*fresh.columns)
-    settled = prior.join(touched, keys, "left_anti").select(*fresh.columns)
-    both = reopened.unionByName(fresh)
-    # Two rows of a key at most, so hashing them by key piles nothing up.
-    both = both.repartition(partitions, *keys) if partitions else both
-    return settled.unionByName(latest(both, keys))
+    both = prior.select(*fresh.columns).unionByName(fresh)
+    return latest(both.repartition(partitions, *keys) if partitions else both, keys)
 
 
 def merge_history(

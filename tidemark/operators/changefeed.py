@@ -15,13 +15,16 @@ BEFORE, AFTER = "update_preimage", "update_postimage"
 def change_feed(before: DataFrame, after: DataFrame, keys: list[str]) -> DataFrame:
     """Inserted, deleted and updated rows, an update as its row before and after.
 
-    Both sides are unique on the keys. Rows equal in every column, NULLs
-    included, are left out.
+    Both sides are unique on the keys, in which NULL equals NULL. Rows equal in
+    every column, NULLs included, are left out.
     """
     columns = after.columns
     row = F.struct(*columns)
-    old = before.select(*keys, row.alias("__old"))
-    new = after.select(*keys, row.alias("__new"))
+    old = before.select(*[F.col(k).alias(f"__old_{k}") for k in keys], row.alias("__old"))
+    new = after.select(*[F.col(k).alias(f"__new_{k}") for k in keys], row.alias("__new"))
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(f"__old_{k}").eqNullSafe(F.col(f"__new_{k}"))
 
     def change(kind: str, image: str):
         return F.struct(F.lit(kind).alias("kind"), F.col(image).alias("row"))
@@ -32,7 +35,7 @@ def change_feed(before: DataFrame, after: DataFrame, keys: list[str]) -> DataFra
         .otherwise(F.array(change(BEFORE, "__old"), change(AFTER, "__new")))
     )
     return (
-        old.join(new, keys, "full_outer")
+        old.join(new, same, "full_outer")
         .filter(~F.col("__old").eqNullSafe(F.col("__new")))
         .select(F.explode(steps).alias("c"))
         .select(F.col("c.kind").alias(CHANGE), *[F.col(f"c.row.`{c}`").alias(c) for c in columns])

@@ -24,10 +24,11 @@ def daily_orders_by_restaurant(
 ) -> DataFrame:
     """Orders and revenue per day and restaurant.
 
-    ``created_at`` is text, so the day is the written one in any time zone.
+    ``created_at`` is text, so the day is the written one in any time zone; text
+    that is no date counts under a NULL day.
     """
     per_day = orders.groupBy(
-        F.to_date("created_at").alias("order_date"), "restaurant_id"
+        F.col("created_at").try_cast("date").alias("order_date"), "restaurant_id"
     ).agg(F.count("order_id").alias("n"), F.sum("total_amount").alias("amount"))
     names = restaurants.select(
         F.col("restaurant_id").alias("r_id"), F.col("name").alias("restaurant_name")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,7 +11,14 @@ from tidemark.plans import entities
 from tidemark.plans.marts import MARTS
 from tidemark.settings import Settings
 from tidemark.sources.changes import kafka_options, land_raw, read_changes
-from tidemark.sources.tables import CdcTable, complete_versions, name_published, publish, sync_table
+from tidemark.sources.tables import (
+    CdcTable,
+    complete_versions,
+    expire_published,
+    name_published,
+    publish,
+    sync_table,
+)
 from tidemark.streaming.flows import run_entity, run_order_enriched
 
 
@@ -29,6 +37,9 @@ class Layout:
     def rejects(self, name: str) -> str:
         return f"{self.root}/tables/{name}_quarantine"
 
+    def metrics(self, name: str) -> str:
+        return f"{self.root}/metrics/{name}"
+
     def mart(self, name: str) -> str:
         return f"{self.root}/marts/{name}"
 
@@ -52,14 +63,22 @@ def entity_table(
 
 def serving_table(spark: SparkSession, layout: Layout, name: str, settings: Settings) -> CdcTable:
     return CdcTable(
-        spark, layout.state(name), ["order_id"], 1, settings.buckets, settings.skew
+        spark,
+        layout.state(name),
+        ["order_id"],
+        1,
+        settings.buckets,
+        settings.skew,
+        settings.rewrite_every,
     )
 
 
 def topic_options(settings: Settings, name: str) -> dict:
     topic = settings.topic_prefix + name
     if settings.source_format == "kafka":
-        return kafka_options(settings.source, topic)
+        return kafka_options(
+            settings.source, topic, settings.max_records, settings.min_partitions
+        )
     return {"path": f"{settings.source}/{topic}"}
 
 
@@ -77,9 +96,25 @@ def land_all(spark: SparkSession, layout: Layout, settings: Settings) -> None:
         query.awaitTermination()
 
 
+def _keep_metrics(spark: SparkSession, path: str):
+    """Store the rule outcomes of each batch in a folder of its own."""
+
+    def keep(batch_id: int, outcomes: dict) -> None:
+        rows = [(rule, int(count or 0)) for rule, count in outcomes.items()]
+        (
+            spark.createDataFrame(rows, "measure string, rows long")
+            .coalesce(1)
+            .write.mode("overwrite")
+            .parquet(f"{path}/batch={batch_id}")
+        )
+
+    return keep
+
+
 def transform_all(spark: SparkSession, layout: Layout, settings: Settings) -> None:
-    """Apply raw changes to all targets, then the serving table."""
-    for spec in entities.ENTITIES:
+    """Apply raw changes to all targets side by side, then to the serving table."""
+
+    def run(spec: entities.EntitySpec) -> None:
         run_entity(
             spark,
             spec,
@@ -87,7 +122,11 @@ def transform_all(spark: SparkSession, layout: Layout, settings: Settings) -> No
             entity_table(spark, layout, spec, settings),
             layout.checkpoint(spec.name),
             rejects=layout.rejects(spec.name),
+            on_metrics=_keep_metrics(spark, layout.metrics(spec.name)),
         )
+
+    with ThreadPoolExecutor(len(entities.ENTITIES)) as pool:
+        list(pool.map(run, entities.ENTITIES))  # raises what any of them raised
     run_order_enriched(
         spark,
         layout.raw("orders"),
@@ -125,9 +164,30 @@ def sync_serving(spark: SparkSession, layout: Layout, settings: Settings) -> int
     )
 
 
+def expire_all(spark: SparkSession, layout: Layout, settings: Settings) -> None:
+    """Let go of versions older than the newest ``keep_versions``.
+
+    The serving table keeps what its copy has still to be synced from.
+    """
+    tables = [entity_table(spark, layout, spec, settings) for spec in entities.ENTITIES]
+    served = serving_table(spark, layout, "order_enriched", settings)
+    copy = serving_table(spark, layout, "order_enriched_synced", settings)
+    synced = copy.newest()
+    for table in [*tables, served, copy]:
+        versions = complete_versions(spark, table.path)
+        if len(versions) > settings.keep_versions:
+            oldest = versions[-settings.keep_versions]
+            if table is served and synced is not None:
+                oldest = min(oldest, synced)
+            table.expire(oldest)
+    for mart in MARTS:
+        expire_published(spark, layout.mart(mart.name), settings.keep_versions)
+
+
 def run_stages(spark: SparkSession, layout: Layout, settings: Settings) -> None:
     """One triggered run; a stage that fails stops those after it."""
     land_all(spark, layout, settings)
     transform_all(spark, layout, settings)
     publish_marts(spark, layout, settings)
     sync_serving(spark, layout, settings)
+    expire_all(spark, layout, settings)

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tidemark.sources.tables import complete_versions
+
 # The columns a Kafka source yields.
 RAW_SCHEMA = (
     "key binary, value binary, topic string, partition int, offset bigint, "
@@ -13,13 +15,24 @@ RAW_SCHEMA = (
 )
 
 
-def kafka_options(bootstrap: str, topic: str) -> dict:
-    """Options that read a topic from its first record."""
-    return {
+def kafka_options(
+    bootstrap: str, topic: str, max_records: int | None = None, min_partitions: int | None = None
+) -> dict:
+    """Options that read a topic from its first record.
+
+    ``max_records`` bounds a batch, so that a first run over a long topic is many batches;
+    ``min_partitions`` cuts few topic partitions into more tasks.
+    """
+    options = {
         "kafka.bootstrap.servers": bootstrap,
         "subscribe": topic,
         "startingOffsets": "earliest",
     }
+    if max_records is not None:
+        options["maxOffsetsPerTrigger"] = str(max_records)
+    if min_partitions is not None:
+        options["minPartitions"] = str(min_partitions)
+    return options
 
 
 def read_changes(spark: SparkSession, source_format: str, **options) -> DataFrame:
@@ -38,9 +51,9 @@ def stream_raw(spark: SparkSession, path: str, **options) -> DataFrame:
     """Stream a raw table that :func:`land_raw` fills.
 
     Only append-only tables may be streamed, so this takes raw tables and
-    rejects targets that change rows in place.
+    rejects change targets and published tables, which are made of versions.
     """
-    if path.rstrip("/").rsplit("/", 1)[-1].startswith("state_"):
+    if complete_versions(spark, path):
         raise ValueError(f"{path} changes in place and cannot be streamed; read its raw feed")
     return spark.readStream.schema(RAW_SCHEMA).options(**options).parquet(path)
 

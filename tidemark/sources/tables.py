@@ -4,15 +4,20 @@ A batch writes the folder ``<table>/version=<batch>``; it counts once Spark's
 committer has put ``_SUCCESS`` there, so a failed or repeated batch is harmless.
 
 A change target is split by a hash of its keys into a fixed number of buckets,
-and a batch rewrites only buckets it touches. Within a bucket, rows are kept as
+and a batch writes only into buckets it touches. Within a bucket, rows are kept as
 
-* ``open``  last event of each key: rewritten by every batch on the bucket,
-* ``base``  ended versions, all of them: written when a late event changes some,
-* ``add``   ended versions a batch added to those before.
+* ``delta``  last events of the keys a batch changed,
+* ``open``   last event of each key of the bucket: what deltas are folded into,
+* ``base``   ended versions, all of them: written when a late event changes some,
+* ``add``    ended versions a batch added to those before.
 
-A batch whose events are all newer than what is stored thus neither reads nor
-rewrites ended versions, however many a key has. Every so many batches the
-touched buckets are rewritten whole to keep files few.
+Readers take the latest of a bucket's newest ``open`` rows and the deltas since. A batch
+whose events are all newer than what is stored thus writes what it changes and no
+more. A bucket is rewritten whole, deltas folded in, once it has so many folders, or
+when a late event changes versions that have ended.
+
+Versions only go up. The newest one may be written again, by the writer that wrote it: that
+is how a batch is repeated after a failure. Anything else would lose rows and is refused.
 """
 
 from __future__ import annotations
@@ -26,7 +31,7 @@ from tidemark.operators import cdc
 from tidemark.operators.changefeed import FEED_ARGUMENTS, change_feed, feed_as_changes
 from tidemark.settings import SkewLimits
 
-OPEN, BASE, ADD = "open", "base", "add"
+OPEN, DELTA, BASE, ADD = "open", "delta", "base", "add"
 
 
 def _list(spark: SparkSession, pattern: str) -> list[str]:
@@ -70,12 +75,22 @@ def publish(
     share is still spread over tasks.
     """
     layout = list(dict.fromkeys([*cluster_by, *keys]))
-    (
-        df.repartitionByRange(*layout)
-        .sortWithinPartitions(*layout)
-        .write.mode("overwrite")
-        .parquet(f"{path}/version={version}")
-    )
+    rows = df.persist()  # finding ranges reads the rows once more
+    try:
+        (
+            rows.repartitionByRange(*layout)
+            .sortWithinPartitions(*layout)
+            .write.mode("overwrite")
+            .parquet(f"{path}/version={version}")
+        )
+    finally:
+        rows.unpersist()
+
+
+def expire_published(spark: SparkSession, path: str, keep: int) -> None:
+    """Delete all but the newest ``keep`` versions of a published table."""
+    for version in complete_versions(spark, path)[:-keep]:
+        _delete(spark, f"{path}/version={version}")
 
 
 def read_published(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
@@ -145,14 +160,13 @@ class CdcTable:
         newest_first.sort(reverse=True)
         opened: dict[int, list[str]] = {}
         ended: dict[int, list[str]] = {}
-        whole: set[int] = set()
+        whole: set[tuple[str, int]] = set()
         for _, kind, bucket, path in newest_first:
-            if kind == OPEN:
-                opened.setdefault(bucket, [path])
-            elif bucket not in whole:
-                ended.setdefault(bucket, []).append(path)
-                if kind == BASE:
-                    whole.add(bucket)
+            side, found = (OPEN, opened) if kind in (OPEN, DELTA) else (BASE, ended)
+            if (side, bucket) not in whole:
+                found.setdefault(bucket, []).append(path)
+                if kind in (OPEN, BASE):
+                    whole.add((side, bucket))
         return {OPEN: opened, BASE: ended}
 
     def _load(self, parts: dict[int, list[str]], buckets: set[int] | None) -> DataFrame | None:
@@ -164,6 +178,16 @@ class CdcTable:
         ]
         return self.spark.read.parquet(*paths) if paths else None
 
+    def _open(self, parts: dict[int, list[str]], buckets: set[int] | None) -> DataFrame | None:
+        """Last events of the keys of some buckets: of rows and deltas the latest."""
+        chosen = {b: p for b, p in parts.items() if buckets is None or b in buckets}
+        single = self._load({b: p for b, p in chosen.items() if len(p) == 1}, None)
+        layered = self._load({b: p for b, p in chosen.items() if len(p) > 1}, None)
+        if layered is None:
+            return single
+        merged = cdc.latest(layered, self.keys)
+        return merged if single is None else single.unionByName(merged)
+
     def state(
         self,
         version: int | None = None,
@@ -176,7 +200,7 @@ class CdcTable:
         if version is None:
             return None
         parts = self._parts(version)
-        loaded = [self._load(parts[OPEN], buckets)]
+        loaded = [self._open(parts[OPEN], buckets)]
         if not open_only:
             loaded.append(self._load(parts[BASE], buckets))
         found = [df for df in loaded if df is not None]
@@ -215,11 +239,15 @@ class CdcTable:
     def _bucket(self) -> Column:
         """The hash Spark partitions by.
 
-        A merge hashes rows into as many partitions as there are buckets, so each
-        task writes one bucket and a version has few files.
+        A merge hashes rows into a multiple of as many partitions as there are
+        buckets, so each task writes one bucket and a version has few files.
         """
         return F.pmod(F.hash(*self.keys), F.lit(self.buckets))
 
+    def _partitions(self) -> int:
+        wanted = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        return self.buckets * max(1, -(-wanted // self.buckets))
+
     def _bucket_ids(self, rows: DataFrame) -> set[int]:
         """Buckets that rows fall into; never more than the table has."""
         found = rows.select(self._bucket().alias("b")).distinct().collect()
@@ -230,11 +258,12 @@ class CdcTable:
         changes: DataFrame,
         version: int,
         *,
-        sequence_by: str,
+        sequence_by: Column | str,
         delete_when: str,
         except_columns: list[str],
         scd_type: int | None = None,
         tie_by: list[str] | None = None,
+        writer: str | None = None,
     ) -> None:
         """Apply change rows and commit the outcome as ``version``."""
         if scd_type not in (None, self.scd_type):
@@ -243,35 +272,87 @@ class CdcTable:
             changes, self.keys, sequence_by, delete_when, except_columns, tie_by
         ).persist()
         try:
-            self.merge(events, version)
+            self.merge(events, version, writer=writer)
         finally:
             events.unpersist()
 
-    def merge(self, events: DataFrame, version: int, *, one_per_key: bool = False) -> None:
+    def _check_version(self, version: int, writer: str | None) -> None:
+        newest = self.newest()
+        if newest is None or version > newest:
+            return
+        if version < newest:
+            raise ValueError(
+                f"{self.path} is at version {newest}; version {version} would drop what followed. "
+                "A new checkpoint needs an empty target."
+            )
+        named = _list(self.spark, f"{self.path}/version={version}/_WRITER-*")
+        wrote = {p.rsplit("_WRITER-", 1)[1] for p in named}
+        if wrote - {writer}:
+            raise ValueError(f"version {version} of {self.path} was written by {wrote}, not {writer}")
+
+    def merge(
+        self,
+        events: DataFrame,
+        version: int,
+        *,
+        one_per_key: bool = False,
+        writer: str | None = None,
+    ) -> None:
         """Merge events in the shape of a state and commit as ``version``.
 
         Reads the events several times; :meth:`apply` keeps them for that.
-        ``one_per_key`` says that they are the last of their key already.
+        ``one_per_key`` says that they are the last of their key already. ``writer``
+        names who writes, such as a streaming query; only it may write the version again.
         """
+        self._check_version(version, writer)
         before = self.version_before(version)
-        compact = before is not None and version % self.rewrite_every == 0
-        opened, rewritten = None, set()
-        if before is not None:
-            stored, touched = self._parts(before), self._bucket_ids(events)
-            opened = self._load(stored[OPEN], touched)
+        stored = self._parts(before) if before is not None else {OPEN: {}, BASE: {}}
+        touched = self._bucket_ids(events) if before is not None else set()
+        folded = {
+            b
+            for b in touched
+            if len(stored[OPEN].get(b, [])) + len(stored[BASE].get(b, [])) > self.rewrite_every
+        }
         if self.scd_type == 1:
             fresh = events if one_per_key else cdc.latest(events, self.keys)
-            state = cdc.merge_latest(opened, fresh, self.keys, self.buckets)
+            state, whole = self._merged_latest(fresh, stored, folded), folded
         else:
-            prior = opened
-            if opened is not None:
-                rewritten = self._late_buckets(opened, events)
-                if compact:
-                    rewritten = touched
-                ended = self._load(stored[BASE], rewritten)
-                prior = opened if ended is None else opened.unionByName(ended)
-            state = cdc.merge_history(prior, events, self.keys, self.limits, self.buckets)
-        self._write(state, version, rewritten, compact)
+            state, whole = self._merged_history(events, stored, touched, folded)
+        self._write(state, version, whole, first=before is None, writer=writer)
+
+    def _inside(self, rows: DataFrame, buckets: set[int], *, inverse: bool = False) -> DataFrame:
+        if not buckets:
+            return rows if inverse else rows.limit(0)
+        inside = self._bucket().isin(*buckets)
+        return rows.filter(~inside if inverse else inside)
+
+    def _merged_latest(self, fresh: DataFrame, stored: dict, folded: set[int]) -> DataFrame:
+        """What the batch changes, and the folded buckets whole; late rows lose on reading."""
+        opened = self._open(stored[OPEN], folded) if folded else None
+        if opened is None:
+            return fresh.repartition(self._partitions(), *self.keys)
+        both = opened.select(*fresh.columns).unionByName(fresh)
+        return cdc.latest(both.repartition(self._partitions(), *self.keys), self.keys)
+
+    def _merged_history(
+        self, events: DataFrame, stored: dict, touched: set[int], folded: set[int]
+    ) -> tuple[DataFrame, set[int]]:
+        """What the batch changes, whole buckets where it must be, and which those are."""
+        opened = self._open(stored[OPEN], touched) if touched else None
+        if opened is None:
+            return cdc.history(events, self.keys, self.limits, partitions=self._partitions()), set()
+        whole = folded | self._late_buckets(opened, events)
+        columns = events.columns
+        # Outside of buckets rewritten whole, only last events of keys in the batch play a part.
+        keys = events.select(*self.keys).distinct()
+        needed = self._inside(opened, whole, inverse=True).join(keys, self.keys, "left_semi")
+        inputs = needed.select(*columns).unionByName(events)
+        if whole:
+            inputs = inputs.unionByName(self._inside(opened, whole).select(*columns))
+            ended = self._load(stored[BASE], whole)
+            if ended is not None:
+                inputs = inputs.unionByName(ended.select(*columns))
+        return cdc.history(inputs, self.keys, self.limits, partitions=self._partitions()), whole
 
     def _late_buckets(self, opened: DataFrame, events: DataFrame) -> set[int]:
         """Buckets with an event older than the last stored one of its key."""
@@ -284,28 +365,29 @@ class CdcTable:
         return self._bucket_ids(late)
 
     def _write(
-        self, state: DataFrame, version: int, rewritten: set[int], compact: bool
+        self, state: DataFrame, version: int, whole: set[int], *, first: bool, writer: str | None
     ) -> None:
-        """Write the rows of a version by kind and bucket.
-
-        Rows that pass through a merge stay in the tasks that read them, so files
-        grow in number. ``compact`` gathers them, by ranges that also cut within
-        a bucket and within a key.
-        """
-        kind = F.lit(OPEN)
+        """Write the rows of a version by kind and bucket, and see that it counts."""
+        entire = F.lit(first) if first or not whole else F.col("bucket").isin(*whole)
+        kind = F.when(entire, OPEN).otherwise(DELTA)
         if self.scd_type == 2:
-            whole = F.col("bucket").isin(*rewritten) if rewritten else F.lit(False)
-            kind = F.when(F.col(cdc.END).isNull(), OPEN).when(whole, BASE).otherwise(ADD)
+            ended = F.when(entire, BASE).otherwise(ADD)
+            kind = F.when(F.col(cdc.END).isNull(), kind).otherwise(ended)
         placed = state.withColumn("bucket", self._bucket()).withColumn("kind", kind)
-        order = ["kind", "bucket", *self.keys, cdc.START]
-        if compact:
-            placed = placed.repartitionByRange(*order)
+        folder = f"{self.path}/version={version}"
         (
-            placed.sortWithinPartitions(*order)
+            placed.sortWithinPartitions("kind", "bucket", *self.keys, cdc.START)
             .write.mode("overwrite")
             .partitionBy("kind", "bucket")
-            .parquet(f"{self.path}/version={version}")
+            .parquet(folder)
         )
+        if not _list(self.spark, f"{folder}/_SUCCESS"):
+            raise RuntimeError(
+                f"{folder} has no _SUCCESS, by which versions count; set "
+                "mapreduce.fileoutputcommitter.marksuccessfuljobs to true"
+            )
+        if writer is not None:
+            _touch(self.spark, f"{folder}/_WRITER-{writer}")
 
     # Changes between versions
 
@@ -315,11 +397,11 @@ class CdcTable:
         started = self._parts(start)[OPEN] if start is not None else {}
         changed = {b for b, paths in ended.items() if started.get(b) != paths}
         hidden = [cdc.START, cdc.END]
-        after = self._load(ended, changed)
+        after = self._open(ended, changed)
         if after is None:
-            after = self._load(ended, None).limit(0)
+            after = self._open(ended, None).limit(0)
         after = cdc.visible(after).drop(*hidden)
-        before = self._load(started, changed)
+        before = self._open(started, changed)
         before = after.limit(0) if before is None else cdc.visible(before).drop(*hidden)
         return change_feed(before, after, self.keys)
 

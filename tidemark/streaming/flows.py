@@ -35,10 +35,13 @@ def route_changes(
             changes, rules, null_policy, keys=spec.keys, delete_when=spec.delete_when
         )
     else:
-        rules = spec.drop_rules
+        # A row that fails a drop rule goes nowhere; unreadable amounts are set aside.
+        rules = {**spec.drop_rules, **READABLE_AMOUNTS}
+        keep = F.coalesce(quality.all_rules(spec.drop_rules), F.lit(False))
+        readable = F.coalesce(quality.all_rules(READABLE_AMOUNTS), F.lit(True))
         routed = changes.withColumn(
             quality.ROUTE,
-            F.when(F.coalesce(quality.all_rules(rules), F.lit(False)), quality.VALID),
+            F.when(keep & readable, quality.VALID).when(keep, quality.QUARANTINE),
         )
     route, unsequenced = F.col(quality.ROUTE), F.col(spec.sequence_by).isNull()
     missing = F.when(unsequenced, F.array(F.lit("sequence_present"))).otherwise(F.array())
@@ -69,6 +72,11 @@ def _decoded(batch: DataFrame, spec: EntitySpec) -> DataFrame:
     return decode_changes(batch, spec.row, spec.keys, position=True, diagnostics=True)
 
 
+def _writer(batch: DataFrame) -> str | None:
+    """The id of the streaming query a batch belongs to; its checkpoint keeps it."""
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+
+
 def _run(
     stream: DataFrame, checkpoint: str, on_batch: Callable[[DataFrame, int], None]
 ) -> None:
@@ -106,7 +114,7 @@ def run_entity(
         )
         routed = route_changes(watched, spec, null_policy).persist()
         try:
-            table.merge(valid_events(routed, spec), batch_id)
+            table.merge(valid_events(routed, spec), batch_id, writer=_writer(batch))
             if rejects is not None:
                 (
                     routed.filter(F.col(quality.ROUTE) == quality.QUARANTINE)
@@ -148,7 +156,7 @@ def run_order_enriched(
             last, customers.current(), restaurants.current(), settings
         ).persist()
         try:
-            table.merge(served, batch_id, one_per_key=True)
+            table.merge(served, batch_id, one_per_key=True, writer=_writer(batch))
         finally:
             served.unpersist()
             last.unpersist()
