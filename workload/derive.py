@@ -190,6 +190,47 @@ def log_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def log_keyed_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The items with one key, as the item topic has them."""
+    return log_order_items(spark, sf_dir).select(
+        "op",
+        "lsn",
+        F.xxhash64(*ITEM_KEYS).alias("order_item_id"),
+        "order_id",
+        "product_id",
+        "quantity",
+        "unit_price",
+    )
+
+
+def topics(spark: SparkSession, sf_dir: str) -> dict[str, tuple[DataFrame, str]]:
+    """The log and the key of each captured table."""
+    return {
+        "customers": (log_customers(spark, sf_dir), "customer_id"),
+        "restaurants": (log_restaurants(spark, sf_dir), "restaurant_id"),
+        "products": (log_products(spark, sf_dir), "product_id"),
+        "order_items": (log_keyed_items(spark, sf_dir), "order_item_id"),
+        "orders": (log_orders(spark, sf_dir), "order_id"),
+    }
+
+
+def dirty_logs(spark: SparkSession, sf_dir: str) -> dict[str, tuple[DataFrame, str, str]]:
+    """Logs in which every 13th row of an id has an unreadable amount; with key and amount."""
+    amounts = {"products": "price", "order_items": "unit_price", "orders": "total_amount"}
+    ids = {"products": "product_id", "order_items": "order_id", "orders": "order_id"}
+    found = topics(spark, sf_dir)
+    out = {}
+    for name, amount in amounts.items():
+        log, key = found[name]
+        text = F.when((F.col(ids[name]) % 13 == 0) & F.col(amount).isNotNull(), "abc")
+        out[name] = (log.withColumn(amount, text.otherwise(F.col(amount).cast("string"))), key, amount)
+    return out
+
+
+def dirty_date() -> Column:
+    return F.when(F.col("order_id") % 19 == 0, "2026-13-45T00:00:00Z").otherwise(F.col("created_at"))
+
+
 def log_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The supplied stream as changes to users; errors delete."""
     return table(spark, sf_dir, "events").select(

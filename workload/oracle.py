@@ -251,6 +251,11 @@ ORACLE = {
                         "name_present": "name IS NOT NULL",
                     },
                 ),
+                _outcomes(
+                    "order_items",
+                    "log_order_items",
+                    {"valid_key": "order_id IS NOT NULL", "positive_qty": "quantity > 0"},
+                ),
                 _outcomes(
                     "orders",
                     "log_orders",
@@ -264,6 +269,7 @@ ORACLE = {
         "log_customers",
         "log_restaurants",
         "log_products",
+        "log_order_items",
         "log_orders",
     ),
     "daily_orders_by_restaurant": _with(
@@ -397,3 +403,100 @@ ORACLE = {
 # Stored and streamed forms of the same answers.
 ORACLE["published_revenue_feed"] = ORACLE["revenue_change_feed"]
 ORACLE["stream_order_enriched"] = ORACLE["order_enriched"]
+ORACLE["staged_daily_orders"] = ORACLE["daily_orders_by_restaurant"]
+ORACLE["staged_revenue_by_city"] = ORACLE["revenue_by_city"]
+ORACLE["staged_top_products"] = ORACLE["top_products"]
+ORACLE["staged_synced_serving"] = ORACLE["order_enriched"]
+ORACLE["stored_order_lookup"] = _with(
+    ENRICHED + """
+    WHERE o.order_id = (SELECT max(order_id) FROM o WHERE order_id IN (SELECT user_id FROM events))""",
+    *ENRICHED_LOGS,
+    **ENRICHED_INPUTS,
+)
+ORACLE["dirty_dates_counted"] = _with(
+    """
+    SELECT CASE WHEN order_id % 19 <> 0 THEN CAST(substr(created_at, 1, 10) AS DATE) END AS order_date,
+           restaurant_id, name AS restaurant_name, CAST(count(order_id) AS BIGINT) AS order_count,
+           CAST(sum(total_amount) AS DECIMAL(20,2)) AS revenue
+    FROM o JOIN r USING (restaurant_id) GROUP BY ALL""",
+    "log_orders",
+    "log_restaurants",
+    **GOLD,
+)
+_NULL_CITY = "SELECT * REPLACE (CASE WHEN restaurant_id % 3 <> 0 THEN city END AS city) FROM places"
+ORACLE["null_key_change_feed"] = _with(
+    """
+    SELECT "_change_type", city, order_count, revenue FROM (
+        SELECT CASE WHEN a.there IS NULL THEN 'insert' ELSE 'update_postimage' END AS "_change_type", b.*
+        FROM b LEFT JOIN a ON a.city IS NOT DISTINCT FROM b.city
+        WHERE a.there IS NULL OR a.order_count <> b.order_count OR a.revenue IS DISTINCT FROM b.revenue
+        UNION ALL
+        SELECT CASE WHEN b.there IS NULL THEN 'delete' ELSE 'update_preimage' END, a.*
+        FROM a LEFT JOIN b ON a.city IS NOT DISTINCT FROM b.city
+        WHERE b.there IS NULL OR a.order_count <> b.order_count OR a.revenue IS DISTINCT FROM b.revenue)""",
+    "log_orders",
+    "log_restaurants",
+    valid=VALID,
+    h=_history("valid", "order_id"),
+    places=PLACES_NOW,
+    r=_NULL_CITY,
+    early=f"""SELECT * FROM h WHERE "__START_AT" <= {AS_OF}
+              AND ("__END_AT" IS NULL OR "__END_AT" > {AS_OF})""",
+    final='SELECT * FROM h WHERE "__END_AT" IS NULL',
+    a=f"SELECT *, 1 AS there FROM ({_revenue('early')})",
+    b=f"SELECT *, 1 AS there FROM ({_revenue('final')})",
+)
+
+
+def _dirty(entity: str, log: str, ident: str, amount: str, checked: bool) -> str:
+    """Rows of a log with unreadable amounts; ``checked`` ones must be positive or zero, too."""
+    wrong = f"({ident} % 13 = 0 AND {amount} IS NOT NULL)"
+    negative = f"(op <> 'd' AND ({wrong} OR {amount} IS NULL OR {amount} < 0))"
+    aside = f"({wrong} OR {negative})" if checked else wrong
+    reasons = f"""concat_ws(',', {f"CASE WHEN {negative} THEN 'non_negative_amount' END," if checked else ""}
+                  CASE WHEN {wrong} THEN 'readable_amounts' END)"""
+    return f"""
+        SELECT '{entity}' AS entity, op, lsn, CASE WHEN {aside} THEN 'quarantine' ELSE 'valid' END AS route,
+               CASE WHEN NOT {wrong} THEN {amount} END AS amount, CASE WHEN {aside} THEN {reasons} END AS reasons
+        FROM {log}"""
+
+
+ORACLE["dirty_records_routed"] = _with(
+    " UNION ALL ".join([
+        _dirty("products", "log_products", "product_id", "price", False),
+        _dirty("order_items", "log_order_items", "order_id", "unit_price", False),
+        _dirty("orders", "log_orders", "order_id", "total_amount", True),
+    ]),
+    "log_products",
+    "log_order_items",
+    "log_orders",
+)
+
+
+def _observed(entity: str, log: str, rules: dict[str, str]) -> str:
+    counts = [("rows", "true")]
+    for name, rule in rules.items():
+        for part, among in (("writes", "op <> 'd'"), ("deletes", "op = 'd'")):
+            for outcome, verdict in (("passed", rule), ("failed", f"NOT ({rule})"), ("unknown", f"({rule}) IS NULL")):
+                counts.append((f"{name}.{part}.{outcome}", f"{among} AND {verdict}"))
+    return " UNION ALL ".join(
+        f"SELECT '{entity}' AS entity, '{m}' AS measure, CAST(count(*) FILTER (WHERE {w}) AS BIGINT) AS rows FROM {log}"
+        for m, w in counts
+    )
+
+
+ORACLE["observed_expectations"] = _with(
+    " UNION ALL ".join([
+        _observed("customers", "log_customers", {"email_present": "email IS NOT NULL", "phone_present": "phone IS NOT NULL"}),
+        _observed("restaurants", "log_restaurants", {"name_present": "name IS NOT NULL"}),
+        _observed("products", "log_products", {"positive_price": "price > 0", "name_present": "name IS NOT NULL"}),
+        _observed("order_items", "log_order_items", {"positive_qty": "quantity > 0"}),
+        _observed("orders", "log_orders", {
+            "known_status": "status IN ('created', 'confirmed', 'preparing', 'delivered', 'cancelled')"}),
+    ]),
+    "log_customers",
+    "log_restaurants",
+    "log_products",
+    "log_order_items",
+    "log_orders",
+)

@@ -9,10 +9,17 @@ from tidemark.operators import audits, cdc, quality
 from tidemark.operators.changefeed import change_feed
 from tidemark.operators.decode import decode_changes
 from tidemark.plans import entities, marts
+from tidemark.plans.stages import Layout, run_stages
 from tidemark.settings import Settings, work_dir
 from tidemark.sources.changes import encode_changes, land_raw, read_changes
-from tidemark.sources.tables import CdcTable, publish, published_feed, sync_table
-from tidemark.streaming.flows import run_entity, run_order_enriched
+from tidemark.sources.tables import (
+    CdcTable,
+    publish,
+    published_feed,
+    read_published,
+    sync_table,
+)
+from tidemark.streaming.flows import route_changes, run_entity, run_order_enriched
 from workload import derive
 
 SETTINGS = Settings()
@@ -156,6 +163,7 @@ def expectation_report(spark, sf_dir):
         "customers": (derive.log_customers, entities.CUSTOMERS),
         "restaurants": (derive.log_restaurants, entities.RESTAURANTS),
         "products": (derive.log_products, entities.PRODUCTS),
+        "order_items": (derive.log_keyed_items, entities.ORDER_ITEMS),
         "orders": (derive.log_orders, entities.ORDERS),
     }
     report = None
@@ -235,6 +243,18 @@ def revenue_change_feed(spark, sf_dir):
     )
 
 
+def null_key_change_feed(spark, sf_dir):
+    """Revenue by city where every third restaurant has none."""
+    versions = _history(_valid_orders(spark, sf_dir), ["order_id"])
+    city = F.when(F.col("restaurant_id") % 3 != 0, F.col("city"))
+    places = _current_restaurants(spark, sf_dir).withColumn("city", city)
+    return change_feed(
+        marts.revenue_by_city(cdc.versions_as_of(versions, AS_OF), places, SETTINGS),
+        marts.revenue_by_city(cdc.current_versions(versions), places, SETTINGS),
+        ["city"],
+    )
+
+
 def published_revenue_feed(spark, sf_dir):
     """Two published versions of an aggregate and what changed between them."""
     versions = _history(_valid_orders(spark, sf_dir), ["order_id"])
@@ -327,6 +347,106 @@ def stream_order_enriched(spark, sf_dir):
     return served.read()
 
 
+def stored_order_lookup(spark, sf_dir):
+    """The newest order that an event names, looked up in the stored serving table."""
+    served = _table(spark, "served", "order_id", 1)
+    enriched = marts.order_enriched(
+        None,
+        _valid_orders(spark, sf_dir),
+        scd1_customers(spark, sf_dir),
+        _current_restaurants(spark, sf_dir),
+        SETTINGS,
+    )
+    served.merge(enriched, 0)
+    named = derive.table(spark, sf_dir, "events").select(F.col("user_id").alias("order_id"))
+    wanted = served.current().join(named, "order_id", "left_semi").agg(F.max("order_id")).first()
+    return served.lookup(order_id=wanted[0])
+
+
+def dirty_records_routed(spark, sf_dir):
+    """Where records go whose amounts cannot be read, and why; products, items and orders."""
+    routed = None
+    for name, (log, key, amount) in derive.dirty_logs(spark, sf_dir).items():
+        spec = {e.name: e for e in entities.ENTITIES}[name]
+        columns = [c for c in log.columns if c not in ("op", "lsn")]
+        raw = encode_changes(log, [key], columns, name)
+        decoded = decode_changes(raw, spec.row, spec.keys, position=True, diagnostics=True)
+        part = route_changes(decoded, spec)
+        aside = F.col(quality.ROUTE) == quality.QUARANTINE
+        part = part.select(
+            F.lit(name).alias("entity"),
+            "op",
+            "lsn",
+            F.col(quality.ROUTE).alias("route"),
+            F.col(amount).alias("amount"),
+            F.when(aside, F.array_join("reasons", ",")).alias("reasons"),
+        )
+        routed = part if routed is None else routed.unionByName(part)
+    return routed
+
+
+def dirty_dates_counted(spark, sf_dir):
+    """Daily orders of a log in which some dates cannot be read."""
+    log = _valid_orders(spark, sf_dir).withColumn("created_at", derive.dirty_date())
+    return marts.daily_orders_by_restaurant(
+        _now(log, ["order_id"]), _current_restaurants(spark, sf_dir), SETTINGS
+    )
+
+
+# The whole flow ---------------------------------------------------------------
+
+_RUNS: dict[tuple[str, str], Layout] = {}
+
+
+def _staged(spark: SparkSession, sf_dir: str) -> Layout:
+    """Land, apply, publish and sync five topics; once for all queries of a session."""
+    run = (spark.sparkContext.applicationId, sf_dir)
+    if run not in _RUNS:
+        folder = work_dir(spark, "staged")
+        for name, (log, key) in derive.topics(spark, sf_dir).items():
+            columns = [c for c in log.columns if c not in ("op", "lsn")]
+            encode_changes(log, [key], columns, name).write.parquet(f"{folder}/topic.{name}")
+        settings = Settings(
+            source_format="parquet",
+            source=folder,
+            topic_prefix="topic.",
+            buckets=int(spark.conf.get("spark.sql.shuffle.partitions")),
+        )
+        layout = Layout(f"{folder}/run")
+        run_stages(spark, layout, settings)
+        _RUNS[run] = layout
+    return _RUNS[run]
+
+
+def staged_daily_orders(spark, sf_dir):
+    return read_published(spark, _staged(spark, sf_dir).mart("daily_orders_by_restaurant"))
+
+
+def staged_revenue_by_city(spark, sf_dir):
+    return read_published(spark, _staged(spark, sf_dir).mart("revenue_by_city"))
+
+
+def staged_top_products(spark, sf_dir):
+    return read_published(spark, _staged(spark, sf_dir).mart("top_products"))
+
+
+def staged_synced_serving(spark, sf_dir):
+    path = _staged(spark, sf_dir).state("order_enriched_synced")
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return CdcTable(spark, path, ["order_id"], 1, buckets).read()
+
+
+def observed_expectations(spark, sf_dir):
+    """Rule outcomes that the staged run stored, summed over its batches."""
+    layout, out = _staged(spark, sf_dir), None
+    for spec in entities.ENTITIES:
+        part = spark.read.parquet(layout.metrics(spec.name))
+        part = part.groupBy("measure").agg(F.sum("rows").alias("rows"))
+        part = part.withColumn("entity", F.lit(spec.name))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 # Audits ---------------------------------------------------------------------
 
 def order_total_reconciliation(spark, sf_dir):
@@ -386,7 +506,16 @@ QUERIES = {
         order_lookup,
         order_change_feed,
         revenue_change_feed,
+        null_key_change_feed,
+        dirty_records_routed,
+        dirty_dates_counted,
         published_revenue_feed,
+        stored_order_lookup,
+        staged_daily_orders,
+        staged_revenue_by_city,
+        staged_top_products,
+        staged_synced_serving,
+        observed_expectations,
         synced_orders,
         stream_scd2_orders,
         stream_quarantine,
