@@ -35,6 +35,7 @@ def _known_statuses() -> str:
     return ", ".join(f"'{s}'" for s in KNOWN_STATUSES)
 
 
+# Keys, history types and named rules of the captured tables.
 CUSTOMERS = EntitySpec(
     "customers",
     envelope.CUSTOMERS,

@@ -147,6 +147,7 @@ def enrich_orders(
         measured_on=measured,
     )
     kept = [c for c in (cdc.START, cdc.DELETED, cdc.TIE) if c in events.columns]
+    # The columns of the serving table.
     return with_both.select(
         "order_id",
         "status",
