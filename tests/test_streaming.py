@@ -176,22 +176,7 @@ def test_enriched_orders_see_dimensions_of_their_batch(spark, tmp_path):
 def topics(spark, tmp_path_factory):
     """All five topics as files, in two halves."""
     folder = tmp_path_factory.mktemp("topics")
-    items = derive.log_order_items(spark, SF_DIR).select(
-        F.lit("c").alias("op"),
-        "lsn",
-        F.xxhash64(*derive.ITEM_KEYS).alias("order_item_id"),
-        "order_id",
-        "product_id",
-        "quantity",
-        "unit_price",
-    )
-    logs = {
-        "customers": (derive.log_customers(spark, SF_DIR), "customer_id"),
-        "restaurants": (derive.log_restaurants(spark, SF_DIR), "restaurant_id"),
-        "products": (derive.log_products(spark, SF_DIR), "product_id"),
-        "orders": (derive.log_orders(spark, SF_DIR), "order_id"),
-        "order_items": (items, "order_item_id"),
-    }
+    logs = derive.topics(spark, SF_DIR)
 
     def write(half):
         for name, (rows, key) in logs.items():

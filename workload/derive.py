@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 STEP = 1_000_000_000
-ITEM_KEYS = ["order_id", "product_id", "line_supplier", "line_no", "line_date", "unit_price"]
+ITEM_KEYS = ["order_id", "product_id", "line_supplier", "line_no", "line_date"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -181,12 +181,16 @@ def log_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def log_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every item, inserted once."""
-    return order_items(spark, sf_dir).select(
-        F.lit("c").alias("op"),
-        F.col("order_id").alias("lsn"),
+    """One more of it for every 6th order's items, at a new price for every 12th; some deleted."""
+    k, key = F.col("k"), F.col("order_id")
+    applies = (k == 0) | ((k == 1) & (key % 6 == 0)) | ((k == 2) & (key % 23 == 0))
+    price = F.col("unit_price") + F.when((k == 1) & (key % 12 == 0), 1).otherwise(0)
+    return _steps(order_items(spark, sf_dir), 2, "order_id", applies).select(
+        "op",
+        "lsn",
         *ITEM_KEYS,
-        "quantity",
+        _written(2, (F.col("quantity") + k).cast("int")).alias("quantity"),
+        _written(2, price.cast("decimal(10,2)")).alias("unit_price"),
     )
 
 

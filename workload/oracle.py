@@ -64,11 +64,15 @@ VIEWS = {
         FROM f_customers CROSS JOIN (SELECT unnest(range(0, 3)) AS k)
         WHERE k = 0 OR (k = 1 AND customer_id % 7 = 0) OR (k = 2 AND customer_id % 30 = 5)""",
     "log_order_items": """
-        SELECT 'c' AS op, l_orderkey AS lsn, l_orderkey AS order_id, l_partkey AS product_id,
-               l_suppkey AS line_supplier, l_linenumber AS line_no, l_shipdate AS line_date,
-               CAST(l_extendedprice AS DECIMAL(10,2)) AS unit_price,
-               CAST(l_quantity AS INTEGER) AS quantity
-        FROM lineitem""",
+        SELECT CASE WHEN k = 2 THEN 'd' WHEN k = 0 THEN 'c' ELSE 'u' END AS op,
+               CAST(k AS BIGINT) * 1000000000 + l_orderkey AS lsn, l_orderkey AS order_id,
+               l_partkey AS product_id, l_suppkey AS line_supplier, l_linenumber AS line_no,
+               l_shipdate AS line_date,
+               CASE WHEN k < 2 THEN CAST(CAST(l_quantity AS INTEGER) + k AS INTEGER) END AS quantity,
+               CASE WHEN k < 2 THEN CAST(CAST(l_extendedprice AS DECIMAL(10,2))
+                   + CASE WHEN k = 1 AND l_orderkey % 12 = 0 THEN 1 ELSE 0 END AS DECIMAL(10,2)) END AS unit_price
+        FROM lineitem CROSS JOIN (SELECT unnest(range(0, 3)) AS k)
+        WHERE k = 0 OR (k = 1 AND l_orderkey % 6 = 0) OR (k = 2 AND l_orderkey % 23 = 0)""",
     "log_events": """
         SELECT CASE WHEN event_type = 'error' THEN 'd' ELSE 'u' END AS op, event_id AS lsn,
                user_id, event_type, value, props
@@ -81,7 +85,7 @@ NEEDS = {
     "log_customers": ["f_customers"],
 }
 AS_OF = 1999999999
-ITEM_KEYS = "order_id, product_id, line_supplier, line_no, line_date, unit_price"
+ITEM_KEYS = "order_id, product_id, line_supplier, line_no, line_date"
 ORDER_DATA = "order_id, customer_id, restaurant_id, status, total_amount, created_at"
 
 
