@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.ordered import heavy_groups
 from tidemark.settings import Settings, SkewLimits
 
 
@@ -21,19 +22,12 @@ def fits_broadcast(df: DataFrame, rows: int, most_bytes: int = BROADCAST_BYTES)
 
 def hot_values(df: DataFrame, key: str, limits: SkewLimits) -> DataFrame | None:
     """Values of ``key`` too frequent for one join task; at most ``limits.groups``."""
-    total = df.count()
-    if total <= limits.rows:
+    keyed = df.select(key).filter(F.col(key).isNotNull())
+    heavy = heavy_groups(keyed, key, limits)
+    if heavy is None:
         return None
-    threshold = limits.threshold(total)
-    hot = (
-        df.filter(F.col(key).isNotNull())
-        .groupBy(key)
-        .agg(F.count(F.lit(1)).alias("__rows"))
-        .filter(F.col("__rows") > threshold)
-        .select(key)
-    )
-    rows = hot.collect()
-    return df.sparkSession.createDataFrame(rows, hot.schema) if rows else None
+    rows = [(row[key],) for row in heavy[1]]
+    return df.sparkSession.createDataFrame(rows, keyed.schema)
 
 
 def join_dimension(

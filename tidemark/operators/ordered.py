@@ -27,29 +27,50 @@ def _group_id(keys: list[str]) -> Column:
     return F.xxhash64(*[F.col(k) for k in keys]) if keys else F.lit(0).cast("bigint")
 
 
+def heavy_groups(
+    sized: DataFrame, group: str, limits: SkewLimits, buckets: int = 65_536
+) -> tuple[int, list] | None:
+    """The row limit, and the values of ``group`` with more rows than it, with their rows.
+
+    None when there are none. One pass counts rows by hash bucket, a table of bounded
+    size that tasks sum up before it is sent. A heavy group makes its bucket heavy, so only the
+    groups of heavy buckets, of which there can be few, are then counted one by one.
+    """
+    bucket = F.pmod(F.xxhash64(group), F.lit(buckets))
+    counts = sized.groupBy(bucket.alias("__bucket")).agg(F.count(F.lit(1)).alias("__rows")).collect()
+    total = sum(row["__rows"] for row in counts)
+    if total <= limits.rows:
+        return None
+    threshold = limits.threshold(total)
+    heavy = [(row["__bucket"],) for row in counts if row["__rows"] > threshold]
+    if not heavy:
+        return None
+    near = sized.sparkSession.createDataFrame(heavy, "__bucket bigint")
+    found = (
+        sized.withColumn("__bucket", bucket)
+        .join(F.broadcast(near), "__bucket", "left_semi")
+        .groupBy(group)
+        .agg(F.count(F.lit(1)).alias("__rows"))
+        .filter(F.col("__rows") > threshold)
+        .collect()
+    )
+    return (threshold, found) if found else None
+
+
 def find_hot_groups(
     df: DataFrame, keys: list[str], order: str, limits: SkewLimits
 ) -> DataFrame | None:
     """The groups too big for one task, with the bounds that cut them.
 
-    None when there are none, which a plain row count settles for small inputs.
-    At most ``limits.groups`` rows reach the driver, each with fewer bounds than
+    None when there are none. At most ``limits.groups`` rows reach the driver, each with fewer bounds than
     that; the returned table holds those rows as constants, so that every use of
     it in a plan cuts alike.
     """
-    total = df.count()
-    if total <= limits.rows:
-        return None
-    threshold = limits.threshold(total)
     sized = df.select(_group_id(keys).alias(_GROUP), F.col(order).alias("__order"))
-    hot = (
-        sized.groupBy(_GROUP)
-        .agg(F.count(F.lit(1)).alias("__rows"))
-        .filter(F.col("__rows") > threshold)
-        .collect()
-    )
-    if not hot:
+    heavy = heavy_groups(sized, _GROUP, limits)
+    if heavy is None:
         return None
+    threshold, hot = heavy
     pieces = [[row[_GROUP], -(-row["__rows"] // threshold)] for row in hot]
     most = max(n for _, n in pieces)
     spark = df.sparkSession
