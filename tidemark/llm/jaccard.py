@@ -341,21 +341,20 @@ def jaccard_components(docs: DataFrame, id_column: str = "doc_id", text_column:
     texts = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
     rows = stored(texts.mapInArrow(_cell_rows, CELLS), "cells")
     known = rows.filter(F.col("doc_id").isNotNull() & (F.col("n") > 0))
-    classes = known.groupBy("n", "key1", "key2").agg(F.min("doc_id").alias("rep"))
-    # Each id with its class's least id. Of a repeated id with several texts all rows count.
-    named = stored(
-        known.select("doc_id", "n", "key1", "key2").join(classes, ["n", "key1", "key2"]).select("doc_id", "rep"),
-        "classes",
-    )
+    # Stored, so that the join below is one Spark can split where a class has very many rows.
+    classes = known.groupBy("n", "key1", "key2").agg(
+        F.min("doc_id").alias("rep"), F.max("doc_id").alias("last")
+    ).filter("rep < last").drop("last")
+    copies = known.select("doc_id", "n", "key1", "key2").join(stored(classes, "classes"), ["n", "key1", "key2"])
+    same = copies.filter("doc_id > rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
     in_cells = known.filter(F.size("cell") > 0).select(F.explode("cell").alias("cell"), "doc_id")
     alike = Window.partitionBy("cell")
     both_ends = in_cells.withColumn("hub", F.min("doc_id").over(alike)).withColumn("last", F.max("doc_id").over(alike))
     meet = stored(both_ends.filter("hub < last").drop("last"), "meetings")
     firsts = meet.filter("doc_id > hub").groupBy("doc_id").agg(F.min("hub").alias("hub"))
     firsts = stored(firsts.select(F.col("hub").alias("a"), F.col("doc_id").alias("b")), "hubs")
-    sets = _sets_of(texts, meet.select("doc_id").distinct().repartition(1))
+    sets = _sets_of(texts, stored(meet.select("doc_id").distinct(), "met"))
     linked = stored(_chunked(firsts, sets), "links")
-    same = named.filter("doc_id > rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
     found = components(linked.union(same))
 
     # Cells that do not lie within one component.
