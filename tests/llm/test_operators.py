@@ -286,7 +286,7 @@ def test_redaction(spark):
 
 # Language-model scoring --------------------------------------------------------------------------
 
-@pytest.mark.parametrize("block, buckets", [(1_500_000, None), (100, 3)])
+@pytest.mark.parametrize("block, buckets", [(250_000, None), (100, 3)])
 def test_cross_entropy_difference(spark, block, buckets):
     rng = random.Random(4)
     rows = [(i, " ".join(rng.choice("abcdefgh") * rng.randint(1, 2) for _ in range(rng.randint(0, 60)))) for i in range(80)]

@@ -27,7 +27,8 @@ from pyspark.sql import functions as F
 from tidemark.llm.blocks import ALNUM, U64, mix, word_chunks
 from tidemark.llm.common import partitions_for, stored
 
-BLOCK_WORDS = 1_500_000
+BLOCK_WORDS = 250_000
+RANGES = 4  # ranges of the hash for each shuffle partition, so that a range is small in memory
 END = U64(0x5BF03635DB3A1F29)  # stands for both ends of a text
 BLOCKS = "block long, words binary, vocabulary binary, sizes binary, ids array<long>, target array<boolean>, n_words long, n_target long"
 PIECES = "block long, bucket int, keys binary, every binary, target binary"
@@ -42,6 +43,20 @@ class Smoothing:
     history: float = 20.0
 
 
+def packed(values: np.ndarray) -> bytes:
+    """The bytes of numbers, all first bytes together, then all second ones, and so on.
+
+    Counts and sorted hashes differ little in their high bytes; put together, compression takes those
+    away. The block store and both shuffles are compressed by Spark.
+    """
+    return np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T).tobytes() if len(values) else b""
+
+
+def unpacked(data, kind) -> np.ndarray:
+    planes = np.frombuffer(data, np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
+
+
 def _block_rows(limit: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -56,8 +71,8 @@ def _block_rows(limit: int):
             flags = pa.concat_arrays([h[3] for h in held])
             own = np.array([bool(x) for x in flags.to_pylist()], bool)
             columns = [
-                pa.array([(task << 24) + number]), pa.array([words.astype(np.int32).tobytes()], pa.binary()),
-                pa.array([vocabulary.tobytes()], pa.binary()), pa.array([sizes.astype(np.int64).tobytes()], pa.binary()),
+                pa.array([(task << 24) + number]), pa.array([packed(words.astype(np.int32))], pa.binary()),
+                pa.array([packed(vocabulary)], pa.binary()), pa.array([packed(sizes.astype(np.int64))], pa.binary()),
                 pa.array([pa.concat_arrays([h[2] for h in held]).to_pylist()], pa.list_(pa.int64())),
                 pa.array([own.tolist()], pa.list_(pa.bool_())),
                 pa.array([len(words)]), pa.array([int(sizes[own].sum())]),
@@ -114,8 +129,8 @@ class Block:
 
 def _block(words: bytes, vocabulary: bytes, sizes: bytes, target: list[bool], number: int) -> Block:
     return Block(
-        number, np.frombuffer(words, np.int32), np.frombuffer(vocabulary, U64),
-        np.frombuffer(sizes, np.int64), np.array(target, bool),
+        number, unpacked(words, np.int32), unpacked(vocabulary, U64), unpacked(sizes, np.int64),
+        np.array(target, bool),
     )
 
 
@@ -144,7 +159,7 @@ def _piece_rows(buckets: int):
                     target = np.bincount(at[good], minlength=len(distinct)).astype(np.uint32)
                     cuts = _ranges(distinct, buckets)
                     out += [
-                        (block.number, 2 * k + odd, distinct[a:b].tobytes(), every[a:b].tobytes(), target[a:b].tobytes())
+                        (block.number, 2 * k + odd, packed(distinct[a:b]), packed(every[a:b]), packed(target[a:b]))
                         for k, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if b > a
                     ]
                 yield pa.RecordBatch.from_arrays(
@@ -158,15 +173,16 @@ def _piece_rows(buckets: int):
 
 def _summed(group: pa.Table) -> pa.Table:
     """Sums over all blocks of one range, for each block in its own order."""
-    read = lambda c, kind: [np.frombuffer(x.as_buffer(), kind) for x in group.column(c)]
+    read = lambda c, kind: [unpacked(x.as_buffer(), kind) for x in group.column(c)]
     keys = read("keys", U64)
     distinct, back = np.unique(np.concatenate(keys), return_inverse=True)
     cuts = np.cumsum([len(k) for k in keys])[:-1]
     out = []
     for c in ("every", "target"):
         sums = np.bincount(back, weights=np.concatenate(read(c, np.uint32)), minlength=len(distinct)).astype(np.uint64)
-        out.append(pa.array([x.tobytes() for x in np.split(sums[back], cuts)], pa.binary()))
+        out.append(pa.array([packed(x) for x in np.split(sums[back], cuts)], pa.binary()))
     words = len(distinct) if group.column("bucket")[0].as_py() % 2 == 0 else 0
+    pa.default_memory_pool().release_unused()
     return pa.table({
         "block": group.column("block"), "bucket": group.column("bucket"), "every": out[0], "target": out[1],
         "distinct": pa.array([words] + [0] * (group.num_rows - 1), pa.int64()),
@@ -207,15 +223,17 @@ def block_losses(block: Block, sums: dict, totals: dict, smoothing: Smoothing) -
 
 def _scorer(totals: dict, smoothing: Smoothing):
     def score(group: pa.Table) -> pa.Table:
-        rows = group.to_pylist()
-        own = next(r for r in rows if r["bucket"] is None)
+        buckets = group.column("bucket").to_pylist()
+        own = group.slice(buckets.index(None), 1).to_pylist()[0]
         block = _block(own["words"], own["vocabulary"], own["sizes"], own["flags"], own["block"])
-        pieces = sorted((r for r in rows if r["bucket"] is not None), key=lambda r: r["bucket"])
+        order = sorted((b, i) for i, b in enumerate(buckets) if b is not None)
         sums = {
-            (side, odd): np.frombuffer(b"".join(r[side] for r in pieces if r["bucket"] % 2 == odd), np.uint64)
+            (side, odd): np.concatenate([
+                unpacked(group.column(side)[i].as_buffer(), np.uint64) for b, i in order if b % 2 == odd])
             for side in ("every", "target") for odd in (0, 1)
         }
         target, every = block_losses(block, sums, totals, smoothing)
+        pa.default_memory_pool().release_unused()
         return pa.table({
             "doc_id": pa.array(own["ids"], pa.int64()), "n_tokens": pa.array(block.sizes),
             "loss_target": pa.array(target), "loss_background": pa.array(every),
@@ -247,7 +265,7 @@ def cross_entropy_difference(
         "doc_id", F.col("__id").isNotNull().alias("target"), "text"
     )
     blocks = stored(flagged.mapInArrow(_block_rows(block_words), BLOCKS), "blocks")
-    count = buckets or partitions_for(docs)
+    count = buckets or RANGES * partitions_for(docs)
     pieces = blocks.mapInArrow(_piece_rows(count), PIECES)
     sums = stored(pieces.groupBy("bucket").applyInArrow(_summed, SUMS), "sums")
     n_words, n_target = blocks.agg(F.sum("n_words"), F.sum("n_target")).first()
