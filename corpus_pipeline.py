@@ -14,8 +14,8 @@ def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group of near duplicates."""
-    return jaccard.one_of_each(docs)
+    """Keep one document of each group of near duplicates, by five-word shingles and Jaccard 0.8."""
+    return jaccard.one_of_each(docs, like=jaccard.Likeness(shingle=5, percent=80))
 
 
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -141,6 +141,54 @@ def test_cells_miss_no_link_of_any_size():
             assert set(key[row == 0].tolist()) & set(key[row == 1].tolist()), (n, m)
 
 
+@pytest.mark.parametrize("percent", [80, 90])
+def test_cells_of_any_threshold(percent):
+    """Sets at the very limit share a cell, and large sets make few cells of empty groups."""
+    import numpy as np
+
+    like = jaccard.Likeness(5, percent)
+    rng = np.random.default_rng(1)
+    for n in [*range(like.least_size, 60), 100, 333, 1000]:
+        a = rng.integers(0, 2**63, n).astype(np.uint64) << np.uint64(1)
+        for m in range(n, 100 * n // percent + 1):
+            least = -(-(percent * (n + m)) // (100 + percent))
+            if least > n:
+                continue
+            b = np.concatenate([a[:least], rng.integers(0, 2**63, m - least).astype(np.uint64) << np.uint64(1)])
+            values = np.concatenate([np.sort(a), np.sort(b)])
+            row, key = jaccard.cell_keys(values, np.array([0, n, n + m]), like)
+            assert set(key[row == 0].tolist()) & set(key[row == 1].tolist()), (n, m)
+    many = np.sort(rng.integers(0, 2**63, (300, 500)).astype(np.uint64) << np.uint64(1), axis=1)
+    row, key = jaccard.cell_keys(many.ravel(), np.arange(301) * 500, like)
+    assert np.unique(key, return_counts=True)[1].max() <= 3
+
+
+@pytest.mark.parametrize("block", [4096, 4])
+def test_jaccard_of_five_words(spark, monkeypatch, block):
+    monkeypatch.setattr(jaccard, "BLOCK", block)
+    pairs = near_copies(block + 1)
+    df = spark.createDataFrame(pairs, "doc_id long, text string").repartition(4)
+    found = jaccard.jaccard_components(df, like=jaccard.Likeness(5, 80)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == texts.jaccard(pairs, 5, 80)
+
+
+def test_pipeline_drops_what_is_near_by_five_words(spark):
+    """A hundred words with two edits are near by five words and 0.8, but not by three and 0.9."""
+    rng = random.Random(11)
+    rows = []
+    for i in range(30):
+        words = ["".join(rng.choice(texts.LETTERS) for _ in range(6)) for _ in range(100)]
+        rows.append((2 * i, " ".join(words), "en", "a"))
+        for k in range(1 + i % 4):
+            words[10 + 20 * k] = f"edit{k}"
+        rows.append((2 * i + 1, " ".join(words), "en", "b"))
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(3)
+    pairs = [r[:2] for r in rows]
+    expected = {i for i, (_, c) in texts.jaccard(pairs, 5, 80).items() if c == i}
+    assert expected != {i for i, (_, c) in texts.jaccard(pairs).items() if c == i}
+    assert sorted(r.doc_id for r in corpus_pipeline.distinct(spark, df, "").collect()) == sorted(expected)
+
+
 def test_components_of_a_long_chain(spark):
     chain = [(i, i + 1) for i in range(200)] + [(500, 501), (501, 500), (7, 7), (None, 3)]
     got = {r.node: r.component for r in components(spark.createDataFrame(chain, "a long, b long")).collect()}

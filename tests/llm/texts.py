@@ -56,12 +56,12 @@ def base_counts(text) -> tuple:
     return len(words), sum(map(len, words)), symbols, len(lines) - len(set(lines)), len(covered)
 
 
-def jaccard(rows: list[tuple]) -> dict:
+def jaccard(rows: list[tuple], shingle: int = 3, percent: int = 90) -> dict:
     """n_shingles and component of each id; several rows with an id are one document with all their links."""
     sets = []
     for i, text in rows:
         w = [ascii_lower(x) for x in spaced_words(text)]
-        sets.append((i, {tuple(w[k : k + 3]) for k in range(max(1, len(w) - 2))} if w else set()))
+        sets.append((i, {tuple(w[k : k + shingle]) for k in range(max(1, len(w) - shingle + 1))} if w else set()))
     parent = {i: i for i, _ in sets}
 
     def root(x):
@@ -72,7 +72,7 @@ def jaccard(rows: list[tuple]) -> dict:
     for k, (i, a) in enumerate(sets):
         for j, b in sets[:k]:
             both = len(a & b)
-            if both and 100 * both >= 90 * (len(a) + len(b) - both):
+            if both and 100 * both >= percent * (len(a) + len(b) - both):
                 x, y = root(i), root(j)
                 parent[max(x, y)] = min(x, y)
     return {i: (len(s), root(i)) for i, s in sets}

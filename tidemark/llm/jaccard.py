@@ -1,14 +1,16 @@
 """Exact similarity join of documents on word shingles, by count-vector R-trees.
 
-A document is the set of its three-word shingles, as 64-bit hashes. Two documents
-with sets A and B link when ``100 |A n B| >= 90 |A u B|``.
+A document is the set of its shingles of some words, three unless asked otherwise, as 64-bit
+hashes. Two documents with sets A and B link when ``100 |A n B| >= p |A u B|``, p being 90 unless
+asked otherwise.
 
 * Equal sets are collapsed first: one representative, the least id, per class.
 * **Cells.** Shingles are hashed into groups. Sets that link differ in at most
-  ``|A| / 9`` elements (A the smaller), so with more groups than that at least one
+  ``|A| (100 - p) / p`` elements (A the smaller), so with more groups than that at least one
   group holds the same shingles in both: documents that share such a group, within
   neighbouring size bands, meet in a cell, and no link can be missed. A group holds
-  about eight shingles, so that passages or lines that many documents share rarely make a cell.
+  about eight shingles at 90 and three at 80, so that passages or lines that many documents share
+  seldom make a cell.
 * **Hubs.** In every cell each document is first paired with the cell's least one;
   each document's pair with its least hub is verified. Verified links make components.
   A cell that lies within one component has nothing more to say.
@@ -26,6 +28,7 @@ Set hashes are 128 bits and shingle hashes 64, so equality holds but for odds of
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -36,25 +39,64 @@ from tidemark.llm.blocks import NOT_SPACE, U64, Words, mix, sort_rows, word_chun
 from tidemark.llm.common import stored
 from tidemark.llm.links import components
 
-SHINGLE = 3
 GROUPS = 64
 COARSE = 16  # groups merged for a first, cheaper look at a pair
 NODE = 16  # points of a tree node
 BLOCK = 4096  # documents of a cell that one task compares with as many others
-SPARE = 1
 
 
-def shingle_sets(words: Words) -> tuple[np.ndarray, np.ndarray]:
+@dataclass(frozen=True)
+class Likeness:
+    """What links two documents: ``percent`` of the shingles of ``shingle`` words that either has."""
+
+    shingle: int = 3
+    percent: int = 90
+
+    def __post_init__(self):
+        if self.shingle < 1 or not 50 <= self.percent < 100:
+            raise ValueError(f"no such likeness: {self}")
+
+    @property
+    def least_size(self) -> int:
+        """Smaller sets link with equal ones only."""
+        return -(-self.percent // (100 - self.percent))
+
+    def largest(self, n):
+        """Size of the largest set that can link with one of n."""
+        return 100 * n // self.percent
+
+    def differing(self, n):
+        """How many elements a set of at most n and a linked one that is not smaller differ in at most."""
+        return (100 - self.percent) * n // self.percent
+
+    def spare(self, differ: np.ndarray) -> np.ndarray:
+        """Groups beyond ``differ`` + 1, so many that a set seldom leaves more than these empty."""
+        empty = differ * np.exp(-self.percent**2 / (100 - self.percent) / 100)
+        return np.maximum(1, np.ceil(2 * empty + 4 * np.sqrt(empty))).astype(np.int64)
+
+    def needed(self, n, m):
+        """Least overlap at which sets of these sizes link: 100 i >= p (n + m - i)."""
+        return -(-(self.percent * (n + m)) // (100 + self.percent))
+
+    def least_overlap(self, n, m=None):
+        """Overlap needed with a set of size m, or, if unknown, with any set that can link."""
+        return self.needed(n, m) if m is not None else -(-(self.percent * n) // 100)
+
+
+OWN = Likeness()
+
+
+def shingle_sets(words: Words, shingle: int = OWN.shingle) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct shingle hashes of all rows, one after another, and the edges."""
     h = words.hashes()
     edges = words.edges
     n = words.count
-    per = np.where(n >= SHINGLE, n - SHINGLE + 1, (n > 0).astype(n.dtype))
+    per = np.where(n >= shingle, n - shingle + 1, (n > 0).astype(n.dtype))
     to = np.concatenate([[0], np.cumsum(per)]).astype(np.int64)
     at = np.arange(to[-1]) - np.repeat(to[:-1] - edges[:-1], per)  # first word of each
-    length = np.minimum(np.repeat(n, per), SHINGLE)
+    length = np.minimum(np.repeat(n, per), shingle)
     value = np.zeros(to[-1], U64)
-    for k in range(SHINGLE):
+    for k in range(shingle):
         own = k < length
         value[own] = mix(value[own] * U64(0x9E3779B97F4A7C15) + h[at[own] + k] + U64(k + 1))
     sort_rows(value, to)
@@ -75,30 +117,30 @@ def set_keys(values: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndar
     return out[0], out[1]
 
 
-def size_bands(largest: int) -> np.ndarray:
+def size_bands(largest: int, like: Likeness = OWN) -> np.ndarray:
     """Least set size of each band: a set links only within its own or a neighbouring band."""
-    bands = [9]
+    bands = [like.least_size]
     while bands[-1] <= largest:
-        bands.append(bands[-1] * 10 // 9 + 1)
-    bands.append(bands[-1] * 10 // 9 + 1)
+        bands.append(like.largest(bands[-1]) + 1)
+    bands.append(like.largest(bands[-1]) + 1)
     return np.array(bands)
 
 
-def differing(band: np.ndarray, bands: np.ndarray) -> np.ndarray:
+def differing(band: np.ndarray, bands: np.ndarray, like: Likeness = OWN) -> np.ndarray:
     """How many elements two linked sets differ in at most, the smaller being in ``band``."""
-    return (bands[band + 1] - 1) // 9
+    return like.differing(bands[band + 1] - 1)
 
 
-def cell_keys(values: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def cell_keys(values: np.ndarray, edges: np.ndarray, like: Likeness = OWN) -> tuple[np.ndarray, np.ndarray]:
     """Row and 64-bit key of every cell that a row's set lies in.
 
-    Sets under 9 shingles link with equal ones only and get none. A set meets those of its own
+    Sets under ``like.least_size`` shingles link with equal ones only and get none. A set meets those of its own
     band and the next as the smaller, and those of the band below as the larger one. Where a
     set leaves so many groups empty that the shared ones may all be, its empty groups
     make cells too.
     """
     size = np.diff(edges)
-    bands = size_bands(int(size.max(initial=0)))
+    bands = size_bands(int(size.max(initial=0)), like)
     band = np.searchsorted(bands, size, "right") - 1
     rows, keys = [], []
     high = (values >> U64(32)).astype(np.int64)
@@ -106,7 +148,9 @@ def cell_keys(values: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.nda
     for lower in (0, 1):
         use = band - lower
         valid = use >= 0
-        groups = np.where(valid, differing(np.maximum(use, 0), bands) + 1 + SPARE, 0)
+        differ = differing(np.maximum(use, 0), bands, like)
+        spare = like.spare(differ)
+        groups = np.where(valid, differ + 1 + spare, 0)
         per = size * valid
         if not per.sum():
             continue
@@ -123,7 +167,7 @@ def cell_keys(values: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.nda
         rows.append(who)
         keys.append(mix(sums ^ base))
         filled = np.bincount(who, minlength=len(size))
-        for r in np.flatnonzero(valid & (groups - filled > SPARE)):
+        for r in np.flatnonzero(valid & (groups - filled > spare)):
             empty = np.setdiff1d(np.arange(groups[r]), which[who == r])
             rows.append(np.full(len(empty), r))
             keys.append(mix((U64(use[r]) << U64(32)) + empty.astype(U64) + U64(0xE000000000000001)))
@@ -140,80 +184,84 @@ def count_vectors(values: np.ndarray, edges: np.ndarray) -> np.ndarray:
     return np.bincount(row * GROUPS + group, minlength=len(size) * GROUPS).reshape(-1, GROUPS)
 
 
-def needed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Least overlap at which sets of these sizes link: 100 i >= 90 (a + b - i)."""
-    return -(-(90 * (a + b)) // 190)
-
-
 CELLS = "doc_id long, n long, key1 long, key2 long, cell array<long>"
 
 
-def _cell_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    seen: set[tuple[int, int]] = set()
-    for batch in batches:
-        ids = batch.column(0)
-        for words in word_chunks(batch.column(1), NOT_SPACE):
-            values, edges = shingle_sets(words)
-            one, two = set_keys(values, edges)
-            row, key = cell_keys(values, edges)
-            # Copies within a task lie in the same cells; the first one's are enough.
-            fresh = np.zeros(words.rows, bool)
-            for i, pair in enumerate(zip(one.tolist(), two.tolist(), strict=True)):
-                if pair not in seen:
-                    fresh[i] = True
-                    if len(seen) < 2_000_000:
-                        seen.add(pair)
-            use = fresh[row]
-            row, key = row[use], key[use]
-            order = np.argsort(row, kind="stable")
-            lists = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=words.rows))])
-            cells = pa.ListArray.from_arrays(pa.array(lists, pa.int32()), pa.array(key[order]))
-            yield pa.RecordBatch.from_arrays(
-                [ids.slice(words.first, words.rows), pa.array(np.diff(edges)), pa.array(one),
-                 pa.array(two), cells],
-                names=["doc_id", "n", "key1", "key2", "cell"],
-            )
+def _cell_rows(like: Likeness):
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple[int, int]] = set()
+        for batch in batches:
+            ids = batch.column(0)
+            for words in word_chunks(batch.column(1), NOT_SPACE):
+                values, edges = shingle_sets(words, like.shingle)
+                one, two = set_keys(values, edges)
+                row, key = cell_keys(values, edges, like)
+                # Copies within a task lie in the same cells; the first one's are enough.
+                fresh = np.zeros(words.rows, bool)
+                for i, pair in enumerate(zip(one.tolist(), two.tolist(), strict=True)):
+                    if pair not in seen:
+                        fresh[i] = True
+                        if len(seen) < 2_000_000:
+                            seen.add(pair)
+                use = fresh[row]
+                row, key = row[use], key[use]
+                order = np.argsort(row, kind="stable")
+                lists = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=words.rows))])
+                cells = pa.ListArray.from_arrays(pa.array(lists, pa.int32()), pa.array(key[order]))
+                yield pa.RecordBatch.from_arrays(
+                    [ids.slice(words.first, words.rows), pa.array(np.diff(edges)), pa.array(one),
+                     pa.array(two), cells],
+                    names=["doc_id", "n", "key1", "key2", "cell"],
+                )
+
+    return rows
 
 
 SETS = "doc_id long, n long, counts binary, shingles binary"
 
 
-def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        ids = batch.column(0)
-        for words in word_chunks(batch.column(1), NOT_SPACE):
-            values, edges = shingle_sets(words)
-            counts = count_vectors(values, edges).astype(np.uint32)
-            blobs = [values[a:b].tobytes() for a, b in zip(edges[:-1], edges[1:], strict=True)]
+def _set_rows(like: Likeness):
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column(0)
+            for words in word_chunks(batch.column(1), NOT_SPACE):
+                values, edges = shingle_sets(words, like.shingle)
+                counts = count_vectors(values, edges).astype(np.uint32)
+                blobs = [values[a:b].tobytes() for a, b in zip(edges[:-1], edges[1:], strict=True)]
+                yield pa.RecordBatch.from_arrays(
+                    [ids.slice(words.first, words.rows), pa.array(np.diff(edges)),
+                     pa.array([c.tobytes() for c in counts], pa.binary()), pa.array(blobs, pa.binary())],
+                    names=["doc_id", "n", "counts", "shingles"],
+                )
+
+    return rows
+
+
+def _verified(like: Likeness):
+    def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Of the pairs given with both sets, those that link."""
+        for batch in batches:
+            cols = [batch.column(i).to_pylist() for i in range(2)]
+            ca, cb, sa, sb = (batch.column(i) for i in range(2, 6))
+            keep = []
+            for i in range(batch.num_rows):
+                va = np.frombuffer(ca[i].as_buffer(), np.uint32)
+                vb = np.frombuffer(cb[i].as_buffer(), np.uint32)
+                n, m = int(va.sum()), int(vb.sum())
+                least = like.needed(n, m)
+                if int(np.minimum(va, vb).sum()) < least:
+                    continue
+                a = np.frombuffer(sa[i].as_buffer(), U64)
+                b = np.frombuffer(sb[i].as_buffer(), U64)
+                both = np.concatenate([a, b])
+                both.sort()
+                if int((both[1:] == both[:-1]).sum()) >= least:
+                    keep.append(i)
             yield pa.RecordBatch.from_arrays(
-                [ids.slice(words.first, words.rows), pa.array(np.diff(edges)),
-                 pa.array([c.tobytes() for c in counts], pa.binary()), pa.array(blobs, pa.binary())],
-                names=["doc_id", "n", "counts", "shingles"],
+                [pa.array([c[i] for i in keep], pa.int64()) for c in cols], names=["a", "b"]
             )
 
-
-def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of the pairs given with both sets, those that link."""
-    for batch in batches:
-        cols = [batch.column(i).to_pylist() for i in range(2)]
-        ca, cb, sa, sb = (batch.column(i) for i in range(2, 6))
-        keep = []
-        for i in range(batch.num_rows):
-            va = np.frombuffer(ca[i].as_buffer(), np.uint32)
-            vb = np.frombuffer(cb[i].as_buffer(), np.uint32)
-            n, m = int(va.sum()), int(vb.sum())
-            least = -(-(90 * (n + m)) // 190)
-            if int(np.minimum(va, vb).sum()) < least:
-                continue
-            a = np.frombuffer(sa[i].as_buffer(), U64)
-            b = np.frombuffer(sb[i].as_buffer(), U64)
-            both = np.concatenate([a, b])
-            both.sort()
-            if int((both[1:] == both[:-1]).sum()) >= least:
-                keep.append(i)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([c[i] for i in keep], pa.int64()) for c in cols], names=["a", "b"]
-        )
+    return verified
 
 
 class PackedTree:
@@ -252,12 +300,7 @@ class PackedTree:
         return query, self.order[node]
 
 
-def least_overlap(n: np.ndarray, m: np.ndarray | None) -> np.ndarray:
-    """Overlap needed with a set of size m, or, if unknown, with any set that can link."""
-    return needed(n, m) if m is not None else -(-(9 * n) // 10)
-
-
-def _pairs_in(ids, comp, points, side) -> tuple[np.ndarray, np.ndarray]:
+def _pairs_in(ids, comp, points, side, like: Likeness) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of different components whose overlap bound lets them link.
 
     Both kinds of rows of the most frequent component have nothing to say to each other, so
@@ -274,63 +317,68 @@ def _pairs_in(ids, comp, points, side) -> tuple[np.ndarray, np.ndarray]:
         tree = PackedTree(coarse[right])
         for k in range(0, len(left), 256):
             q = left[k : k + 256]
-            at, hit = tree.search(coarse[q], least_overlap)
+            at, hit = tree.search(coarse[q], like.least_overlap)
             i, j = q[at], right[hit]
             ok = (comp[i] != comp[j]) & (ids[i] != ids[j])
             i, j = i[ok], j[ok]
             sizes = points.sum(axis=1)
-            ok = np.minimum(points[i], points[j]).sum(axis=1) >= needed(sizes[i], sizes[j])
+            ok = np.minimum(points[i], points[j]).sum(axis=1) >= like.needed(sizes[i], sizes[j])
             found.append(np.stack([np.minimum(ids[i], ids[j])[ok], np.maximum(ids[i], ids[j])[ok]]))
     both = np.unique(np.concatenate(found, axis=1), axis=1)
     return both[0], both[1]
 
 
-def _cell_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs within each block pair of each cell; rows come sorted by cell and blocks.
+def _cell_pairs(like: Likeness):
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Pairs within each block pair of each cell; rows come sorted by cell and blocks.
 
-    side: 0 in both blocks of a pair (one block with itself), 1 in the first, 2 in the second.
-    """
-    held: list[pa.RecordBatch] = []
-
-    def flush() -> pa.RecordBatch:
-        t = pa.Table.from_batches(held)
-        col = lambda c: t.column(c).combine_chunks().to_numpy(zero_copy_only=False)
-        points = np.frombuffer(b"".join(t.column("counts").to_pylist()), np.uint32)
-        a, b = _pairs_in(col("doc_id"), col("comp"), points.reshape(-1, GROUPS).astype(np.int32), col("side"))
-        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
-
-    last = None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        keys = np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in range(3)])
-        cuts = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1
-        for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows], strict=True):
-            key = tuple(keys[:, a])
-            if held and key != last:
-                yield flush()
-                held = []
-            last = key
-            held.append(batch.slice(a, b - a))
-    if held:
-        yield flush()
-
-
-def _chunked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+        side: 0 in both blocks of a pair (one block with itself), 1 in the first, 2 in the second.
+        """
+        held: list[pa.RecordBatch] = []
+
+        def flush() -> pa.RecordBatch:
+            t = pa.Table.from_batches(held)
+            col = lambda c: t.column(c).combine_chunks().to_numpy(zero_copy_only=False)
+            points = np.frombuffer(b"".join(t.column("counts").to_pylist()), np.uint32)
+            a, b = _pairs_in(col("doc_id"), col("comp"), points.reshape(-1, GROUPS).astype(np.int32), col("side"), like)
+            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+        last = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys = np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in range(3)])
+            cuts = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1
+            for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows], strict=True):
+                key = tuple(keys[:, a])
+                if held and key != last:
+                    yield flush()
+                    held = []
+                last = key
+                held.append(batch.slice(a, b - a))
+        if held:
+            yield flush()
+
+    return pairs
+
+
+def _chunked(pairs: DataFrame, sets: DataFrame, like: Likeness) -> DataFrame:
     """The pairs (a, b) that link, by a look at both sets."""
     of = lambda s: sets.select(F.col("doc_id").alias(s), F.col("counts").alias(f"c{s}"), F.col("shingles").alias(f"s{s}"))
     both = pairs.join(of("b"), "b").join(of("a"), "a")
-    return both.select("a", "b", "ca", "cb", "sa", "sb").mapInArrow(_verified, "a long, b long")
+    return both.select("a", "b", "ca", "cb", "sa", "sb").mapInArrow(_verified(like), "a long, b long")
 
 
-def _sets_of(docs: DataFrame, ids: DataFrame, broadcast_rows: int = 2_000_000) -> DataFrame:
+def _sets_of(docs: DataFrame, ids: DataFrame, like: Likeness, broadcast_rows: int = 2_000_000) -> DataFrame:
     """Shingle sets of the documents named in ``ids``; broadcast if few enough (8 bytes each)."""
     few = ids.limit(broadcast_rows + 1).count() <= broadcast_rows
     side = F.broadcast(ids) if few else ids
-    return stored(docs.join(side, "doc_id", "left_semi").mapInArrow(_set_rows, SETS), "sets")
+    return stored(docs.join(side, "doc_id", "left_semi").mapInArrow(_set_rows(like), SETS), "sets")
 
 
-def jaccard_components(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def jaccard_components(
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", like: Likeness = OWN
+) -> DataFrame:
     """doc_id, n_shingles and component_id of every row of ``docs``.
 
     component_id is the least id reachable by links, the document's own included. A null or empty text, or one
@@ -339,7 +387,7 @@ def jaccard_components(docs: DataFrame, id_column: str = "doc_id", text_column:
     keep their count and get a null component. Other columns are not read. An empty table gives no rows.
     """
     texts = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
-    rows = stored(texts.mapInArrow(_cell_rows, CELLS), "cells")
+    rows = stored(texts.mapInArrow(_cell_rows(like), CELLS), "cells")
     known = rows.filter(F.col("doc_id").isNotNull() & (F.col("n") > 0))
     # Stored, so that the join below is one Spark can split where a class has very many rows.
     classes = known.groupBy("n", "key1", "key2").agg(
@@ -353,8 +401,8 @@ def jaccard_components(docs: DataFrame, id_column: str = "doc_id", text_column:
     meet = stored(both_ends.filter("hub < last").drop("last"), "meetings")
     firsts = meet.filter("doc_id > hub").groupBy("doc_id").agg(F.min("hub").alias("hub"))
     firsts = stored(firsts.select(F.col("hub").alias("a"), F.col("doc_id").alias("b")), "hubs")
-    sets = _sets_of(texts, stored(meet.select("doc_id").distinct(), "met"))
-    linked = stored(_chunked(firsts, sets), "links")
+    sets = _sets_of(texts, stored(meet.select("doc_id").distinct(), "met"), like)
+    linked = stored(_chunked(firsts, sets, like), "links")
     found = components(linked.union(same))
 
     # Cells that do not lie within one component.
@@ -377,9 +425,9 @@ def jaccard_components(docs: DataFrame, id_column: str = "doc_id", text_column:
     )
     pairs = (
         points.repartition("cell", "low", "high").sortWithinPartitions("cell", "low", "high")
-        .mapInArrow(_cell_pairs, "a long, b long").distinct()
+        .mapInArrow(_cell_pairs(like), "a long, b long").distinct()
     )
-    more = stored(_chunked(stored(pairs, "pairs"), sets), "links")
+    more = stored(_chunked(stored(pairs, "pairs"), sets, like), "links")
     labels = components(found.select(F.col("component").alias("a"), F.col("node").alias("b")).union(more))
     return (
         rows.select("doc_id", "n").join(labels, F.col("doc_id") == F.col("node"), "left")
@@ -387,13 +435,15 @@ def jaccard_components(docs: DataFrame, id_column: str = "doc_id", text_column:
     )
 
 
-def one_of_each(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def one_of_each(
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", like: Likeness = OWN
+) -> DataFrame:
     """The rows of ``docs``, with all their columns, whose document stays.
 
     Of each group of linked documents the one with the least id stays, and of several rows with
     that id those with the least text, once. Documents without words and rows without an id stay.
     """
-    found = stored(jaccard_components(docs, id_column, text_column), "components")
+    found = stored(jaccard_components(docs, id_column, text_column, like), "components")
 
     def among(ids: DataFrame) -> DataFrame:
         """The ids, broadcast if they are few enough (8 bytes each)."""
