@@ -214,6 +214,60 @@ def test_contamination(spark, chars):
     assert Counter(map(tuple, got.collect())) == Counter(texts.contaminated(rows, items))
 
 
+def found_by_hand(rows, items):
+    """doc id, words hit and items found, of the operator's inner search without Spark."""
+    import pyarrow as pa
+
+    from tidemark.llm.blocks import ALNUM, word_chunks
+
+    phrases = decontaminate.phrases_of([str(i) for i, _ in items], [t for _, t in items])
+    out = []
+    for words in word_chunks(pa.array([t for _, t in rows], pa.string()), ALNUM, decontaminate.SHARD_BYTES):
+        hit, row, item = decontaminate.found_in(words, phrases)
+        for k in range(words.rows):
+            found = {phrases.names[x] for x in item[row == k]}
+            out.append((rows[words.first + k][0], int(hit[words.row == k].sum()), len(found)))
+    return out
+
+
+@pytest.mark.parametrize("most", [1, 7, 50])
+def test_an_index_is_cut_without_loss(monkeypatch, most):
+    monkeypatch.setattr(decontaminate, "INDEX_WORDS", most)
+    rows, items = leaky(most)
+    assert found_by_hand(rows, items) == [(r[0], r[2], r[3]) for r in texts.contaminated(rows, items)]
+
+
+def test_a_text_of_over_two_million_known_words():
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    names = np.array([f"w{k}" for k in range(40)])
+    items = [(0, " ".join(names)), *((i, " ".join(names[rng.integers(0, 40, n)])) for i, n in enumerate([10, 10, 12, 30], 1))]
+    words = rng.integers(0, 40, 2**21 + 5000)
+    text = names[words]
+    for k in range(1500):
+        item = np.array(items[k % 5][1].split())
+        at = k * 1400 + 7 if k % 7 else min(2**20 * (1 + k % 2) - 5 + k % 11, len(text) - 50)
+        text[at : at + len(item)] = item
+    text[-30:] = np.array(items[4][1].split())
+    rows = [(1, " ".join(text))]
+    assert found_by_hand(rows, items) == [(r[0], r[2], r[3]) for r in texts.contaminated(rows, items)]
+
+
+def test_suffixes_of_over_two_million_words_are_in_order():
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    text = rng.integers(1, 6, 2**21 + 9)
+    text[-1] = 0
+    left = np.arange(len(text))[::-1]
+    order = decontaminate.suffix_order(text, left)
+    assert len(np.unique(order)) == len(text)
+    for k in rng.integers(1, len(text), 3000):
+        a, b = order[k - 1], order[k]
+        assert tuple(text[a : a + 60]) <= tuple(text[b : b + 60])
+
+
 def test_spans_are_cut_out(spark):
     item = "one two three four five six seven eight nine ten eleven"
     rows = [(1, f"Été before. {item.upper()}! after \U0001f600"), (2, item), (3, "clean")]

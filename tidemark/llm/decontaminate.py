@@ -6,6 +6,9 @@ shorter one), are searched in it backwards, all phrases at once, with ranks from
 matrix over the Burrows-Wheeler transform. Occurrences are located by walking back to
 the next sampled suffix position, and the words they cover are merged into spans for removal.
 
+An index holds about a million words. Longer shards, such as one very long text, are cut into
+stretches that overlap by all but one word of the longest phrase, so that every occurrence lies whole in one.
+
 The index's alphabet is the words of the phrases. Any other word ends a run, since no
 phrase can span it, and a run shorter than the shortest phrase is left out. Texts are
 searched whole and nothing is shuffled. Phrases reach the tasks in blocks of bounded
@@ -28,6 +31,7 @@ from tidemark.llm.common import stored, unused
 PHRASE = 10
 SAMPLE = 8  # every so many positions of a run are kept for locating
 SHARD_BYTES = 6_000_000
+INDEX_WORDS = 1 << 20  # positions of one index; what it takes of memory does not grow with a text
 
 
 class WaveletMatrix:
@@ -61,7 +65,7 @@ def suffix_order(text: np.ndarray, left: np.ndarray) -> np.ndarray:
 
     ``left`` is how many words the run still has at each position, 0 at separators.
     Prefix doubling: ranks by the first 1, 2, 4, ... words, each round one sort of
-    packed (rank, rank further on, position).
+    packed (rank, rank further on, position), or of two keys where the three do not fit 64 bits.
     """
     n = len(text)
     bits = max(1, int(n).bit_length())
@@ -74,14 +78,20 @@ def suffix_order(text: np.ndarray, left: np.ndarray) -> np.ndarray:
         further = np.zeros(n, np.uint64)
         inside = np.flatnonzero(left > reach)
         further[inside] = rank[inside + reach]
-        packed = (((rank << np.uint64(bits)) | further) << np.uint64(bits)) | place
-        packed.sort()
-        order = (packed & np.uint64((1 << bits) - 1)).astype(np.int64)
-        packed >>= np.uint64(bits)
+        if 3 * bits <= 64:
+            packed = (((rank << np.uint64(bits)) | further) << np.uint64(bits)) | place
+            packed.sort()
+            order = (packed & np.uint64((1 << bits) - 1)).astype(np.int64)
+            packed >>= np.uint64(bits)
+            differs = packed[1:] != packed[:-1]
+        else:
+            order = np.lexsort((further, rank))  # stable: equal ones stay in order of position
+            one, two = rank[order], further[order]
+            differs = (one[1:] != one[:-1]) | (two[1:] != two[:-1])
         reach *= 2
         if reach >= longest:
             return order
-        fresh = np.concatenate([[0], np.cumsum(packed[1:] != packed[:-1])]).astype(np.uint64)
+        fresh = np.concatenate([[0], np.cumsum(differs)]).astype(np.uint64)
         rank = np.empty(n, np.uint64)
         rank[order] = fresh + np.uint64(1)
         rank[left == 0] = 0
@@ -180,6 +190,19 @@ def phrase_runs(words: Words, phrases: Phrases) -> tuple[np.ndarray, np.ndarray,
     return text, left, index
 
 
+def stretches(
+    text: np.ndarray, left: np.ndarray, overlap: int, most: int
+) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """First position, symbols and words left in the run, of stretches for one index each.
+
+    ``most`` positions and ``overlap`` further ones: any ``overlap`` + 1 words of a run lie whole in one.
+    """
+    for first in range(0, len(text), most):
+        last = min(first + most + overlap, len(text))
+        own = np.minimum(left[first:last], last - np.arange(first, last))
+        yield first, np.append(text[first:last], 0), np.append(own, 0)
+
+
 def found_in(words: Words, phrases: Phrases) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Per word whether a phrase covers it, and the distinct (row, item) pairs."""
     hit = np.zeros(len(words.start) + 1, np.int64)
@@ -189,21 +212,23 @@ def found_in(words: Words, phrases: Phrases) -> tuple[np.ndarray, np.ndarray, np
     text, left, index = phrase_runs(words, phrases)
     if not len(text):
         return hit[:-1] > 0, none, none
-    fm = FmIndex(text, left, len(phrases.vocabulary))
-    low, high = fm.search(phrases.symbols, phrases.start, phrases.length)
     pairs = []
-    many = np.flatnonzero(high > low)
-    # A few million occurrences at a time.
-    for part in np.split(many, np.flatnonzero(np.diff(np.cumsum((high - low)[many]) // 2_000_000)) + 1):
-        count = (high - low)[part]
-        if not len(part):
-            continue
-        which = np.repeat(part, count)
-        rows = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + low[which]
-        at = index[fm.locate(rows)]
-        hit += np.bincount(at, minlength=len(hit))
-        hit -= np.bincount(at + phrases.length[which], minlength=len(hit))
-        pairs.append(np.unique(words.row[at] * len(phrases.names) + phrases.item[which]))
+    # What is found twice, where stretches overlap, covers the same words.
+    for first, symbols, rest in stretches(text, left, int(phrases.length.max()) - 1, INDEX_WORDS):
+        fm = FmIndex(symbols, rest, len(phrases.vocabulary))
+        low, high = fm.search(phrases.symbols, phrases.start, phrases.length)
+        many = np.flatnonzero(high > low)
+        # A few million occurrences at a time.
+        for part in np.split(many, np.flatnonzero(np.diff(np.cumsum((high - low)[many]) // 2_000_000)) + 1):
+            count = (high - low)[part]
+            if not len(part):
+                continue
+            which = np.repeat(part, count)
+            rows = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + low[which]
+            at = index[first + fm.locate(rows)]
+            hit += np.bincount(at, minlength=len(hit))
+            hit -= np.bincount(at + phrases.length[which], minlength=len(hit))
+            pairs.append(np.unique(words.row[at] * len(phrases.names) + phrases.item[which]))
     both = np.unique(np.concatenate(pairs)) if pairs else none
     return np.cumsum(hit[:-1]) > 0, both // len(phrases.names), both % len(phrases.names)
 
