@@ -115,6 +115,14 @@ def test_jaccard_on_awkward_rows(docs, rows):
     assert all(r.component_id is None for r in got if r.doc_id is None)
 
 
+def test_a_row_without_id_hides_no_links_of_its_copies(spark):
+    words = [f"word{k}" for k in range(60)]
+    rows = [(None, " ".join(words)), (5, " ".join(words)), (6, " ".join([*words, "more"]))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    got = {r.doc_id: r.component_id for r in jaccard.jaccard_components(df).collect()}
+    assert got == {None: None, 5: 5, 6: 5}
+
+
 def test_one_of_each(docs, rows):
     kept = jaccard.one_of_each(docs)
     assert kept.columns == docs.columns

@@ -196,10 +196,11 @@ def _cell_rows(like: Likeness):
                 values, edges = shingle_sets(words, like.shingle)
                 one, two = set_keys(values, edges)
                 row, key = cell_keys(values, edges, like)
-                # Copies within a task lie in the same cells; the first one's are enough.
+                # Copies within a task lie in the same cells; those of the first one with an id are enough.
                 fresh = np.zeros(words.rows, bool)
+                known = ids.slice(words.first, words.rows).is_valid().to_numpy(zero_copy_only=False)
                 for i, pair in enumerate(zip(one.tolist(), two.tolist(), strict=True)):
-                    if pair not in seen:
+                    if known[i] and pair not in seen:
                         fresh[i] = True
                         if len(seen) < 2_000_000:
                             seen.add(pair)
