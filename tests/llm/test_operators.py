@@ -156,6 +156,7 @@ def test_cells_of_any_threshold(percent):
 
     like = jaccard.Likeness(5, percent)
     rng = np.random.default_rng(1)
+    counts = rng.integers(0, 9, jaccard.BUCKETS).astype(np.uint32)
     for n in [*range(like.least_size, 60), 100, 333, 1000]:
         a = rng.integers(0, 2**63, n).astype(np.uint64) << np.uint64(1)
         for m in range(n, 100 * n // percent + 1):
@@ -166,6 +167,8 @@ def test_cells_of_any_threshold(percent):
             values = np.concatenate([np.sort(a), np.sort(b)])
             row, key = jaccard.cell_keys(values, np.array([0, n, n + m]), like)
             assert set(key[row == 0].tolist()) & set(key[row == 1].tolist()), (n, m)
+            row, key = jaccard.rare_keys(values, np.array([0, n, n + m]), counts, like)
+            assert set(key[row == 0].tolist()) & set(key[row == 1].tolist()), (n, m)
     many = np.sort(rng.integers(0, 2**63, (300, 500)).astype(np.uint64) << np.uint64(1), axis=1)
     row, key = jaccard.cell_keys(many.ravel(), np.arange(301) * 500, like)
     assert np.unique(key, return_counts=True)[1].max() <= 3

@@ -11,6 +11,10 @@ asked otherwise.
   neighbouring size bands, meet in a cell, and no link can be missed. A group holds
   about eight shingles at 90 and three at 80, so that passages or lines that many documents share
   seldom make a cell.
+* **Below 90** such groups would hold too few shingles to tell documents apart. Cells are then single
+  shingles: each document's rarest, so many that two linked sets must share one of them. How rare a shingle is
+  is counted over all rows in hash buckets. Any order that is the same for all loses no link; the counts keep
+  what many documents share out of the cells.
 * **Hubs.** In every cell each document is first paired with the cell's least one;
   each document's pair with its least hub is verified. Verified links make components.
   A cell that lies within one component has nothing more to say.
@@ -42,6 +46,8 @@ from tidemark.llm.links import components
 GROUPS = 64
 COARSE = 16  # groups merged for a first, cheaper look at a pair
 NODE = 16  # points of a tree node
+BUCKETS = 1 << 20  # in which shingles are counted
+BUCKET_PARTS = 16
 BLOCK = 4096  # documents of a cell that one task compares with as many others
 
 
@@ -176,6 +182,62 @@ def cell_keys(values: np.ndarray, edges: np.ndarray, like: Likeness = OWN) -> tu
     return np.concatenate(rows), np.concatenate(keys).view(np.int64)
 
 
+def rare_keys(
+    values: np.ndarray, edges: np.ndarray, counts: np.ndarray, like: Likeness
+) -> tuple[np.ndarray, np.ndarray]:
+    """Row and key of every cell that a row's set lies in: its rarest shingles.
+
+    Of n shingles, two linked sets share at least ``least_overlap(n)``. The first one they share, in an order
+    common to all, is therefore among the first n - least_overlap(n) + 1 of either.
+    """
+    size = np.diff(edges)
+    row = np.repeat(np.arange(len(size)), size)
+    order = np.lexsort((values, counts[values & U64(BUCKETS - 1)], row))
+    most = np.where(size >= like.least_size, size - like.least_overlap(size) + 1, 0)
+    use = np.arange(len(values)) - edges[row] < most[row]
+    return row[use], values[order[use]].view(np.int64)
+
+
+def _bucket_counts(like: Likeness):
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(BUCKETS, np.int64)
+        for batch in batches:
+            for words in word_chunks(batch.column(0), NOT_SPACE):
+                values, _ = shingle_sets(words, like.shingle)
+                counts += np.bincount((values & U64(BUCKETS - 1)).astype(np.int64), minlength=BUCKETS)
+        if counts.any():
+            parts = [p.tobytes() for p in np.split(np.minimum(counts, 2**32 - 1).astype(np.uint32), BUCKET_PARTS)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(range(BUCKET_PARTS), pa.int32()), pa.array(parts, pa.binary())], names=["part", "counts"]
+            )
+
+    return counted
+
+
+def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The sums of each part's counts; all rows of a part come to one task."""
+    sums: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for part, counts in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            own = np.frombuffer(counts.as_buffer(), np.uint32).astype(np.int64)
+            sums[part] = sums.get(part, 0) + own
+    if sums:
+        parts = [np.minimum(s, 2**32 - 1).astype(np.uint32).tobytes() for s in sums.values()]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(list(sums), pa.int32()), pa.array(parts, pa.binary())], names=["part", "counts"]
+        )
+
+
+def shingle_counts(texts: DataFrame, like: Likeness) -> np.ndarray:
+    """How many rows hold a shingle of each hash bucket: 4 MB a task, and on the driver."""
+    schema = "part int, counts binary"
+    rows = texts.select("text").mapInArrow(_bucket_counts(like), schema)
+    counts = np.zeros((BUCKET_PARTS, BUCKETS // BUCKET_PARTS), np.uint32)
+    for part, own in rows.repartition("part").mapInArrow(_added, schema).collect():
+        counts[part] = np.frombuffer(bytes(own), np.uint32)
+    return counts.ravel()
+
+
 def count_vectors(values: np.ndarray, edges: np.ndarray) -> np.ndarray:
     """How many of each row's shingles fall in each of the hash groups."""
     size = np.diff(edges)
@@ -187,7 +249,8 @@ def count_vectors(values: np.ndarray, edges: np.ndarray) -> np.ndarray:
 CELLS = "doc_id long, n long, key1 long, key2 long, cell array<long>"
 
 
-def _cell_rows(like: Likeness):
+def _cell_rows(like: Likeness, counts=None):
+    """Cells by groups, or by rare shingles if broadcast ``counts`` are given."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[tuple[int, int]] = set()
         for batch in batches:
@@ -195,7 +258,7 @@ def _cell_rows(like: Likeness):
             for words in word_chunks(batch.column(1), NOT_SPACE):
                 values, edges = shingle_sets(words, like.shingle)
                 one, two = set_keys(values, edges)
-                row, key = cell_keys(values, edges, like)
+                row, key = cell_keys(values, edges, like) if counts is None else rare_keys(values, edges, counts.value, like)
                 # Copies within a task lie in the same cells; those of the first one with an id are enough.
                 fresh = np.zeros(words.rows, bool)
                 known = ids.slice(words.first, words.rows).is_valid().to_numpy(zero_copy_only=False)
@@ -388,7 +451,10 @@ def jaccard_components(
     keep their count and get a null component. Other columns are not read. An empty table gives no rows.
     """
     texts = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
-    rows = stored(texts.mapInArrow(_cell_rows(like), CELLS), "cells")
+    counts = None
+    if like.percent < 90:
+        counts = docs.sparkSession.sparkContext.broadcast(shingle_counts(texts, like))
+    rows = stored(texts.mapInArrow(_cell_rows(like, counts), CELLS), "cells")
     known = rows.filter(F.col("doc_id").isNotNull() & (F.col("n") > 0))
     # Stored, so that the join below is one Spark can split where a class has very many rows.
     classes = known.groupBy("n", "key1", "key2").agg(
