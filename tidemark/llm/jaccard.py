@@ -328,6 +328,22 @@ def _verified(like: Likeness):
     return verified
 
 
+def _likely(like: Likeness):
+    def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Of the pairs given with both count vectors, those whose overlap bound lets them link."""
+        for batch in batches:
+            va, vb = (
+                np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint32).reshape(-1, GROUPS).astype(np.int64)
+                for i in (2, 3)
+            )
+            keep = np.minimum(va, vb).sum(axis=1) >= like.needed(va.sum(axis=1), vb.sum(axis=1))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(i).filter(pa.array(keep)) for i in (0, 1)], names=["a", "b"]
+            )
+
+    return likely
+
+
 class PackedTree:
     """An R-tree over count vectors, packed bottom-up in sort order.
 
@@ -433,6 +449,14 @@ def _chunked(pairs: DataFrame, sets: DataFrame, like: Likeness) -> DataFrame:
     return both.select("a", "b", "ca", "cb", "sa", "sb").mapInArrow(_verified(like), "a long, b long")
 
 
+def _bounded(pairs: DataFrame, sets: DataFrame, like: Likeness) -> DataFrame:
+    """The pairs (a, b) that can link, by their count vectors alone; whole sets are sent for those only."""
+    of = lambda s: sets.select(F.col("doc_id").alias(s), F.col("counts").alias(f"c{s}"))
+    both = pairs.join(of("b"), "b").join(of("a"), "a")
+    # Several rows with an id have each their own sets.
+    return both.select("a", "b", "ca", "cb").mapInArrow(_likely(like), "a long, b long").distinct()
+
+
 def _sets_of(docs: DataFrame, ids: DataFrame, like: Likeness, broadcast_rows: int = 2_000_000) -> DataFrame:
     """Shingle sets of the documents named in ``ids``; broadcast if few enough (8 bytes each)."""
     few = ids.limit(broadcast_rows + 1).count() <= broadcast_rows
@@ -469,7 +493,8 @@ def jaccard_components(
     firsts = meet.filter("doc_id > hub").groupBy("doc_id").agg(F.min("hub").alias("hub"))
     firsts = stored(firsts.select(F.col("hub").alias("a"), F.col("doc_id").alias("b")), "hubs")
     sets = _sets_of(texts, stored(meet.select("doc_id").distinct(), "met"), like)
-    linked = stored(_chunked(firsts, sets, like), "links")
+    likely = stored(_bounded(firsts, sets, like), "likely")
+    linked = stored(_chunked(likely, sets, like), "links")
     found = components(linked.union(same))
 
     # Cells that do not lie within one component.
