@@ -541,7 +541,8 @@ def test_pipeline_stages(spark):
         before = out
     good, distinct, clean, mixed, sharded = seen.values()
     assert good >= distinct >= clean and clean == mixed == sharded
-    groups = texts.jaccard([tuple(r) for r in docs.filter(F.col("doc_id").isin(*good)).select("doc_id", "text").collect()])
+    kept = docs.filter(F.col("doc_id").isin(*good)).select("doc_id", "text").collect()
+    groups = texts.jaccard([tuple(r) for r in kept], 5, 80)
     assert distinct == {i for i, (_, c) in groups.items() if c == i}
     items = [tuple(r) for r in spark.read.parquet(f"{sf}/benchmark.parquet").select("item_id", "text").collect()]
     leaks = {r[0] for r in texts.contaminated([tuple(r) for r in docs.select("doc_id", "text").collect()], items) if r[5]}

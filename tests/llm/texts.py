@@ -2,9 +2,11 @@
 
 import collections
 import hashlib
+import itertools
 import math
 import random
 import re
+import zlib
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score double, n_words string, label int"
 LABELS = "doc_id long, quality int, toxic int"
@@ -156,3 +158,73 @@ def base_matches(text, formats, by_start: bool) -> tuple:
     found.sort(key=lambda f: f[:2] if by_start else (f[1], f[0]))
     joined = ",".join(f"{name}:{a}:{b}" for a, _, b, name in found)
     return (*(sum(f[3] == name for f in found) for name, _, _ in formats), hashlib.sha256(joined.encode()).hexdigest())
+
+
+def merkle(rows: list[tuple]) -> list[tuple]:
+    """Rows (doc_id, source, lang, n_chars, text) with leaf, subroot, root, proof, folded root and verdict."""
+    h = lambda s: hashlib.sha256(s.encode()).hexdigest()
+
+    def leaf(fields):
+        return h("".join("-" if f is None else f"{len(str(f).encode())}:{f}" for f in fields))
+
+    def tree(nodes):
+        levels = [nodes]
+        while len(levels[-1]) > 1:
+            levels.append([h("".join(levels[-1][k : k + 8])) for k in range(0, len(levels[-1]), 8)])
+        return levels
+
+    def way(levels, k):
+        out = []
+        for nodes in levels[:-1]:
+            first = k - k % 8
+            out.append((nodes[first:k], nodes[k + 1 : first + 8]))
+            k //= 8
+        return out
+
+    groups = collections.defaultdict(list)
+    for r in rows:
+        groups["" if r[2] is None else "=" + r[2]].append((leaf(r), r))
+    names = sorted(groups, key=str.encode)
+    for n in names:
+        groups[n].sort(key=lambda g: (g[1][0] is not None, g[1][0] or 0, g[0]))
+    trees = {n: tree([g[0] for g in groups[n]]) for n in names}
+    crown = tree([trees[n][-1][0] for n in names])
+    out = []
+    for k, n in enumerate(names):
+        for i, (own, r) in enumerate(groups[n]):
+            path = way(trees[n], i) + way(crown, k)
+            node = own
+            if zlib.crc32(b"" if r[0] is None else str(r[0]).encode()) % 3 == 0 and r[4] is not None:
+                node = leaf((*r[:4], ascii_lower(r[4])))
+            for before, after in path:
+                node = h("".join(before) + node + "".join(after))
+            proof = h("".join("".join(b + a) for b, a in path))
+            out.append((r[0], own, trees[n][-1][0], crown[-1][0], proof, node, node == crown[-1][0]))
+    return out
+
+
+def filter_steps(rows: list[tuple], labels: list[tuple]) -> dict:
+    """(part, order, step) to its seven numbers; rows are (doc_id, source, text)."""
+    good = {i for i, q, _ in labels if q == 1}
+    toxic = {i for i, _, t in labels if t == 1}
+    first = {}
+    for i, _, text in rows:
+        if i is not None:
+            first[text or ""] = min(first.get(text or "", i), i)
+    parts = collections.defaultdict(list)
+    for i, source, text in rows:
+        w, t = spaced_words(text), text or ""
+        fails = {"A": len(w) < 50, "B": 100 * len(set(w)) < 65 * len(w), "C": 100 * len(re.findall("[A-Z]", t)) > 5 * len(t),
+                 "D": bool(re.search("[#$%&*|]", t)), "E": i is not None and i > first[t]}
+        parts[source or ""].append((i, {k for k, v in fails.items() if v}))
+    out, shapley = {}, collections.Counter()
+    for part, found in parts.items():
+        for order in itertools.permutations("ABCDE"):
+            for k, f in enumerate(order):
+                past, upto = set(order[:k]), set(order[: k + 1])
+                removed = [i for i, m in found if f in m and not m & past]
+                shapley[part, f] += len(removed)
+                out[part, "".join(order), k + 1] = (
+                    sum(not m & upto for _, m in found), len(removed), sum(f in m and bool(m & past) for _, m in found),
+                    sum(m == {f} for _, m in found), sum(i is not None and i in good for i in removed), sum(i is not None and i in toxic for i in removed))
+    return {key: (*v, shapley[key[0], key[1][key[2] - 1]]) for key, v in out.items()}

@@ -1,6 +1,6 @@
 """SQL twins of the text queries that SQL can express.
 
-Not here: op1, op3 and op8 fit models, op4 and op7 need positions of pattern matches and, besides, a
+Not here: op1, op3 and op8 fit models, op11 merges by a vocabulary, op4 and op7 need positions of pattern matches and, besides, a
 test battery and trees; the pipeline has such a stage too. Those are tested against brute force or
 held-out labels.
 """
@@ -129,16 +129,23 @@ SELECT doc_id, source, n_tokens, round(weight, 12) AS weight, epoch::INTEGER AS
 FROM (SELECT *, unnest(range(copies)) AS epoch FROM n)
 """
 
-_OP6 = """
-WITH RECURSIVE steps(i, k, c) AS (  -- the table of CRC-32 by its polynomial
+# The table of CRC-32 by its polynomial, and the checksum of a text by it.
+_CRC_TABLE = """steps(i, k, c) AS (
   SELECT range, 0, range FROM range(256)
   UNION ALL SELECT i, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM steps WHERE k < 8),
-crc AS (SELECT list(c ORDER BY i) AS t FROM steps WHERE k = 8),
+crc AS (SELECT list(c ORDER BY i) AS t FROM steps WHERE k = 8)"""
+
+
+def _crc(text: str) -> str:
+    return f"""xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(
+           regexp_extract_all(hex(encode({text})), '..'), lambda h: ('0x' || h)::BIGINT)),
+           lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295::BIGINT)"""
+
+
+_OP6 = f"""
+WITH RECURSIVE {_CRC_TABLE},
 d AS (
-  SELECT doc_id, md5(text) AS k, strlen(coalesce(text, ''))::BIGINT + 16 AS size,
-         xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(
-           regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda h: ('0x' || h)::BIGINT)),
-           lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295::BIGINT) AS text_crc32
+  SELECT doc_id, md5(text) AS k, strlen(coalesce(text, ''))::BIGINT + 16 AS size, {_crc("coalesce(text, '')")} AS text_crc32
   FROM documents, crc),
 s AS (
   SELECT *, sum(size) OVER (ORDER BY k NULLS FIRST, doc_id NULLS FIRST ROWS UNBOUNDED PRECEDING) - size AS before,
@@ -177,10 +184,88 @@ SELECT doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, c.component_id
 FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a) c USING (doc_id)
 """
 
+def _op12(levels: int = 7) -> str:
+    """Trees of up to 8 ** levels leaves: each level a grouping by the place divided by eight."""
+
+    def leaf(text: str) -> str:
+        parts = [f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen({c}::VARCHAR) || ':' || {c}::VARCHAR END"
+                 for c in ("doc_id", "source", "lang", "n_chars", text)]
+        return "sha256(" + " || ".join(parts) + ")"
+
+    def tree(name: str) -> list[str]:
+        return [f"""{name}{k + 1} AS (
+  SELECT g, i // 8 AS i, (max(n) + 7) // 8 AS n, CASE WHEN max(n) = 1 THEN max(h) ELSE sha256(string_agg(h, '' ORDER BY i)) END AS h
+  FROM {name}{k} GROUP BY g, i // 8)""" for k in range(levels)]
+
+    def folds(name: str, key: str, source: str) -> list[str]:
+        """Level by level: the runs that nodes lie in, and what leaf and siblings make of ``source``."""
+        out = []
+        for k in range(levels):
+            out.append(f"""{name}p{k} AS (
+  SELECT x.{key}, coalesce(string_agg(y.h, '' ORDER BY y.i) FILTER (WHERE y.i < x.i // {8 ** k}), '') AS before,
+         coalesce(string_agg(y.h, '' ORDER BY y.i) FILTER (WHERE y.i > x.i // {8 ** k}), '') AS after, max(y.n) > 1 AS more
+  FROM {name}0 x JOIN {name}{k} y ON x.g = y.g AND x.i // {8 ** (k + 1)} = y.i // 8 GROUP BY x.{key})""")
+            out.append(f"""{name}f{k} AS (
+  SELECT s.r, s.name, s.doc_id, s.leaf, s.proof || w.before || w.after AS proof,
+         CASE WHEN w.more THEN sha256(w.before || s.folded || w.after) ELSE s.folded END AS folded
+  FROM {source} s JOIN {name}p{k} w USING ({key}))""")
+            source = f"{name}f{k}"
+        return out
+
+    lower = leaf(f"translate(text, '{UPPER}', '{LOWER}')")
+    checksum = _crc("coalesce(doc_id::VARCHAR, '')")
+    ctes = [
+        _CRC_TABLE,
+        f"""d AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce('=' || lang, '') AS name, {leaf("text")} AS leaf, '' AS proof,
+         CASE WHEN {checksum} % 3 = 0 THEN {lower} ELSE {leaf("text")} END AS folded FROM documents, crc)""",
+        """a0 AS (SELECT name AS g, row_number() OVER (PARTITION BY name ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i,
+  count(*) OVER (PARTITION BY name) AS n, leaf AS h, r FROM d)""",
+        *tree("a"),
+        f"b0 AS (SELECT '' AS g, row_number() OVER (ORDER BY g) - 1 AS i, count(*) OVER () AS n, h, g AS name FROM a{levels})",
+        *tree("b"), *folds("a", "r", "d"), *folds("b", "name", f"af{levels - 1}"),
+    ]
+    return f"""
+WITH RECURSIVE {", ".join(ctes)}
+SELECT f.doc_id, f.leaf, a.h AS subroot, b.h AS root, sha256(f.proof) AS proof_sha256, f.folded AS folded_root, f.folded = b.h AS verified
+FROM bf{levels - 1} f JOIN a{levels} a ON f.name = a.g, b{levels} b
+"""
+
+
+_OP13 = """
+WITH l AS (SELECT doc_id, max(coalesce(quality = 1, false)::INT) AS good, max(coalesce(toxic = 1, false)::INT) AS toxic FROM labels GROUP BY doc_id),
+t AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+             regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+m AS (SELECT part, good, toxic,
+             (len(w) < 50)::INT + 2 * (100 * len(list_distinct(w)) < 65 * len(w))::INT
+             + 4 * (100 * len(regexp_replace(text, '[^A-Z]', '', 'g')) > 5 * length(text))::INT
+             + 8 * regexp_matches(text, '[#$%&*|]')::INT
+             + 16 * coalesce(doc_id > min(doc_id) OVER (PARTITION BY text), false)::INT AS mask
+      FROM t LEFT JOIN l USING (doc_id)),
+c AS (SELECT part, mask, count(*) AS n, coalesce(sum(good), 0) AS good, coalesce(sum(toxic), 0) AS toxic FROM m GROUP BY part, mask),
+x AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f, unnest([1, 2, 4, 8, 16]) AS b),
+o AS (SELECT a.f || b.f || c.f || d.f || e.f AS filter_order, [a.b, b.b, c.b, d.b, e.b] AS bits
+      FROM x a, x b, x c, x d, x e WHERE len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5),
+s AS (SELECT filter_order, step, bits[step] AS bit, coalesce(list_sum(bits[1 : step - 1]), 0)::INT AS past
+      FROM (SELECT *, unnest(range(1, 6))::INTEGER AS step FROM o)),
+r AS (SELECT part, filter_order, step, bit,
+             sum(CASE WHEN mask & (past | bit) = 0 THEN n ELSE 0 END)::BIGINT AS kept,
+             sum(CASE WHEN mask & past = 0 AND mask & bit <> 0 THEN n ELSE 0 END)::BIGINT AS removed,
+             sum(CASE WHEN mask & past <> 0 AND mask & bit <> 0 THEN n ELSE 0 END)::BIGINT AS redundant,
+             sum(CASE WHEN mask = bit THEN n ELSE 0 END)::BIGINT AS unique_fails,
+             sum(CASE WHEN mask & past = 0 AND mask & bit <> 0 THEN good ELSE 0 END)::BIGINT AS good_lost,
+             sum(CASE WHEN mask & past = 0 AND mask & bit <> 0 THEN toxic ELSE 0 END)::BIGINT AS toxic_lost
+      FROM c, s GROUP BY part, filter_order, step, bit)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, bit))::BIGINT AS shapley FROM r
+"""
+
 ORACLE = {
     "op2_adaptive_rules": _op2(),
     "op5_temperature_mix": _OP5,
     "op6_prefix_sum_shards": _OP6,
     "op9_fm_index_decontamination": _OP9,
     "op10_jaccard_join": _OP10,
+    "op12_merkle_manifest": _op12(),
+    "op13_filter_audit": _OP13,
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, jaccard, lm_scoring, mixing, pii, secrets, sharding
+from tidemark.llm import decontaminate, filter_audit, jaccard, lm_scoring, merkle, mixing, pii, secrets, sharding, token_counts
 from tidemark.llm import quality_classifier as quality
 from tidemark.llm import quality_rules as rules
 from tidemark.llm import toxicity
@@ -83,6 +83,22 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op11_rank_synchronous_tokens(spark: SparkSession, sf_dir: str, model: str = "piece_bpe_32k.model") -> DataFrame:
+    import public_tokenizers
+
+    merges = token_counts.merge_table(public_tokenizers.path(model))
+    return token_counts.token_report(table(spark, sf_dir, "documents"), merges, limit=4096)
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return merkle.manifest(docs, **merkle.lower_cased_thirds(docs))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.filter_interactions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_lexicon_toxicity": op1_lexicon_toxicity,
     "op2_adaptive_rules": op2_adaptive_rules,
@@ -94,4 +110,7 @@ QUERIES = {
     "op8_pairwise_quality": op8_pairwise_quality,
     "op9_fm_index_decontamination": op9_fm_index_decontamination,
     "op10_jaccard_join": op10_jaccard_join,
+    "op11_rank_synchronous_tokens": op11_rank_synchronous_tokens,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_filter_audit": op13_filter_audit,
 }
