@@ -19,18 +19,20 @@ from tidemark.llm.common import stored
 
 FILTERS = "ABCDE"
 COPY = "E"  # the one that looks at other documents
+LETTERS = "array(" + ", ".join(f"named_struct('letter', '{f}', 'bit', {1 << k})" for k, f in enumerate(FILTERS)) + ")"
 
 # The walk. A row is a prefix and a mask cell; the flags say what the prefix's last filter does to the cell.
 WALK = """
 WITH RECURSIVE walk(prefix, step, letter, applied, mask, kept, removed, redundant, alone) AS (
   SELECT CAST('' AS STRING), 0, CAST('' AS STRING), 0, mask, 1, 0, 0, 0 FROM {masks}
   UNION ALL
-  SELECT concat(w.prefix, l.letter), w.step + 1, l.letter, w.applied | l.bit, w.mask,
-         CAST(w.mask & (w.applied | l.bit) = 0 AS INT),
-         CAST(w.mask & w.applied = 0 AND w.mask & l.bit <> 0 AS INT),
-         CAST(w.mask & w.applied <> 0 AND w.mask & l.bit <> 0 AS INT),
-         CAST(w.mask = l.bit AS INT)
-  FROM walk w JOIN {letters} l ON w.applied & l.bit = 0
+  SELECT concat(w.prefix, l.letter), w.step + 1, l.letter, w.applied | l.bit, m.mask,
+         CAST(m.mask & (w.applied | l.bit) = 0 AS INT),
+         CAST(m.mask & w.applied = 0 AND m.mask & l.bit <> 0 AS INT),
+         CAST(m.mask & w.applied <> 0 AND m.mask & l.bit <> 0 AS INT),
+         CAST(m.mask = l.bit AS INT)
+  FROM walk w JOIN {masks} m ON m.mask = w.mask
+  LATERAL VIEW explode(filter({letters}, l -> w.applied & l.bit = 0)) AS l
 )
 SELECT * FROM walk WHERE step > 0
 """
@@ -99,8 +101,7 @@ def filter_interactions(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     cells = stored(failure_cells(docs, labels), "cells")
-    letters = spark.createDataFrame([(name, 1 << k) for k, name in enumerate(FILTERS)], "letter string, bit int")
-    walk = stored(spark.sql(WALK, masks=cells.select("mask").distinct(), letters=letters), "walk")
+    walk = stored(spark.sql(WALK.replace("{letters}", LETTERS), masks=stored(cells.select("mask").distinct().coalesce(1), "mask-cells")), "walk")
     # The walk has 325 rows for each of at most 32 masks, the orders are 120 of 5 steps: bounded sides.
     weights = F.broadcast(walk.withColumnRenamed("mask", "__mask"))
     lost = F.col("n") * F.col("removed")
