@@ -1,6 +1,7 @@
 """Stored versions, change feeds, sync, and what a failed write leaves."""
 
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,6 +9,7 @@ from support import rows_of
 
 from tidemark.operators import cdc
 from tidemark.operators.changefeed import CHANGE, apply_feed, change_feed
+from tidemark.sources import manifest
 from tidemark.sources.changes import stream_raw
 from tidemark.sources.tables import (
     CdcTable,
@@ -40,12 +42,14 @@ def kinds(path, version):
     return {p.name for p in (path / f"version={version}").glob("kind=*")}
 
 
-def test_newer_events_do_not_rewrite_ended_versions(spark, table, tmp_path):
+def test_ended_versions_are_not_rewritten(spark, table, tmp_path):
+    """Newer events add to them, and late ones patch them."""
     table.apply(changes(spark, 1), 0, **ARGUMENTS)
     table.apply(changes(spark, 2, since=1000), 1, **ARGUMENTS)
-    assert "kind=base" not in kinds(tmp_path / "t", 1)
+    assert kinds(tmp_path / "t", 1) == {"kind=delta", "kind=add"}
     table.apply(changes(spark, 3, rows=5, since=500), 2, **ARGUMENTS)
-    assert "kind=base" in kinds(tmp_path / "t", 2)
+    assert kinds(tmp_path / "t", 2) == {"kind=add", "kind=patch"}
+    assert sum(f.rows for f in table.manifest(2).files if f.version == 2) == 2 * 5
     every = changes(spark, 1).union(changes(spark, 2, since=1000)).union(
         changes(spark, 3, rows=5, since=500)
     )
@@ -54,12 +58,12 @@ def test_newer_events_do_not_rewrite_ended_versions(spark, table, tmp_path):
     assert rows_of(table.current()) == rows_of(cdc.current_versions(expected))
 
 
-def test_a_write_without_its_success_mark_is_ignored_and_replaced(spark, table, tmp_path):
+def test_data_without_its_manifest_is_ignored_and_replaced(spark, table, tmp_path):
     table.apply(changes(spark, 1), 0, **ARGUMENTS)
     before = rows_of(table.read())
     table.apply(changes(spark, 2, since=1000), 1, **ARGUMENTS)
     after = rows_of(table.read())
-    (tmp_path / "t" / "version=1" / "_SUCCESS").unlink()
+    next((tmp_path / "t" / "_manifest").glob("*1.json")).unlink()
     assert table.newest() == 0 and rows_of(table.read()) == before
     table.apply(changes(spark, 2, since=1000), 1, **ARGUMENTS)
     assert rows_of(table.read()) == after
@@ -204,14 +208,23 @@ def test_lower_and_foreign_versions_are_refused(spark, tmp_path, scd_type):
     assert rows_of(table.read()) == before
 
 
-def test_a_cluster_without_success_marks_is_noticed(spark, table):
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    conf.set("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
-    try:
-        with pytest.raises(RuntimeError):
-            table.apply(changes(spark, 1), 0, **ARGUMENTS)
-    finally:
-        conf.unset("mapreduce.fileoutputcommitter.marksuccessfuljobs")
+def test_a_failure_between_data_and_manifest_leaves_the_old_version(spark, table, monkeypatch):
+    """Also when the newest version is written again: its files stay until then."""
+    table.apply(changes(spark, 1), 0, writer="a", **ARGUMENTS)
+    before = rows_of(table.read())
+    for version in (0, 1):
+        with monkeypatch.context() as m:
+            m.setattr(manifest, "commit", lambda *_: 1 / 0)
+            with pytest.raises(ZeroDivisionError):
+                table.apply(changes(spark, 2, since=1000), version, writer="a", **ARGUMENTS)
+        assert table.newest() == 0 and rows_of(table.read()) == before
+    table.apply(changes(spark, 2, since=1000), 1, writer="a", **ARGUMENTS)
+    table.apply(changes(spark, 3, since=2000), 2, writer="a", **ARGUMENTS)
+    every = changes(spark, 1).union(changes(spark, 2, since=1000)).union(changes(spark, 3, since=2000))
+    expected = cdc.visible(cdc.apply_changes(None, every, keys=["id"], scd_type=2, **ARGUMENTS))
+    assert rows_of(table.read()) == rows_of(expected)
+    table.expire(2)
+    assert rows_of(table.read()) == rows_of(expected)
 
 
 @pytest.mark.parametrize("scd_type", [1, 2])
@@ -235,8 +248,8 @@ def test_buckets_are_folded_by_what_has_piled_up(spark, tmp_path):
     for k, version in enumerate(range(1, 21, 2)):
         for t in (table, plain):
             t.apply(changes(spark, version, rows=60, since=k * 1000), version, **ARGUMENTS)
-        parts = table._parts(version)
-        assert max(len(p) for side in parts.values() for p in side.values()) <= 4
+        layers = {(f.bucket, f.kind in ("open", "delta"), f.version) for f in table.manifest(version).files}
+        assert max(Counter((b, side) for b, side, _ in layers).values()) <= 4
     assert rows_of(table.read()) == rows_of(plain.read())
     assert rows_of(table.current()) == rows_of(plain.current())
 
@@ -256,3 +269,96 @@ def test_a_filter_on_the_clustering_column_skips_files(spark, tmp_path):
         stats = pq.ParquetFile(file).metadata.row_group(0).column(1).statistics
         bounds.append((stats.min, stats.max))
     assert len(bounds) > 1 and sum(a <= 7 <= b for a, b in bounds) < len(bounds)
+
+
+def history_of(logs, **more):
+    every = logs[0]
+    for log in logs[1:]:
+        every = every.union(log)
+    return cdc.visible(cdc.apply_changes(None, every, keys=["id"], scd_type=2, **ARGUMENTS, **more))
+
+
+def test_late_events_write_the_versions_they_split(spark, tmp_path):
+    """A batch in which 1 of 1000 events is late."""
+    table = CdcTable(spark, str(tmp_path / "t"), ["id"], 2, buckets=8)
+    logs = [spark.range(4_000).selectExpr("id", f"id + {k * 100_000} AS lsn", "'u' AS op", f"cast({k} AS int) AS v") for k in range(3)]
+    for version, log in enumerate(logs):
+        table.apply(log, version, **ARGUMENTS)
+    fresh = spark.range(2_000).selectExpr("id", "id + 300000 AS lsn", "'u' AS op", "3 AS v")
+    late = spark.createDataFrame([(5, 50_000, "u", 9), (3_000, 50_000, "d", None)], SCHEMA)
+    table.apply(fresh.union(late), 3, **ARGUMENTS)
+    written = [f for f in table.manifest(3).files if f.version == 3]
+    # 2000 new rows, the 2000 they end, and for each late event itself and the version it splits.
+    assert sum(f.rows for f in written) == 2 * 2_000 + 2 * 2
+    assert sum(f.rows for f in written if f.kind == "patch") == 2
+    assert rows_of(table.read()) == rows_of(history_of([*logs, fresh, late]))
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_patched_history_equals_all_events_at_once(spark, tmp_path, seed):
+    """Batches in any order, with repeats and equal sequences; folded buckets; earlier versions stay readable."""
+    rng = random.Random(seed)
+    data = [(rng.randrange(9), rng.randrange(40), rng.choice("uuud"), rng.randrange(5)) for _ in range(120)]
+    table = CdcTable(spark, str(tmp_path / "t"), ["id"], 2, buckets=3, rewrite_every=rng.choice([2, 50]))
+    logs, seen = [], {}
+    for version in range(5):
+        part = [r for r in data if rng.random() < 0.3] or data[:1]
+        logs.append(spark.createDataFrame(part, SCHEMA))
+        table.apply(logs[-1], version, **ARGUMENTS)
+        expected = history_of(logs)
+        seen[version] = rows_of(expected)
+        assert rows_of(table.read()) == seen[version]
+        for sequence in (rng.randrange(40), 100) if version % 2 else ():
+            assert rows_of(table.as_of(sequence)) == rows_of(cdc.versions_as_of(expected, sequence)), (version, sequence)
+    assert rows_of(table.read(1)) == seen[1] and rows_of(table.read(3)) == seen[3]
+
+
+def test_patches_with_log_positions(spark, tmp_path):
+    """Equal sequences are ordered by log position, also against stored versions."""
+    schema = "id bigint, lsn bigint, op string, v int, position bigint"
+    batches = [
+        [(1, 10, "u", 1, 5), (1, 20, "u", 2, 6), (1, 30, "u", 3, 7)],
+        [(1, 20, "u", 22, 9), (1, 10, "u", 11, 1)],  # the first comes after what is stored, the second before
+        [(1, 30, "u", 33, 1), (1, 20, "u", 2, 6), (1, 15, "u", 15, 1)],
+    ]
+    table = CdcTable(spark, str(tmp_path / "t"), ["id"], 2, buckets=2)
+    logs = [spark.createDataFrame(b, schema) for b in batches]
+    for version, log in enumerate(logs):
+        table.apply(log, version, tie_by=["position"], **ARGUMENTS)
+    got = rows_of(table.read(), ["v", "__START_AT", "__END_AT"])
+    assert set(got) == {(1, 10, 15), (15, 15, 20), (22, 20, 30), (3, 30, None)} and sum(got.values()) == 4
+
+
+def test_an_early_as_of_read_opens_few_files(spark, tmp_path):
+    table = CdcTable(spark, str(tmp_path / "t"), ["id"], 2, buckets=4)
+    logs = [spark.range(400).selectExpr("id", f"id + {k * 1_000} AS lsn", "'u' AS op", f"cast({k} AS int) AS v") for k in range(6)]
+    for version, log in enumerate(logs):
+        table.apply(log, version, **ARGUMENTS)
+    early = table.as_of(1_500)
+    opened, every = set(early.inputFiles()), {f.path for f in table.manifest(5).files}
+    # Of six batches the first two hold rows that had started, the next one those that end later.
+    assert len({p.split("version=")[1].split("/")[0] for p in opened}) == 3 and 2 * len(opened) < len(every)
+    assert rows_of(early) == rows_of(cdc.versions_as_of(history_of(logs), 1_500))
+
+
+def test_a_read_lists_one_manifest(spark, tmp_path, monkeypatch):
+    table = CdcTable(spark, str(tmp_path / "t"), ["id"], 2, buckets=4)
+    for version in range(3):
+        table.apply(changes(spark, version, since=version * 1000), version, **ARGUMENTS)
+    asked = []
+    listed, loaded = manifest.list_paths, manifest._read_bytes
+    monkeypatch.setattr(manifest, "list_paths", lambda s, p: (asked.append(p), listed(s, p))[1])
+    monkeypatch.setattr(manifest, "_read_bytes", lambda s, p: (asked.append(p), loaded(s, p))[1])
+    table.read(2)
+    assert [p.rsplit("/", 1)[1] for p in asked] == ["*.json", "000000000002.json"]
+
+
+def test_a_feed_of_layers_compares_only_their_keys(spark, tmp_path):
+    """Buckets with new layers by the keys in those, folded ones as a whole."""
+    for every in (50, 1):
+        table = CdcTable(spark, str(tmp_path / f"t{every}"), ["id"], 1, buckets=4, rewrite_every=every)
+        table.apply(changes(spark, 1), 0, **ARGUMENTS)
+        for version in (1, 2, 3):
+            table.apply(changes(spark, 1 + version, rows=9, since=900 - 300 * version), version, **ARGUMENTS)
+        for start in (0, 1, 2):
+            assert rows_of(table.feed(start, 3)) == rows_of(change_feed(table.read(start), table.read(3), ["id"]))

@@ -20,7 +20,9 @@ from tidemark.operators.ordered import with_neighbours
 from tidemark.settings import SkewLimits
 
 START, END, DELETED, TIE = "__START_AT", "__END_AT", "__deleted", "__tie"
-_BOOKKEEPING = (START, END, DELETED, TIE)
+# Only while merging: the row was stored already, and where it ended.
+STORED, OLD_END = "__stored", "__old_end"
+_BOOKKEEPING = (START, END, DELETED, TIE, STORED, OLD_END)
 
 
 def _column(expression: Column | str) -> Column:
@@ -71,11 +73,13 @@ def to_events(
 def _order(events: DataFrame, keys: list[str]) -> list[str]:
     """Sequence first, then the log position or else all other columns.
 
-    Both are kept in the state, so every later merge breaks ties the same way.
+    Both are kept in the state, so every later merge breaks ties the same way. A row stored
+    already follows its repetition.
     """
+    stored = [STORED] if STORED in events.columns else []
     if TIE in events.columns:
-        return [START, TIE]
-    return [START, DELETED, *[c for c in events.columns if c not in (*keys, *_BOOKKEEPING)]]
+        return [START, TIE, *stored]
+    return [START, DELETED, *[c for c in events.columns if c not in (*keys, *_BOOKKEEPING)], *stored]
 
 
 def latest(events: DataFrame, keys: list[str]) -> DataFrame:
@@ -98,14 +102,17 @@ def history(
     limits: SkewLimits,
     measured_on: DataFrame | None = None,
     partitions: int | None = None,
+    previous: str | None = None,
 ) -> DataFrame:
     """Every event with its end; of events with equal sequence the last one.
 
     One shuffle and one sort serve both: an event followed by one of the same
-    sequence is superseded by it.
+    sequence is superseded by it. ``previous`` names a column for the sequence of the event before,
+    superseded or not.
     """
+    wanted = {END: (START, 1)} | ({previous: (START, -1)} if previous else {})
     closed = with_neighbours(
-        events, keys, _order(events, keys), {END: (START, 1)}, limits, measured_on, partitions
+        events, keys, _order(events, keys), wanted, limits, measured_on, partitions
     )
     return closed.filter(F.col(END).isNull() | (F.col(END) > F.col(START)))
 

@@ -1,20 +1,21 @@
 """Tables on plain Parquet that change batch by batch.
 
-A batch writes the folder ``<table>/version=<batch>``; it counts once Spark's
-committer has put ``_SUCCESS`` there, so a failed or repeated batch is harmless.
+A published table is written whole: a batch writes the folder ``<table>/version=<batch>``, which counts
+once Spark's committer has put ``_SUCCESS`` there.
 
-A change target is split by a hash of its keys into a fixed number of buckets,
-and a batch writes only into buckets it touches. Within a bucket, rows are kept as
+A change target is split by a hash of its keys into a fixed number of buckets. A batch writes only into
+buckets it touches, and a manifest then lists the files its version is made of (see
+:mod:`tidemark.sources.manifest`). Within a bucket, rows are kept as
 
 * ``delta``  last events of the keys a batch changed,
 * ``open``   last event of each key of the bucket: what deltas are folded into,
-* ``base``   ended versions, all of them: written when a late event changes some,
-* ``add``    ended versions a batch added to those before.
+* ``add``    ended versions a batch added to those before,
+* ``patch``  ended versions that a late event split or replaced, as they are since,
+* ``base``   ended versions, all of them: what adds and patches are folded into.
 
-Readers take the latest of a bucket's newest ``open`` rows and the deltas since. A batch
-whose events are all newer than what is stored thus writes what it changes and no
-more. A bucket is rewritten whole, deltas folded in, once it has so many folders, or
-when a late event changes versions that have ended.
+Readers take the latest of a bucket's newest ``open`` rows and the deltas since, and of ended versions
+with one key and start the newest patch, or else the row as it was. A batch thus writes what it changes,
+a late event the one or two versions it splits. A bucket is rewritten whole once it has so many layers.
 
 Versions only go up. The newest one may be written again, by the writer that wrote it: that
 is how a batch is repeated after a failure. Anything else would lose rows and is refused.
@@ -22,48 +23,40 @@ is how a batch is repeated after a failure. Anything else would lose rows and is
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import uuid
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructType
+from pyspark.sql.window import Window
 
 from tidemark.operators import cdc
 from tidemark.operators.changefeed import FEED_ARGUMENTS, change_feed, feed_as_changes
 from tidemark.settings import SkewLimits
+from tidemark.sources import manifest
+from tidemark.sources.manifest import DataFile, Manifest, delete_path, list_paths
 
-OPEN, DELTA, BASE, ADD = "open", "delta", "base", "add"
+OPEN, DELTA, BASE, ADD, PATCH = "open", "delta", "base", "add", "patch"
+# Up to so many rows, or bytes on disk, a patch or the keys of late events are broadcast.
+BROADCAST_ROWS, BROADCAST_FILE_BYTES = 100_000, 16_000_000
+_WRITTEN, _PREVIOUS, _FROM = "__written", "__previous", "__from"
 
 
-def _list(spark: SparkSession, pattern: str) -> list[str]:
-    """Paths matching a pattern on whatever file system the cluster uses.
-
-    Fetches them as one text; asking for each path would take a call apiece.
-    """
-    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
-    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    found = spark._jvm.org.apache.spark.deploy.SparkHadoopUtil.get().globPath(files, path)
-    return found.mkString("\n").splitlines()
-
-
-def _delete(spark: SparkSession, path: str) -> None:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
-
-
-def _touch(spark: SparkSession, path: str) -> None:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target, True).close()
+def _version_of(path: str) -> int:
+    """The version in a folder named ``version=<number>`` or, if written again, ``version=<number>-<mark>``."""
+    named = next(part for part in path.split("/") if part.startswith("version="))
+    return int(named.removeprefix("version=").split("-")[0])
 
 
-def _labels(path: str) -> dict[str, str]:
-    """The ``name=value`` folders of a path."""
-    return dict(part.split("=", 1) for part in path.split("/") if "=" in part)
+def published_versions(spark: SparkSession, path: str) -> list[int]:
+    """Versions of a published table whose write was committed, oldest first."""
+    return sorted(_version_of(p) for p in list_paths(spark, f"{path}/version=*/_SUCCESS"))
 
 
 def complete_versions(spark: SparkSession, path: str) -> list[int]:
-    """Versions whose write was committed, oldest first."""
-    done = _list(spark, f"{path}/version=*/_SUCCESS")
-    return sorted(int(_labels(p)["version"]) for p in done)
+    """Committed versions of a change target or a published table, oldest first."""
+    return manifest.versions(spark, path) or published_versions(spark, path)
 
 
 def publish(
@@ -89,14 +82,14 @@ def publish(
 
 def expire_published(spark: SparkSession, path: str, keep: int) -> None:
     """Delete all but the newest ``keep`` versions of a published table."""
-    for version in complete_versions(spark, path)[:-keep]:
-        _delete(spark, f"{path}/version={version}")
+    for version in published_versions(spark, path)[:-keep]:
+        delete_path(spark, f"{path}/version={version}")
 
 
 def read_published(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
     """A published table at a version, the newest by default."""
     if version is None:
-        version = complete_versions(spark, path)[-1]
+        version = published_versions(spark, path)[-1]
     return spark.read.parquet(f"{path}/version={version}")
 
 
@@ -122,7 +115,8 @@ def published_feed(
 class CdcTable:
     """A target of change events, stored as described above.
 
-    ``buckets`` stays the same over the life of a table.
+    ``buckets`` stays the same over the life of a table, as does ``bucket_by``: the keys
+    that are hashed, all of them by default. Fewer keep rows together that are looked for together.
     """
 
     spark: SparkSession
@@ -132,62 +126,79 @@ class CdcTable:
     buckets: int = 16
     limits: SkewLimits = SkewLimits()
     rewrite_every: int = 50
+    bucket_by: list[str] | None = None
+    _kept: list = field(default_factory=list, init=False, repr=False, compare=False)
 
     # Reading
 
+    def versions(self) -> list[int]:
+        return manifest.versions(self.spark, self.path)
+
     def version_before(self, version: int) -> int | None:
-        earlier = [v for v in complete_versions(self.spark, self.path) if v < version]
+        earlier = [v for v in self.versions() if v < version]
         return earlier[-1] if earlier else None
 
     def newest(self) -> int | None:
-        versions = complete_versions(self.spark, self.path)
+        versions = self.versions()
         return versions[-1] if versions else None
 
-    def _parts(self, version: int) -> dict[str, dict[int, list[str]]]:
-        """Folders that make up a version, by open or ended rows and bucket."""
-        complete = set(complete_versions(self.spark, self.path))
-        expired = {
-            int(_labels(p)["version"]) for p in _list(self.spark, f"{self.path}/version=*/_EXPIRED")
-        }
-        if version not in complete or version in expired:
+    def manifest(self, version: int) -> Manifest:
+        """The files of a version; the only thing a read looks up."""
+        if version not in self.versions():
             raise ValueError(f"{self.path} has no complete version {version}")
-        newest_first = []
-        for path in _list(self.spark, f"{self.path}/version=*/kind=*/bucket=*"):
-            labels = _labels(path)
-            written = int(labels["version"])
-            if written in complete and written <= version:
-                newest_first.append((written, labels["kind"], int(labels["bucket"]), path))
-        newest_first.sort(reverse=True)
-        opened: dict[int, list[str]] = {}
-        ended: dict[int, list[str]] = {}
-        whole: set[tuple[str, int]] = set()
-        for _, kind, bucket, path in newest_first:
-            side, found = (OPEN, opened) if kind in (OPEN, DELTA) else (BASE, ended)
-            if (side, bucket) not in whole:
-                found.setdefault(bucket, []).append(path)
-                if kind in (OPEN, BASE):
-                    whole.add((side, bucket))
-        return {OPEN: opened, BASE: ended}
-
-    def _load(self, parts: dict[int, list[str]], buckets: set[int] | None) -> DataFrame | None:
-        paths = [
-            p
-            for bucket, found in sorted(parts.items())
-            if buckets is None or bucket in buckets
-            for p in found
-        ]
-        return self.spark.read.parquet(*paths) if paths else None
+        return manifest.load(self.spark, self.path, version)
+
+    @staticmethod
+    def _sides(files: list[DataFile]) -> tuple[dict[int, list[DataFile]], dict[int, list[DataFile]]]:
+        """Files by bucket: those of last events, and those of ended versions."""
+        opened: dict[int, list[DataFile]] = {}
+        ended: dict[int, list[DataFile]] = {}
+        for f in files:
+            (opened if f.kind in (OPEN, DELTA) else ended).setdefault(f.bucket, []).append(f)
+        return opened, ended
+
+    def _load(self, files: list[DataFile], columns: StructType) -> DataFrame | None:
+        if not files:
+            return None
+        return self.spark.read.schema(columns).parquet(*[f"{self.path}/{f.path}" for f in files])
 
-    def _open(self, parts: dict[int, list[str]], buckets: set[int] | None) -> DataFrame | None:
+    def _open(self, parts: dict[int, list[DataFile]], columns: StructType) -> DataFrame | None:
         """Last events of the keys of some buckets: of rows and deltas the latest."""
-        chosen = {b: p for b, p in parts.items() if buckets is None or b in buckets}
-        single = self._load({b: p for b, p in chosen.items() if len(p) == 1}, None)
-        layered = self._load({b: p for b, p in chosen.items() if len(p) > 1}, None)
+        layers = {b: len({f.version for f in files}) for b, files in parts.items()}
+        single = self._load([f for b in sorted(parts) if layers[b] == 1 for f in parts[b]], columns)
+        layered = self._load([f for b in sorted(parts) if layers[b] > 1 for f in parts[b]], columns)
         if layered is None:
             return single
         merged = cdc.latest(layered, self.keys)
         return merged if single is None else single.unionByName(merged)
 
+    def _ended(self, files: list[DataFile], columns: StructType) -> DataFrame | None:
+        """Ended versions: the newest patch of each key and start, and rows without one."""
+        patches = [f for f in files if f.kind == PATCH]
+        plain = self._load([f for f in files if f.kind != PATCH], columns)
+        marked = self._load(patches, StructType([*columns.fields]).add(_WRITTEN, LongType()))
+        if marked is None:
+            return plain
+        version = [*self.keys, cdc.START]
+        newest = Window.partitionBy(*version).orderBy(F.col(_WRITTEN).desc())
+        patched = marked.withColumn("__rank", F.row_number().over(newest)).filter("__rank = 1")
+        patched = patched.select(*columns.names)
+        if plain is None:
+            return patched
+        # Only buckets with patches are looked through.
+        buckets = {f.bucket for f in patches}
+        beside = [f for f in files if f.kind != PATCH and f.bucket not in buckets]
+        within = [f for f in files if f.kind != PATCH and f.bucket in buckets]
+        out = patched
+        if beside:
+            out = out.unionByName(self._load(beside, columns))
+        if within:
+            replaced = marked.select(*version).distinct()
+            small = sum(f.rows for f in patches) <= BROADCAST_ROWS and sum(f.bytes for f in patches) <= BROADCAST_FILE_BYTES
+            left = self._load(within, columns)
+            out = out.unionByName(left.join(F.broadcast(replaced) if small else replaced, version, "left_anti"))
+        return out
+
     def state(
         self,
         version: int | None = None,
@@ -199,14 +210,16 @@ class CdcTable:
         version = self.newest() if version is None else version
         if version is None:
             return None
-        parts = self._parts(version)
-        loaded = [self._open(parts[OPEN], buckets)]
+        found = self.manifest(version)
+        opened, ended = self._sides([f for f in found.files if buckets is None or f.bucket in buckets])
+        loaded = [self._open(opened, found.schema)]
         if not open_only:
-            loaded.append(self._load(parts[BASE], buckets))
-        found = [df for df in loaded if df is not None]
-        if not found:
-            return None
-        return found[0] if len(found) == 1 else found[0].unionByName(found[1])
+            loaded.append(self._ended([f for files in ended.values() for f in files], found.schema))
+        rows = [df for df in loaded if df is not None]
+        if not rows:
+            # Nothing but the columns, which an empty version has, too.
+            return self.spark.createDataFrame([], found.schema)
+        return rows[0] if len(rows) == 1 else rows[0].unionByName(rows[1])
 
     def read(self, version: int | None = None) -> DataFrame:
         """The table as its readers see it."""
@@ -224,15 +237,72 @@ class CdcTable:
 
     def lookup(self, **key) -> DataFrame:
         """Current rows of one key, from its bucket alone."""
-        values = [F.lit(key[k]).cast(self._key_type(k)) for k in self.keys]
-        bucket = self.spark.range(1).select(F.pmod(F.hash(*values), self.buckets)).first()[0]
-        rows = cdc.visible(self.state(buckets={bucket}, open_only=True))
+        version = self.newest()
+        if version is None:
+            raise ValueError(f"{self.path} is empty")
+        found = self.manifest(version)
+        values = [F.lit(key[k]).cast(found.schema[k].dataType) for k in self.keys]
+        hashed = [v for k, v in zip(self.keys, values) if k in (self.bucket_by or self.keys)]
+        bucket = self.spark.range(1).select(F.pmod(F.hash(*hashed), self.buckets)).first()[0]
+        opened, _ = self._sides([f for f in found.files if f.bucket == bucket])
+        rows = self._open(opened, found.schema)
+        if rows is None:
+            rows = self.spark.createDataFrame([], found.schema)
+        rows = cdc.visible(rows)
         for name, value in zip(self.keys, values):
             rows = rows.filter(F.col(name) == value)
         return rows
 
-    def _key_type(self, key: str):
-        return self.state(open_only=True).schema[key].dataType
+    def files_as_of(self, sequence: int, version: int | None = None) -> list[DataFile]:
+        """The files that can hold a row current once ``sequence`` was applied, by their ranges.
+
+        A patch is needed for what it replaces, even where it ended before.
+        """
+        version = self.newest() if version is None else version
+        return [
+            f
+            for f in self.manifest(version).files
+            if f.starts_by(sequence) and (f.kind in (OPEN, DELTA, PATCH) or f.ends_after(sequence))
+        ]
+
+    def as_of(self, sequence: int, version: int | None = None) -> DataFrame:
+        """The rows of a history that were current once ``sequence`` was applied.
+
+        Opens only files whose range covers it. Where a bucket's later layers are left out, a row can look
+        open that has ended since; of a key's rows that have started by then the last one counts, and of the same
+        row read open and ended the ended one.
+        """
+        if self.scd_type != 2:
+            raise ValueError(f"{self.path} keeps no history")
+        version = self.newest() if version is None else version
+        found = self.manifest(version)
+        chosen = self.files_as_of(sequence, version)
+        layers: dict[int, set[int]] = {}
+        for f in found.files:
+            if f.kind in (OPEN, DELTA):
+                layers.setdefault(f.bucket, set()).add(f.version)
+        layered = {b for b, versions in layers.items() if len(versions) > 1}
+
+        def read(inside: bool) -> DataFrame | None:
+            opened, ended = self._sides([f for f in chosen if (f.bucket in layered) == inside])
+            parts = [
+                self._load([f for files in opened.values() for f in files], found.schema),
+                self._ended([f for files in ended.values() for f in files], found.schema),
+            ]
+            parts = [cdc.versions_as_of(df, sequence) for df in parts if df is not None]
+            if not parts:
+                return None
+            rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+            if inside:
+                order = [F.col(c).desc() for c in cdc._order(rows, self.keys)]
+                last = Window.partitionBy(*self.keys).orderBy(order[0], F.col(cdc.END).isNull(), *order[1:])
+                rows = rows.withColumn("__rank", F.row_number().over(last)).filter("__rank = 1").drop("__rank")
+            return rows
+
+        rows = [df for df in (read(False), read(True)) if df is not None]
+        if not rows:
+            return cdc.visible(self.spark.createDataFrame([], found.schema))
+        return cdc.visible(rows[0] if len(rows) == 1 else rows[0].unionByName(rows[1]))
 
     # Writing
 
@@ -242,13 +312,13 @@ class CdcTable:
         A merge hashes rows into a multiple of as many partitions as there are
         buckets, so each task writes one bucket and a version has few files.
         """
-        return F.pmod(F.hash(*self.keys), F.lit(self.buckets))
+        return F.pmod(F.hash(*(self.bucket_by or self.keys)), F.lit(self.buckets))
 
     def _partitions(self) -> int:
         wanted = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         return self.buckets * max(1, -(-wanted // self.buckets))
 
-    def _bucket_ids(self, rows: DataFrame) -> set[int]:
+    def bucket_ids(self, rows: DataFrame) -> set[int]:
         """Buckets that rows fall into; never more than the table has."""
         found = rows.select(self._bucket().alias("b")).distinct().collect()
         return {row["b"] for row in found}
@@ -285,9 +355,8 @@ class CdcTable:
                 f"{self.path} is at version {newest}; version {version} would drop what followed. "
                 "A new checkpoint needs an empty target."
             )
-        named = _list(self.spark, f"{self.path}/version={version}/_WRITER-*")
-        wrote = {p.rsplit("_WRITER-", 1)[1] for p in named}
-        if wrote - {writer}:
+        wrote = self.manifest(version).writer
+        if wrote not in (None, writer):
             raise ValueError(f"version {version} of {self.path} was written by {wrote}, not {writer}")
 
     def merge(
@@ -297,28 +366,29 @@ class CdcTable:
         *,
         one_per_key: bool = False,
         writer: str | None = None,
+        note: dict | None = None,
     ) -> None:
         """Merge events in the shape of a state and commit as ``version``.
 
         Reads the events several times; :meth:`apply` keeps them for that.
         ``one_per_key`` says that they are the last of their key already. ``writer``
-        names who writes, such as a streaming query; only it may write the version again.
+        names who writes, such as a streaming query; only it may write the version again. ``note`` is
+        kept in the version's manifest.
         """
         self._check_version(version, writer)
         before = self.version_before(version)
-        stored = self._parts(before) if before is not None else {OPEN: {}, BASE: {}}
-        touched = self._bucket_ids(events) if before is not None else set()
-        folded = {
-            b
-            for b in touched
-            if len(stored[OPEN].get(b, [])) + len(stored[BASE].get(b, [])) > self.rewrite_every
-        }
+        stored = self.manifest(before) if before is not None else None
+        layers: dict[int, int] = {}
+        for bucket, _, _ in {(f.bucket, f.version, f.kind in (OPEN, DELTA)) for f in stored.files} if stored else ():
+            layers[bucket] = layers.get(bucket, 0) + 1
+        touched = self.bucket_ids(events) if stored else set()
+        folded = {b for b in touched if layers.get(b, 0) > self.rewrite_every}
         if self.scd_type == 1:
             fresh = events if one_per_key else cdc.latest(events, self.keys)
-            state, whole = self._merged_latest(fresh, stored, folded), folded
+            state = self._merged_latest(fresh, stored, folded)
         else:
-            state, whole = self._merged_history(events, stored, touched, folded)
-        self._write(state, version, whole, first=before is None, writer=writer)
+            state = self._merged_history(events, stored, touched, folded)
+        self._write(state, version, stored, folded, writer, note or {})
 
     def _inside(self, rows: DataFrame, buckets: set[int], *, inverse: bool = False) -> DataFrame:
         if not buckets:
@@ -326,101 +396,188 @@ class CdcTable:
         inside = self._bucket().isin(*buckets)
         return rows.filter(~inside if inverse else inside)
 
-    def _merged_latest(self, fresh: DataFrame, stored: dict, folded: set[int]) -> DataFrame:
+    def _merged_latest(
+        self, fresh: DataFrame, stored: Manifest | None, folded: set[int]
+    ) -> DataFrame:
         """What the batch changes, and the folded buckets whole; late rows lose on reading."""
-        opened = self._open(stored[OPEN], folded) if folded else None
+        kind = self._kind(OPEN, DELTA, stored, folded)
+        opened = None
+        if folded:
+            parts, _ = self._sides([f for f in stored.files if f.bucket in folded])
+            opened = self._open(parts, stored.schema)
         if opened is None:
-            return fresh.repartition(self._partitions(), *self.keys)
+            return fresh.repartition(self._partitions(), *(self.bucket_by or self.keys)).withColumn("kind", kind)
         both = opened.select(*fresh.columns).unionByName(fresh)
-        return cdc.latest(both.repartition(self._partitions(), *self.keys), self.keys)
+        merged = cdc.latest(both.repartition(self._partitions(), *(self.bucket_by or self.keys)), self.keys)
+        return merged.withColumn("kind", kind)
+
+    def _kind(self, whole: str, part: str, stored: Manifest | None, folded: set[int]) -> Column:
+        """Rows of a bucket written whole, as all are at first, or a part of one."""
+        if stored is None:
+            return F.lit(whole)
+        return F.when(self._bucket().isin(*folded), whole).otherwise(part) if folded else F.lit(part)
 
     def _merged_history(
-        self, events: DataFrame, stored: dict, touched: set[int], folded: set[int]
-    ) -> tuple[DataFrame, set[int]]:
-        """What the batch changes, whole buckets where it must be, and which those are."""
-        opened = self._open(stored[OPEN], touched) if touched else None
-        if opened is None:
-            return cdc.history(events, self.keys, self.limits, partitions=self._partitions()), set()
-        whole = folded | self._late_buckets(opened, events)
-        columns = events.columns
-        # Outside of buckets rewritten whole, only last events of keys in the batch play a part.
-        keys = events.select(*self.keys).distinct()
-        needed = self._inside(opened, whole, inverse=True).join(keys, self.keys, "left_semi")
-        inputs = needed.select(*columns).unionByName(events)
-        if whole:
-            inputs = inputs.unionByName(self._inside(opened, whole).select(*columns))
-            ended = self._load(stored[BASE], whole)
-            if ended is not None:
-                inputs = inputs.unionByName(ended.select(*columns))
-        return cdc.history(inputs, self.keys, self.limits, partitions=self._partitions()), whole
+        self, events: DataFrame, stored: Manifest | None, touched: set[int], folded: set[int]
+    ) -> DataFrame:
+        """What the batch changes, and the folded buckets whole.
 
-    def _late_buckets(self, opened: DataFrame, events: DataFrame) -> set[int]:
-        """Buckets with an event older than the last stored one of its key."""
-        first = events.groupBy(*self.keys).agg(F.min(cdc.START).alias("__from"))
+        Stored rows enter marked with where they ended; those that come out unchanged are not written again.
+        """
+        columns = events.columns
+        opened = None
+        if touched:
+            parts, _ = self._sides([f for f in stored.files if f.bucket in touched])
+            opened = self._open(parts, stored.schema)
+        if opened is None:
+            closed = cdc.history(events, self.keys, self.limits, partitions=self._partitions())
+            ended = self._kind(BASE, ADD, stored, folded)
+            kind = F.when(F.col(cdc.END).isNull(), self._kind(OPEN, DELTA, stored, folded)).otherwise(ended)
+            return closed.withColumn("kind", kind)
+
+        def marked(rows: DataFrame, is_stored: bool) -> DataFrame:
+            end = F.col(cdc.END) if cdc.END in rows.columns else F.lit(None)
+            kind = events.schema[cdc.START].dataType
+            return rows.select(*columns, F.lit(is_stored).alias(cdc.STORED), end.cast(kind).alias(cdc.OLD_END))
+
+        # Outside of buckets rewritten whole, only rows of keys in the batch play a part.
+        first = events.groupBy(*self.keys).agg(F.min(cdc.START).alias(_FROM))
+        inputs = marked(events, False).unionByName(
+            marked(self._inside(opened, folded, inverse=True).join(first, self.keys, "left_semi"), True)
+        )
         late = (
-            opened.select(*self.keys, cdc.START)
+            opened.select(*self.keys, F.col(cdc.START).alias("__last"))
             .join(first, self.keys)
-            .filter(F.col("__from") < F.col(cdc.START))
+            .filter(F.col(_FROM) < F.col("__last"))
+            .drop("__last")
+            .persist()
         )
-        return self._bucket_ids(late)
+        self._kept.append(late)
+        # One row per bucket that late events fall into, with the earliest of them.
+        reached = {
+            r["bucket"]: (r["n"], r["least"])
+            for r in late.groupBy(self._bucket().alias("bucket"))
+            .agg(F.count(F.lit(1)).alias("n"), F.min(_FROM).alias("least"))
+            .collect()
+            if r["bucket"] not in folded
+        }
+        if reached:
+            chosen = [
+                f
+                for f in stored.files
+                if f.bucket in reached
+                and f.kind not in (OPEN, DELTA)
+                and (f.kind == PATCH or not isinstance(reached[f.bucket][1], int) or f.ends_after(reached[f.bucket][1]))
+            ]
+            ended = self._ended(chosen, stored.schema)
+            if ended is not None:
+                few = sum(n for n, _ in reached.values()) <= BROADCAST_ROWS
+                split = ended.join(F.broadcast(late) if few else late, self.keys).filter(F.col(cdc.END) > F.col(_FROM))
+                inputs = inputs.unionByName(marked(split, True))
+        if folded:
+            inputs = inputs.unionByName(marked(self._inside(opened, folded), True))
+            whole = self._ended([f for f in stored.files if f.bucket in folded and f.kind not in (OPEN, DELTA)], stored.schema)
+            if whole is not None:
+                inputs = inputs.unionByName(marked(whole, True))
+        closed = cdc.history(
+            inputs, self.keys, self.limits, partitions=self._partitions(), previous=_PREVIOUS
+        )
+        whole = self._bucket().isin(*folded) if folded else F.lit(False)
+        changed = ~(F.col(cdc.STORED) & F.col(cdc.END).eqNullSafe(F.col(cdc.OLD_END)))
+        # A stored version that ends elsewhere now, or an event in place of one of the same start.
+        replaces = F.when(F.col(cdc.STORED), F.col(cdc.OLD_END).isNotNull()).otherwise(
+            F.coalesce(F.col(_PREVIOUS) == F.col(cdc.START), F.lit(False))
+        )
+        is_open = F.col(cdc.END).isNull()
+        kind = (
+            F.when(whole & is_open, OPEN).when(whole, BASE)
+            .when(is_open, DELTA).when(replaces, PATCH).otherwise(ADD)
+        )
+        return closed.filter(whole | changed).withColumn("kind", kind).drop(cdc.STORED, cdc.OLD_END, _PREVIOUS)
 
     def _write(
-        self, state: DataFrame, version: int, whole: set[int], *, first: bool, writer: str | None
+        self, state: DataFrame, version: int, stored: Manifest | None, folded: set[int], writer: str | None,
+        note: dict,
     ) -> None:
-        """Write the rows of a version by kind and bucket, and see that it counts."""
-        entire = F.lit(first) if first or not whole else F.col("bucket").isin(*whole)
-        kind = F.when(entire, OPEN).otherwise(DELTA)
-        if self.scd_type == 2:
-            ended = F.when(entire, BASE).otherwise(ADD)
-            kind = F.when(F.col(cdc.END).isNull(), kind).otherwise(ended)
-        placed = state.withColumn("bucket", self._bucket()).withColumn("kind", kind)
-        folder = f"{self.path}/version={version}"
-        (
-            placed.sortWithinPartitions("kind", "bucket", *self.keys, cdc.START)
-            .write.mode("overwrite")
-            .partitionBy("kind", "bucket")
-            .parquet(folder)
-        )
-        if not _list(self.spark, f"{folder}/_SUCCESS"):
-            raise RuntimeError(
-                f"{folder} has no _SUCCESS, by which versions count; set "
-                "mapreduce.fileoutputcommitter.marksuccessfuljobs to true"
+        """Write the rows of a version by kind and bucket, then the manifest that makes them count."""
+        again = version in self.versions()
+        name = f"version={version}" + (f"-{uuid.uuid4().hex[:8]}" if again else "")
+        placed = state.withColumn(_WRITTEN, F.lit(version).cast("long")).withColumn("bucket", self._bucket())
+        try:
+            (
+                placed.sortWithinPartitions("kind", "bucket", *self.keys, cdc.START)
+                .write.mode("overwrite")
+                .partitionBy("kind", "bucket")
+                .parquet(f"{self.path}/{name}")
             )
-        if writer is not None:
-            _touch(self.spark, f"{folder}/_WRITER-{writer}")
+        finally:
+            while self._kept:
+                self._kept.pop().unpersist()
+        written = self.spark.read.schema(placed.schema).parquet(f"{self.path}/{name}")
+        new = manifest.written_files(written, name, version, cdc.START, cdc.END)
+        kept = [f for f in stored.files if f.bucket not in folded] if stored else []
+        columns = state.drop("kind").schema.json()
+        manifest.commit(self.spark, self.path, Manifest(version, writer, columns, [*kept, *new], note))
 
     # Changes between versions
 
     def feed(self, start: int | None, end: int) -> DataFrame:
-        """Row changes of current rows; reads only buckets written in between."""
-        ended = self._parts(end)[OPEN]
-        started = self._parts(start)[OPEN] if start is not None else {}
-        changed = {b for b, paths in ended.items() if started.get(b) != paths}
+        """Row changes of current rows.
+
+        Where a bucket only got layers since, just the keys in those are compared; a bucket that
+        was folded in between is compared whole.
+        """
+        after_manifest = self.manifest(end)
+        columns = after_manifest.schema
+        ended, _ = self._sides(after_manifest.files)
+        started, _ = self._sides(self.manifest(start).files) if start is not None else ({}, {})
         hidden = [cdc.START, cdc.END]
-        after = self._open(ended, changed)
+        fresh: dict[int, list[DataFile]] = {}
+        whole = set()
+        for bucket, files in ended.items():
+            old = set(started.get(bucket, []))
+            new = [f for f in files if f not in old]
+            if old and old <= set(files):
+                if new:
+                    fresh[bucket] = new
+            elif new:
+                whole.add(bucket)
+        # Of buckets with new layers: the keys named there, as they were and with what came.
+        news = self._load([f for files in fresh.values() for f in files], columns)
+        before = self._open({b: f for b, f in started.items() if b in whole or b in fresh}, columns)
+        after = self._open({b: f for b, f in ended.items() if b in whole}, columns)
+        if news is not None:
+            names = news.select(*self.keys).distinct()
+            on = [before[k].eqNullSafe(names[k]) for k in self.keys]
+            known = before.join(names, on, "left_semi")
+            if whole:
+                known = known.unionByName(self._inside(before, whole))
+            since = self._inside(known, whole, inverse=True).unionByName(news)
+            since = cdc.latest(since, self.keys)
+            before, after = known, since if after is None else since.unionByName(after)
         if after is None:
-            after = self._open(ended, None).limit(0)
+            after = self.spark.createDataFrame([], columns)
         after = cdc.visible(after).drop(*hidden)
-        before = self._open(started, changed)
         before = after.limit(0) if before is None else cdc.visible(before).drop(*hidden)
         return change_feed(before, after, self.keys)
 
     def expire(self, keep_from: int) -> None:
-        """Delete folders that no version from ``keep_from`` on is made of.
+        """Delete files that no version from ``keep_from`` on is made of.
 
-        Earlier versions cannot be read afterwards.
+        Earlier versions cannot be read afterwards, nor what a failed write has left.
         """
-        complete = [v for v in complete_versions(self.spark, self.path) if v >= keep_from]
+        versions = self.versions()
         needed = set()
-        for version in complete:
-            for kind in self._parts(version).values():
-                needed.update(p for paths in kind.values() for p in paths)
-        for version in complete_versions(self.spark, self.path):
+        for version in versions:
+            if version >= keep_from:
+                needed.update(f.path.rsplit("/", 1)[0] for f in self.manifest(version).files)
+        for version in versions:
             if version < keep_from:
-                _touch(self.spark, f"{self.path}/version={version}/_EXPIRED")
-        for path in _list(self.spark, f"{self.path}/version=*/kind=*/bucket=*"):
-            if int(_labels(path)["version"]) < keep_from and path not in needed:
-                _delete(self.spark, path)
+                manifest.forget(self.spark, self.path, version)
+        for path in list_paths(self.spark, f"{self.path}/version=*/kind=*/bucket=*"):
+            below = path[path.rindex("/version=") + 1 :]
+            if _version_of(below) < max(versions, default=0) and below not in needed:
+                delete_path(self.spark, path)
 
 
 def sync_table(source: CdcTable, target: CdcTable) -> int | None:

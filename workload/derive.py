@@ -144,6 +144,21 @@ def log_restaurants(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def log_renamed_restaurants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As above; those that reopen have a new name then, and every other one has moved."""
+    again = F.floor(F.col("lsn") / STEP) == 2
+    moved = again & (F.col("restaurant_id") % 20 == 0)
+    return log_restaurants(spark, sf_dir).withColumns({
+        "name": F.when(again, F.concat("name", F.lit(" II"))).otherwise(F.col("name")),
+        "city": F.when(moved, F.concat("city", F.lit(" (moved)"))).otherwise(F.col("city")),
+    })
+
+
+def in_steps(log: DataFrame, *steps: set[int]) -> list[DataFrame]:
+    """The parts of a log that belong to some of its steps each."""
+    return [log.filter(F.floor(F.col("lsn") / STEP).isin(*part)) for part in steps]
+
+
 def log_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A small price rise for every 4th, a large one for 1 of 9, some deleted."""
     k, key = F.col("k"), F.col("product_id")

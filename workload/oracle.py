@@ -411,6 +411,39 @@ ORACLE["staged_daily_orders"] = ORACLE["daily_orders_by_restaurant"]
 ORACLE["staged_revenue_by_city"] = ORACLE["revenue_by_city"]
 ORACLE["staged_top_products"] = ORACLE["top_products"]
 ORACLE["staged_synced_serving"] = ORACLE["order_enriched"]
+ORACLE["patched_order_history"] = ORACLE["scd2_orders"]
+ORACLE["stored_orders_as_of"] = ORACLE["orders_as_of"]
+# Restaurants that are renamed, and some that move, when they reopen.
+RENAMED = """
+    SELECT * REPLACE (CASE WHEN lsn // 1000000000 = 2 THEN name || ' II' ELSE name END AS name,
+                      CASE WHEN lsn // 1000000000 = 2 AND restaurant_id % 20 = 0 THEN city || ' (moved)' ELSE city END AS city)
+    FROM log_restaurants"""
+RENAMED_NOW = {"renamed": RENAMED, "r": _now("renamed", "restaurant_id")}
+ORACLE["incremental_daily_orders"] = _with(
+    """
+    SELECT CAST(substr(created_at, 1, 10) AS DATE) AS order_date, restaurant_id,
+           name AS restaurant_name, CAST(count(order_id) AS BIGINT) AS order_count,
+           CAST(sum(total_amount) AS DECIMAL(20,2)) AS revenue
+    FROM o JOIN r USING (restaurant_id) GROUP BY ALL""",
+    "log_orders",
+    "log_restaurants",
+    **{**RENAMED_NOW, **GOLD, **RENAMED_NOW},
+)
+ORACLE["incremental_revenue_by_city"] = _with(_revenue("o"), "log_orders", "log_restaurants", **{**RENAMED_NOW, **GOLD, **RENAMED_NOW})
+ORACLE["incremental_top_products"] = _with(
+    """
+    SELECT p.product_id, p.name AS product_name, p.restaurant_id, r.name AS restaurant_name,
+           CAST(sum(quantity) AS BIGINT) AS total_quantity,
+           CAST(sum(quantity * unit_price) AS DECIMAL(31,2)) AS total_revenue
+    FROM i JOIN p ON i.product_id = p.product_id JOIN r ON p.restaurant_id = r.restaurant_id
+    GROUP BY ALL""",
+    "log_order_items",
+    "log_products",
+    "log_restaurants",
+    i=_now("log_order_items", ITEM_KEYS),
+    p=_now("log_products", "product_id"),
+    **RENAMED_NOW,
+)
 ORACLE["stored_order_lookup"] = _with(
     ENRICHED + """
     WHERE o.order_id = (SELECT max(order_id) FROM o WHERE order_id IN (SELECT user_id FROM events))""",

@@ -9,6 +9,7 @@ from tidemark.operators import audits, cdc, quality
 from tidemark.operators.changefeed import change_feed
 from tidemark.operators.decode import decode_changes
 from tidemark.plans import entities, marts
+from tidemark.plans.maintained import MAINTAINED, Maintained
 from tidemark.plans.stages import Layout, run_stages
 from tidemark.settings import Settings, work_dir
 from tidemark.sources.changes import encode_changes, land_raw, read_changes
@@ -119,6 +120,24 @@ def restaurants_collapsed(spark, sf_dir):
     ).drop("is_active")
 
 
+def _apply_parts(table: CdcTable, parts: list[DataFrame], since: int = 0) -> CdcTable:
+    for version, part in enumerate(parts, since):
+        table.apply(part, version, sequence_by="lsn", delete_when="op = 'd'", except_columns=["op", "lsn"])
+    return table
+
+
+def patched_order_history(spark, sf_dir):
+    """The first and last changes come first, and what happened in between comes late, in two batches."""
+    parts = derive.in_steps(derive.log_orders(spark, sf_dir), {0, 3, 4}, {2}, {1})
+    return _apply_parts(_table(spark, "patched", "order_id", 2), parts).read()
+
+
+def stored_orders_as_of(spark, sf_dir):
+    """An early state from a stored history of five batches; opens only files that reach back so far."""
+    parts = derive.in_steps(derive.log_orders(spark, sf_dir), {0}, {1}, {2}, {3}, {4})
+    return _apply_parts(_table(spark, "stored", "order_id", 2), parts).as_of(AS_OF)
+
+
 # Data quality ---------------------------------------------------------------
 
 def _routed_orders(spark, sf_dir, null_policy: str) -> DataFrame:
@@ -284,6 +303,42 @@ def synced_orders(spark, sf_dir):
     return target.read()
 
 
+def _maintained(spark: SparkSession, name: str, logs: dict[str, tuple[str, list[DataFrame]]]) -> DataFrame:
+    """An aggregate refreshed after each of several batches of its inputs, as it is in the end."""
+    tables = {n: _table(spark, n, key, 2) for n, (key, _) in logs.items()}
+    settings = Settings(buckets=int(spark.conf.get("spark.sql.shuffle.partitions")))
+    kept = Maintained(spark, MAINTAINED[name], work_dir(spark, name), settings)
+    for version in range(max(len(parts) for _, parts in logs.values())):
+        for n, (_, parts) in logs.items():
+            _apply_parts(tables[n], parts[version : version + 1], version)
+        kept.refresh(tables)
+    return kept.read()
+
+
+def _incremental_orders(spark, sf_dir, name: str) -> DataFrame:
+    places = derive.log_renamed_restaurants(spark, sf_dir)
+    return _maintained(spark, name, {
+        "orders": ("order_id", derive.in_steps(_valid_orders(spark, sf_dir), {0, 2}, {1, 3}, {4})),
+        "restaurants": ("restaurant_id", derive.in_steps(places, {0, 1}, {2}, {3})),
+    })
+
+
+def incremental_daily_orders(spark, sf_dir):
+    return _incremental_orders(spark, sf_dir, "daily_orders_by_restaurant")
+
+
+def incremental_revenue_by_city(spark, sf_dir):
+    return _incremental_orders(spark, sf_dir, "revenue_by_city")
+
+
+def incremental_top_products(spark, sf_dir):
+    return _maintained(spark, "top_products", {
+        "order_items": ("order_item_id", derive.in_steps(derive.log_keyed_items(spark, sf_dir), {0}, {1}, {2})),
+        "products": ("product_id", derive.in_steps(derive.log_products(spark, sf_dir), {0, 2}, {1}, {3})),
+        "restaurants": ("restaurant_id", derive.in_steps(derive.log_renamed_restaurants(spark, sf_dir), {0, 1}, {2}, {3})),
+    })
+
+
 # Streams --------------------------------------------------------------------
 
 def _landed_orders(spark: SparkSession, sf_dir: str) -> str:
@@ -493,6 +548,8 @@ QUERIES = {
         scd2_incremental_orders,
         scd1_incremental_events,
         orders_as_of,
+        patched_order_history,
+        stored_orders_as_of,
         restaurants_collapsed,
         quarantine_three_valued,
         quarantine_pass_deletes,
@@ -510,6 +567,9 @@ QUERIES = {
         dirty_records_routed,
         dirty_dates_counted,
         published_revenue_feed,
+        incremental_daily_orders,
+        incremental_revenue_by_city,
+        incremental_top_products,
         stored_order_lookup,
         staged_daily_orders,
         staged_revenue_by_city,
