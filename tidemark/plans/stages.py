@@ -5,9 +5,10 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 from tidemark.plans import entities
+from tidemark.plans.maintained import MAINTAINED, Maintained
 from tidemark.plans.marts import MARTS
 from tidemark.settings import Settings
 from tidemark.sources.changes import kafka_options, land_raw, read_changes
@@ -43,6 +44,9 @@ class Layout:
     def mart(self, name: str) -> str:
         return f"{self.root}/marts/{name}"
 
+    def maintained(self, name: str) -> str:
+        return f"{self.root}/tables/maintained_{name}"
+
     def checkpoint(self, flow: str) -> str:
         return f"{self.root}/checkpoints/{flow}"
 
@@ -139,16 +143,27 @@ def transform_all(spark: SparkSession, layout: Layout, settings: Settings) -> No
 
 
 def publish_marts(spark: SparkSession, layout: Layout, settings: Settings) -> None:
-    """Recompute the aggregates over current versions as a new version each."""
+    """Publish the aggregates over current versions as a new version each.
+
+    Those that are kept up are refreshed from what changed; one in which nothing did is not published again.
+    """
     by_name = {spec.name: spec for spec in entities.ENTITIES}
 
-    def current(name: str) -> DataFrame:
-        return entity_table(spark, layout, by_name[name], settings).current()
+    def table(name: str) -> CdcTable:
+        return entity_table(spark, layout, by_name[name], settings)
 
     for mart in MARTS:
         path = layout.mart(mart.name)
         done = complete_versions(spark, path)
-        result = mart.build(*[current(name) for name in mart.inputs], settings)
+        if settings.maintain:
+            kept = maintained_mart(spark, layout, mart.name, settings)
+            before = kept.result.newest()
+            after = kept.refresh({name: table(name) for name in mart.inputs})
+            if after is None or (done and after == before):
+                continue
+            result = kept.read()
+        else:
+            result = mart.build(*[table(name).current() for name in mart.inputs], settings)
         version = done[-1] + 1 if done else 0
         publish(result, path, version, mart.cluster_by, mart.keys)
         if settings.database:
@@ -157,6 +172,10 @@ def publish_marts(spark: SparkSession, layout: Layout, settings: Settings) -> No
             )
 
 
+def maintained_mart(spark: SparkSession, layout: Layout, name: str, settings: Settings) -> Maintained:
+    return Maintained(spark, MAINTAINED[name], layout.maintained(name), settings)
+
+
 def sync_serving(spark: SparkSession, layout: Layout, settings: Settings) -> int | None:
     return sync_table(
         serving_table(spark, layout, "order_enriched", settings),
@@ -167,19 +186,31 @@ def sync_serving(spark: SparkSession, layout: Layout, settings: Settings) -> int
 def expire_all(spark: SparkSession, layout: Layout, settings: Settings) -> None:
     """Let go of versions older than the newest ``keep_versions``.
 
-    The serving table keeps what its copy has still to be synced from.
+    The serving table keeps what its copy has still to be synced from, and every table what an aggregate
+    that is kept up has still to take in.
     """
+    unread: dict[str, int] = {}
+    derived = []
+    if settings.maintain:
+        for mart in MARTS:
+            kept = maintained_mart(spark, layout, mart.name, settings)
+            derived += [kept.sums, kept.result]
+            newest = kept.result.newest()
+            seen = kept.result.manifest(newest).note if newest is not None else dict.fromkeys(mart.inputs, -1)
+            for name, version in seen.items():
+                path = layout.state(name)
+                unread[path] = min(version, unread.get(path, version))
     tables = [entity_table(spark, layout, spec, settings) for spec in entities.ENTITIES]
     served = serving_table(spark, layout, "order_enriched", settings)
     copy = serving_table(spark, layout, "order_enriched_synced", settings)
     synced = copy.newest()
-    for table in [*tables, served, copy]:
+    for table in [*tables, served, copy, *derived]:
         versions = complete_versions(spark, table.path)
         if len(versions) > settings.keep_versions:
             oldest = versions[-settings.keep_versions]
             if table is served and synced is not None:
                 oldest = min(oldest, synced)
-            table.expire(oldest)
+            table.expire(min(oldest, unread.get(table.path, oldest)))
     for mart in MARTS:
         expire_published(spark, layout.mart(mart.name), settings.keep_versions)
 

@@ -41,7 +41,8 @@ class Settings:
     bucket is rewritten whole once it has ``rewrite_every`` folders, and a staged run
     keeps the newest ``keep_versions`` versions readable. ``topic_prefix`` is what a topic's name has
     before the table's; ``max_records`` bounds a batch read from Kafka.
-    Aggregates are named in the catalog under ``database``, if one is given.
+    Aggregates are named in the catalog under ``database``, if one is given. With ``maintain`` a staged run keeps
+    them up from change feeds; otherwise it computes them anew.
     """
 
     source_format: str = "kafka"
@@ -54,6 +55,7 @@ class Settings:
     rewrite_every: int = 50
     keep_versions: int = 100
     database: str = ""
+    maintain: bool = False
     skew: SkewLimits = SkewLimits()
 
 
