@@ -24,7 +24,9 @@ asked otherwise.
   sum of the minima with the box's upper corner; pairs of different components that this bound
   lets pass are verified. A cell with many documents is split into blocks, and each pair
   of blocks is a task's work of its own.
-* Verification intersects the sorted hash arrays.
+* Count vectors of a few groups let most pairs of long documents pass. All pairs are therefore bounded a second
+  time, by vectors with a group for every four shingles; what is left is verified by intersecting the
+  sorted hash arrays.
 
 Set hashes are 128 bits and shingle hashes 64, so equality holds but for odds of 1e-9.
 """
@@ -49,6 +51,8 @@ NODE = 16  # points of a tree node
 BUCKETS = 1 << 20  # in which shingles are counted
 BUCKET_PARTS = 16
 BLOCK = 4096  # documents of a cell that one task compares with as many others
+PER_GROUP = 4  # shingles to a group of a fine vector, about
+PAIRS = 10_000  # that one task looks at by fine vectors, about
 
 
 @dataclass(frozen=True)
@@ -246,6 +250,50 @@ def count_vectors(values: np.ndarray, edges: np.ndarray) -> np.ndarray:
     return np.bincount(row * GROUPS + group, minlength=len(size) * GROUPS).reshape(-1, GROUPS)
 
 
+def fine_vectors(values: np.ndarray, edges: np.ndarray) -> list[bytes]:
+    """Counts of each row's shingles in so many groups that one holds about four, a byte each.
+
+    The number of groups is a power of two times ``GROUPS``, and the groups of a shorter vector are sums of those of a
+    longer one, so rows of all sizes can be compared.
+    """
+    hashed, out = mix(values ^ U64(0xA5A5A5A5A5A5A5A5)), []
+    for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+        groups = GROUPS
+        while True:
+            if groups * PER_GROUP >= b - a:
+                counts = np.bincount((hashed[a:b] & U64(groups - 1)).astype(np.int64), minlength=groups)
+                if counts.max() < 256:  # else a finer one, so that no count is cut off
+                    break
+            groups *= 2
+        out.append(counts.astype(np.uint8).tobytes())
+    return out
+
+
+def overlap_bounds(fine: list[bytes], i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For pairs of rows the sum of their counts' minima, at the shorter vector's groups; and each row's size."""
+    length = np.array([len(f) for f in fine])
+    place, tables = np.zeros(len(fine), np.int64), {}
+    for groups in np.unique(length).tolist():
+        own = np.flatnonzero(length == groups)
+        place[own] = np.arange(len(own))
+        tables[groups] = np.frombuffer(b"".join(fine[k] for k in own.tolist()), np.uint8).reshape(-1, groups)
+    sizes = np.zeros(len(fine), np.int64)
+    for groups, table in tables.items():
+        sizes[length == groups] = table.sum(axis=1, dtype=np.int64)
+    bound = np.zeros(len(i), np.int64)
+    for left in tables:
+        for right in tables:
+            pairs = np.flatnonzero((length[i] == left) & (length[j] == right))
+            groups = min(left, right)
+            step = max(1, 4_000_000 // max(left, right))
+            for k in range(0, len(pairs), step):
+                at = pairs[k : k + step]
+                a = tables[left][place[i[at]]].reshape(len(at), -1, groups).sum(axis=1, dtype=np.int32)
+                b = tables[right][place[j[at]]].reshape(len(at), -1, groups).sum(axis=1, dtype=np.int32)
+                bound[at] = np.minimum(a, b).sum(axis=1)
+    return bound, sizes
+
+
 CELLS = "doc_id long, n long, key1 long, key2 long, cell array<long>"
 
 
@@ -281,7 +329,7 @@ def _cell_rows(like: Likeness, counts=None):
     return rows
 
 
-SETS = "doc_id long, n long, counts binary, shingles binary"
+SETS = "doc_id long, n long, counts binary, fine binary, shingles binary"
 
 
 def _set_rows(like: Likeness):
@@ -294,8 +342,9 @@ def _set_rows(like: Likeness):
                 blobs = [values[a:b].tobytes() for a, b in zip(edges[:-1], edges[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [ids.slice(words.first, words.rows), pa.array(np.diff(edges)),
-                     pa.array([c.tobytes() for c in counts], pa.binary()), pa.array(blobs, pa.binary())],
-                    names=["doc_id", "n", "counts", "shingles"],
+                     pa.array([c.tobytes() for c in counts], pa.binary()), pa.array(fine_vectors(values, edges), pa.binary()),
+                     pa.array(blobs, pa.binary())],
+                    names=["doc_id", "n", "counts", "fine", "shingles"],
                 )
 
     return rows
@@ -306,20 +355,14 @@ def _verified(like: Likeness):
         """Of the pairs given with both sets, those that link."""
         for batch in batches:
             cols = [batch.column(i).to_pylist() for i in range(2)]
-            ca, cb, sa, sb = (batch.column(i) for i in range(2, 6))
+            sa, sb = batch.column(2), batch.column(3)
             keep = []
             for i in range(batch.num_rows):
-                va = np.frombuffer(ca[i].as_buffer(), np.uint32)
-                vb = np.frombuffer(cb[i].as_buffer(), np.uint32)
-                n, m = int(va.sum()), int(vb.sum())
-                least = like.needed(n, m)
-                if int(np.minimum(va, vb).sum()) < least:
-                    continue
                 a = np.frombuffer(sa[i].as_buffer(), U64)
                 b = np.frombuffer(sb[i].as_buffer(), U64)
                 both = np.concatenate([a, b])
                 both.sort()
-                if int((both[1:] == both[:-1]).sum()) >= least:
+                if int((both[1:] == both[:-1]).sum()) >= like.needed(len(a), len(b)):
                     keep.append(i)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([c[i] for i in keep], pa.int64()) for c in cols], names=["a", "b"]
@@ -329,17 +372,21 @@ def _verified(like: Likeness):
 
 
 def _likely(like: Likeness):
-    def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Of the pairs given with both count vectors, those whose overlap bound lets them link."""
-        for batch in batches:
-            va, vb = (
-                np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint32).reshape(-1, GROUPS).astype(np.int64)
-                for i in (2, 3)
-            )
-            keep = np.minimum(va, vb).sum(axis=1) >= like.needed(va.sum(axis=1), vb.sum(axis=1))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(i).filter(pa.array(keep)) for i in (0, 1)], names=["a", "b"]
-            )
+    def likely(pairs: pa.Table, vectors: pa.Table) -> pa.Table:
+        """Of the pairs, those whose fine vectors let them link; an id can have several rows, any of which may."""
+        a, b = (pairs.column(c).to_numpy() for c in ("a", "b"))
+        ids = vectors.column("doc_id").to_numpy()
+        order = np.argsort(ids, kind="stable")
+        ids, fine = ids[order], vectors.column("fine").take(pa.array(order)).to_pylist()
+        first = {c: np.searchsorted(ids, v, "left") for c, v in (("a", a), ("b", b))}
+        times = {c: np.searchsorted(ids, v, "right") - first[c] for c, v in (("a", a), ("b", b))}
+        each = times["a"] * times["b"]
+        pair = np.repeat(np.arange(len(a)), each)
+        turn = np.arange(len(pair)) - np.repeat(np.cumsum(each) - each, each)
+        i, j = first["a"][pair] + turn // times["b"][pair], first["b"][pair] + turn % times["b"][pair]
+        bound, sizes = overlap_bounds(fine, i, j)
+        keep = np.unique(pair[bound >= like.needed(sizes[i], sizes[j])])
+        return pa.table({"a": pa.array(a[keep], pa.int64()), "b": pa.array(b[keep], pa.int64())})
 
     return likely
 
@@ -444,17 +491,24 @@ def _cell_pairs(like: Likeness):
 
 def _chunked(pairs: DataFrame, sets: DataFrame, like: Likeness) -> DataFrame:
     """The pairs (a, b) that link, by a look at both sets."""
-    of = lambda s: sets.select(F.col("doc_id").alias(s), F.col("counts").alias(f"c{s}"), F.col("shingles").alias(f"s{s}"))
+    of = lambda s: sets.select(F.col("doc_id").alias(s), F.col("shingles").alias(f"s{s}"))
     both = pairs.join(of("b"), "b").join(of("a"), "a")
-    return both.select("a", "b", "ca", "cb", "sa", "sb").mapInArrow(_verified(like), "a long, b long")
+    return both.select("a", "b", "sa", "sb").mapInArrow(_verified(like), "a long, b long").distinct()
 
 
 def _bounded(pairs: DataFrame, sets: DataFrame, like: Likeness) -> DataFrame:
-    """The pairs (a, b) that can link, by their count vectors alone; whole sets are sent for those only."""
-    of = lambda s: sets.select(F.col("doc_id").alias(s), F.col("counts").alias(f"c{s}"))
-    both = pairs.join(of("b"), "b").join(of("a"), "a")
-    # Several rows with an id have each their own sets.
-    return both.select("a", "b", "ca", "cb").mapInArrow(_likely(like), "a long, b long").distinct()
+    """The pairs (a, b) that can link, by their fine vectors; whole sets are sent for those only.
+
+    Ids are dealt into blocks on either side, and each pair of blocks gets the vectors named in it once,
+    however many pairs name them. Vectors are a thirtieth of the sets.
+    """
+    blocks = max(1, int(np.ceil(np.sqrt(pairs.count() / PAIRS))))
+    block = lambda c: F.pmod(F.xxhash64(c), F.lit(blocks)).cast("int")
+    keyed = pairs.select("a", "b", block("a").alias("low"), block("b").alias("high"))
+    named = keyed.select(F.col("a").alias("doc_id"), "low", "high").union(keyed.select("b", "low", "high")).distinct()
+    vectors = named.join(sets.select("doc_id", "fine"), "doc_id").select("low", "high", "doc_id", "fine")
+    meeting = keyed.groupBy("low", "high").cogroup(vectors.groupBy("low", "high"))
+    return meeting.applyInArrow(_likely(like), "a long, b long")
 
 
 def _sets_of(docs: DataFrame, ids: DataFrame, like: Likeness, broadcast_rows: int = 2_000_000) -> DataFrame:
@@ -519,7 +573,8 @@ def jaccard_components(
         points.repartition("cell", "low", "high").sortWithinPartitions("cell", "low", "high")
         .mapInArrow(_cell_pairs(like), "a long, b long").distinct()
     )
-    more = stored(_chunked(stored(pairs, "pairs"), sets, like), "links")
+    likely = stored(_bounded(stored(pairs, "pairs"), sets, like), "likely")
+    more = stored(_chunked(likely, sets, like), "links")
     labels = components(found.select(F.col("component").alias("a"), F.col("node").alias("b")).union(more))
     return (
         rows.select("doc_id", "n").join(labels, F.col("doc_id") == F.col("node"), "left")
