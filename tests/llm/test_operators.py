@@ -549,3 +549,22 @@ def test_pipeline_stages(spark):
     assert 9100 in leaks and clean == distinct - leaks
     labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
     assert sum(q == 1 and i not in good for i, q in labels.items()) <= 2
+
+
+def test_fine_vectors_bound_the_overlap():
+    """For sets of all sizes, also where one vector is longer than the other."""
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    pool = rng.integers(0, 2**63, 9_000).astype(np.uint64)
+    sets = [np.unique(rng.choice(pool, n, replace=False)) for n in (0, 1, 5, 64, 255, 256, 257, 900, 1000, 4000, 8000)]
+    edges = np.concatenate([[0], np.cumsum([len(s) for s in sets])])
+    fine = jaccard.fine_vectors(np.concatenate(sets), edges)
+    i, j = (x.ravel() for x in np.meshgrid(range(len(sets)), range(len(sets))))
+    bound, sizes = jaccard.overlap_bounds(fine, i, j)
+    assert sizes.tolist() == [len(s) for s in sets]
+    overlap = np.array([len(np.intersect1d(sets[a], sets[b])) for a, b in zip(i, j)])
+    assert (bound >= overlap).all() and (bound <= np.minimum(sizes[i], sizes[j])).all()
+    assert (bound[i == j] == sizes).all()
+    apart = jaccard.fine_vectors(np.concatenate([pool[:4000], pool[4000:8000]]), np.array([0, 4000, 8000]))
+    assert jaccard.overlap_bounds(apart, np.array([0]), np.array([1]))[0][0] < 0.8 * 4000  # random sets do not pass

@@ -506,8 +506,10 @@ def _bounded(pairs: DataFrame, sets: DataFrame, like: Likeness) -> DataFrame:
     block = lambda c: F.pmod(F.xxhash64(c), F.lit(blocks)).cast("int")
     keyed = pairs.select("a", "b", block("a").alias("low"), block("b").alias("high"))
     named = keyed.select(F.col("a").alias("doc_id"), "low", "high").union(keyed.select("b", "low", "high")).distinct()
-    vectors = named.join(sets.select("doc_id", "fine"), "doc_id").select("low", "high", "doc_id", "fine")
-    meeting = keyed.groupBy("low", "high").cogroup(vectors.groupBy("low", "high"))
+    vectors = named.join(sets.select("doc_id", "fine"), "doc_id").select(
+        F.col("low").alias("own_low"), F.col("high").alias("own_high"), "doc_id", "fine"
+    )
+    meeting = keyed.groupBy("low", "high").cogroup(vectors.groupBy("own_low", "own_high"))
     return meeting.applyInArrow(_likely(like), "a long, b long")
 
 
