@@ -51,6 +51,8 @@ NODE = 16  # points of a tree node
 BUCKETS = 1 << 20  # in which shingles are counted
 BUCKET_PARTS = 16
 BLOCK = 4096  # documents of a cell that one task compares with as many others
+QUERIES = 64  # points searched for at a time
+SLICE = 50_000  # pairs looked at together
 PER_GROUP = 4  # shingles to a group of a fine vector, about
 PAIRS = 10_000  # that one task looks at by fine vectors, about
 
@@ -285,7 +287,7 @@ def overlap_bounds(fine: list[bytes], i: np.ndarray, j: np.ndarray) -> tuple[np.
         for right in tables:
             pairs = np.flatnonzero((length[i] == left) & (length[j] == right))
             groups = min(left, right)
-            step = max(1, 4_000_000 // max(left, right))
+            step = max(1, 2_000_000 // max(left, right))
             for k in range(0, len(pairs), step):
                 at = pairs[k : k + step]
                 a = tables[left][place[i[at]]].reshape(len(at), -1, groups).sum(axis=1, dtype=np.int32)
@@ -340,6 +342,7 @@ def _set_rows(like: Likeness):
                 values, edges = shingle_sets(words, like.shingle)
                 counts = count_vectors(values, edges).astype(np.uint32)
                 blobs = [values[a:b].tobytes() for a, b in zip(edges[:-1], edges[1:], strict=True)]
+                pa.default_memory_pool().release_unused()
                 yield pa.RecordBatch.from_arrays(
                     [ids.slice(words.first, words.rows), pa.array(np.diff(edges)),
                      pa.array([c.tobytes() for c in counts], pa.binary()), pa.array(fine_vectors(values, edges), pa.binary()),
@@ -435,22 +438,24 @@ def _pairs_in(ids, comp, points, side, like: Likeness) -> tuple[np.ndarray, np.n
     """
     names, back, times = np.unique(comp, return_inverse=True, return_counts=True)
     few = back != np.argmax(times)
-    coarse = points.reshape(len(points), COARSE, -1).sum(axis=2)
+    coarse = points.reshape(len(points), COARSE, -1).sum(axis=2, dtype=np.int32)
+    sizes = points.sum(axis=1)
     found = [np.zeros((2, 0), np.int64)]
     for left, right in (((side != 2) & few, side != 1), ((side != 2) & ~few, (side != 1) & few)):
         left, right = np.flatnonzero(left), np.flatnonzero(right)
         if not len(left) or not len(right):
             continue
         tree = PackedTree(coarse[right])
-        for k in range(0, len(left), 256):
-            q = left[k : k + 256]
+        for k in range(0, len(left), QUERIES):
+            q = left[k : k + QUERIES]
             at, hit = tree.search(coarse[q], like.least_overlap)
             i, j = q[at], right[hit]
             ok = (comp[i] != comp[j]) & (ids[i] != ids[j])
             i, j = i[ok], j[ok]
-            sizes = points.sum(axis=1)
-            ok = np.minimum(points[i], points[j]).sum(axis=1) >= like.needed(sizes[i], sizes[j])
-            found.append(np.stack([np.minimum(ids[i], ids[j])[ok], np.maximum(ids[i], ids[j])[ok]]))
+            for n in range(0, len(i), SLICE):
+                a, b = i[n : n + SLICE], j[n : n + SLICE]
+                ok = np.minimum(points[a], points[b]).sum(axis=1) >= like.needed(sizes[a], sizes[b])
+                found.append(np.stack([np.minimum(ids[a], ids[b])[ok], np.maximum(ids[a], ids[b])[ok]]))
     both = np.unique(np.concatenate(found, axis=1), axis=1)
     return both[0], both[1]
 
@@ -468,6 +473,7 @@ def _cell_pairs(like: Likeness):
             col = lambda c: t.column(c).combine_chunks().to_numpy(zero_copy_only=False)
             points = np.frombuffer(b"".join(t.column("counts").to_pylist()), np.uint32)
             a, b = _pairs_in(col("doc_id"), col("comp"), points.reshape(-1, GROUPS).astype(np.int32), col("side"), like)
+            pa.default_memory_pool().release_unused()
             return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
         last = None
