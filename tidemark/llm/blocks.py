@@ -8,6 +8,7 @@ as many rows as fit a byte target, at least one.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -133,6 +134,14 @@ def word_chunks(column: pa.Array, members: np.ndarray, target: int = CHUNK_BYTES
         yield Words(first, last - first, part, start, end, row, count, own)
 
 
+def give_back() -> None:
+    """Return freed memory to the system; a worker lives on after its task and would keep it."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only some C libraries have it
+    if trim is not None:
+        trim(0)
+
+
 def sort_rows(values: np.ndarray, edges: np.ndarray) -> np.ndarray:
     """Sort ``values`` within each row, in place."""
     for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):

@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.blocks import NOT_SPACE, U64, Words, mix, sort_rows, word_chunks
+from tidemark.llm.blocks import NOT_SPACE, U64, Words, give_back, mix, sort_rows, word_chunks
 from tidemark.llm.common import stored
 from tidemark.llm.links import components
 
@@ -327,6 +327,8 @@ def _cell_rows(like: Likeness, counts=None):
                      pa.array(two), cells],
                     names=["doc_id", "n", "key1", "key2", "cell"],
                 )
+        seen.clear()
+        give_back()
 
     return rows
 
@@ -342,13 +344,14 @@ def _set_rows(like: Likeness):
                 values, edges = shingle_sets(words, like.shingle)
                 counts = count_vectors(values, edges).astype(np.uint32)
                 blobs = [values[a:b].tobytes() for a, b in zip(edges[:-1], edges[1:], strict=True)]
-                pa.default_memory_pool().release_unused()
                 yield pa.RecordBatch.from_arrays(
                     [ids.slice(words.first, words.rows), pa.array(np.diff(edges)),
                      pa.array([c.tobytes() for c in counts], pa.binary()), pa.array(fine_vectors(values, edges), pa.binary()),
                      pa.array(blobs, pa.binary())],
                     names=["doc_id", "n", "counts", "fine", "shingles"],
                 )
+                del words, values, edges, counts, blobs
+                give_back()
 
     return rows
 
@@ -370,6 +373,8 @@ def _verified(like: Likeness):
             yield pa.RecordBatch.from_arrays(
                 [pa.array([c[i] for i in keep], pa.int64()) for c in cols], names=["a", "b"]
             )
+            del sa, sb, batch
+            give_back()
 
     return verified
 
@@ -389,6 +394,8 @@ def _likely(like: Likeness):
         i, j = first["a"][pair] + turn // times["b"][pair], first["b"][pair] + turn % times["b"][pair]
         bound, sizes = overlap_bounds(fine, i, j)
         keep = np.unique(pair[bound >= like.needed(sizes[i], sizes[j])])
+        del fine, pair, turn, i, j, bound
+        give_back()
         return pa.table({"a": pa.array(a[keep], pa.int64()), "b": pa.array(b[keep], pa.int64())})
 
     return likely
@@ -473,7 +480,8 @@ def _cell_pairs(like: Likeness):
             col = lambda c: t.column(c).combine_chunks().to_numpy(zero_copy_only=False)
             points = np.frombuffer(b"".join(t.column("counts").to_pylist()), np.uint32)
             a, b = _pairs_in(col("doc_id"), col("comp"), points.reshape(-1, GROUPS).astype(np.int32), col("side"), like)
-            pa.default_memory_pool().release_unused()
+            if len(points) >= BLOCK * GROUPS // 16:  # a large group
+                give_back()
             return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
         last = None
@@ -491,6 +499,8 @@ def _cell_pairs(like: Likeness):
                 held.append(batch.slice(a, b - a))
         if held:
             yield flush()
+        held.clear()
+        give_back()
 
     return pairs
 
