@@ -155,16 +155,18 @@ def publish_marts(spark: SparkSession, layout: Layout, settings: Settings) -> No
     for mart in MARTS:
         path = layout.mart(mart.name)
         done = complete_versions(spark, path)
+        version = done[-1] + 1 if done else 0
         if settings.maintain:
             kept = maintained_mart(spark, layout, mart.name, settings)
             before = kept.result.newest()
             after = kept.refresh({name: table(name) for name in mart.inputs})
-            if after is None or (done and after == before):
+            if after is None or (after == before and after in done):
                 continue
+            # Published under the result's own version, so that one whose publishing failed is seen.
+            version = max(version, after)
             result = kept.read()
         else:
             result = mart.build(*[table(name).current() for name in mart.inputs], settings)
-        version = done[-1] + 1 if done else 0
         publish(result, path, version, mart.cluster_by, mart.keys)
         if settings.database:
             name_published(
