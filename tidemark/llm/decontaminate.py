@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.blocks import ALNUM, Words, word_chunks
+from tidemark.llm.blocks import ALNUM, Words, give_back, word_chunks
 from tidemark.llm.common import stored, unused
 
 PHRASE = 10
@@ -276,6 +276,8 @@ def _searcher(shared):
                        _lists(row, words.rows, names.take(pa.array(item, pa.int64())))],
                     names=batch.schema.names[:-1] + ["n_words", "spans", "items"],
                 )
+                del words, hit, row, item, at, parts, spans
+                give_back()
 
     return search
 
