@@ -33,6 +33,7 @@ from pyspark.sql.window import Window
 
 from tidemark.operators import cdc
 from tidemark.operators.changefeed import FEED_ARGUMENTS, change_feed, feed_as_changes
+from tidemark.operators.curve import with_curve_key
 from tidemark.settings import SkewLimits
 from tidemark.sources import manifest
 from tidemark.sources.manifest import DataFile, Manifest, delete_path, list_paths
@@ -41,6 +42,8 @@ OPEN, DELTA, BASE, ADD, PATCH = "open", "delta", "base", "add", "patch"
 # Up to so many rows, or bytes on disk, a patch or the keys of late events are broadcast.
 BROADCAST_ROWS, BROADCAST_FILE_BYTES = 100_000, 16_000_000
 _WRITTEN, _PREVIOUS, _FROM = "__written", "__previous", "__from"
+RANGES = "_ranges"
+_CURVE, _FILE = "__curve", "__file"
 
 
 def _version_of(path: str) -> int:
@@ -60,30 +63,78 @@ def complete_versions(spark: SparkSession, path: str) -> list[int]:
 
 
 def publish(
-    df: DataFrame, path: str, version: int, cluster_by: list[str], keys: list[str]
+    df: DataFrame, path: str, version: int, cluster_by: list[str], keys: list[str], files: int | None = None
 ) -> None:
-    """Write a whole table version, laid out so that filters on it skip files.
+    """Write a whole table version, laid out so that filters on any clustering column skip files.
 
-    The keys follow the clustering columns, so a value of those that most rows
-    share is still spread over tasks.
+    Rows are placed along a curve through all clustering columns (see :mod:`tidemark.operators.curve`). The
+    columns and the keys follow it, so a value that most rows share is still spread over tasks.
+    The range of every clustering column in every file is kept beside the version, for :func:`find_published`.
+    ``files`` fixes their number; Spark chooses it by size otherwise.
     """
     layout = list(dict.fromkeys([*cluster_by, *keys]))
-    rows = df.persist()  # finding ranges reads the rows once more
+    rows = df.persist()  # finding quantiles and ranges reads the rows once more
+    ranges = f"{path}/{RANGES}/version={version}"
+    delete_path(df.sparkSession, ranges)  # those of an earlier write of this version
     try:
+        placed = rows
+        if len(cluster_by) > 1:
+            placed, layout = with_curve_key(rows, cluster_by, _CURVE), [_CURVE, *layout]
+        dealt = placed.repartitionByRange(files, *layout) if files else placed.repartitionByRange(*layout)
         (
-            rows.repartitionByRange(*layout)
-            .sortWithinPartitions(*layout)
+            dealt.sortWithinPartitions(*layout)
+            .drop(_CURVE)
             .write.mode("overwrite")
             .parquet(f"{path}/version={version}")
         )
     finally:
         rows.unpersist()
+    written = df.sparkSession.read.schema(df.schema).parquet(f"{path}/version={version}")
+    bounds = [f(c).alias(f"{end}_{c}") for c in cluster_by for end, f in (("least", F.min), ("most", F.max))]
+    found = written.groupBy(F.col("_metadata.file_name").alias(_FILE)).agg(*bounds)
+    found.coalesce(1).write.mode("overwrite").parquet(ranges)  # one row per file
+
+
+def files_between(
+    spark: SparkSession, path: str, column: str, low, high, version: int | None = None
+) -> list[str] | None:
+    """The files of a published version that can hold a value of a clustering column from ``low`` to ``high``.
+
+    None where the ranges of that column were not kept.
+    """
+    if version is None:
+        version = published_versions(spark, path)[-1]
+    ranges = f"{path}/{RANGES}/version={version}"
+    if not list_paths(spark, f"{ranges}/_SUCCESS"):
+        return None
+    known = spark.read.parquet(ranges)
+    if f"least_{column}" not in known.columns:
+        return None
+    inside = (F.col(f"least_{column}") <= F.lit(high)) & (F.col(f"most_{column}") >= F.lit(low))
+    names = known.filter(inside).select(_FILE).orderBy(_FILE).collect()
+    return [f"{path}/version={version}/{r[0]}" for r in names]
+
+
+def find_published(
+    spark: SparkSession, path: str, column: str, low, high, version: int | None = None
+) -> DataFrame:
+    """The rows of a published version whose ``column`` lies from ``low`` to ``high``; opens only files that can hold one."""
+    if version is None:
+        version = published_versions(spark, path)[-1]
+    names = files_between(spark, path, column, low, high, version)
+    rows = read_published(spark, path, version)
+    if names:
+        rows = spark.read.schema(rows.schema).parquet(*names)
+    elif names is not None:
+        rows = rows.limit(0)
+    return rows.filter(F.col(column).between(F.lit(low), F.lit(high)))
 
 
 def expire_published(spark: SparkSession, path: str, keep: int) -> None:
     """Delete all but the newest ``keep`` versions of a published table."""
     for version in published_versions(spark, path)[:-keep]:
         delete_path(spark, f"{path}/version={version}")
+        delete_path(spark, f"{path}/{RANGES}/version={version}")
 
 
 def read_published(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:

@@ -411,6 +411,10 @@ ORACLE["staged_daily_orders"] = ORACLE["daily_orders_by_restaurant"]
 ORACLE["staged_revenue_by_city"] = ORACLE["revenue_by_city"]
 ORACLE["staged_top_products"] = ORACLE["top_products"]
 ORACLE["staged_synced_serving"] = ORACLE["order_enriched"]
+ORACLE["clustered_daily_orders"] = (
+    f"SELECT * FROM ({ORACLE['daily_orders_by_restaurant']}) "
+    "WHERE restaurant_id BETWEEN 0 AND (SELECT count(*) // 4 FROM supplier)"
+)
 ORACLE["patched_order_history"] = ORACLE["scd2_orders"]
 ORACLE["stored_orders_as_of"] = ORACLE["orders_as_of"]
 # Restaurants that are renamed, and some that move, when they reopen.

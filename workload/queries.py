@@ -15,6 +15,7 @@ from tidemark.settings import Settings, work_dir
 from tidemark.sources.changes import encode_changes, land_raw, read_changes
 from tidemark.sources.tables import (
     CdcTable,
+    find_published,
     publish,
     published_feed,
     read_published,
@@ -286,6 +287,14 @@ def published_revenue_feed(spark, sf_dir):
     return published_feed(spark, path, ["city"], 0, 1)
 
 
+def clustered_daily_orders(spark, sf_dir):
+    """Daily orders published along a curve; those of a quarter of the restaurants, from the files that can hold them."""
+    path = work_dir(spark, "daily_orders")
+    mart = next(m for m in marts.MARTS if m.name == "daily_orders_by_restaurant")
+    publish(daily_orders_by_restaurant(spark, sf_dir), path, 0, mart.cluster_by, mart.keys)
+    return find_published(spark, path, "restaurant_id", 0, derive.supplier_count(spark, sf_dir) // 4)
+
+
 def synced_orders(spark, sf_dir):
     log = derive.log_orders(spark, sf_dir)
     source = _table(spark, "served", "order_id", 1)
@@ -567,6 +576,7 @@ QUERIES = {
         dirty_records_routed,
         dirty_dates_counted,
         published_revenue_feed,
+        clustered_daily_orders,
         incremental_daily_orders,
         incremental_revenue_by_city,
         incremental_top_products,
