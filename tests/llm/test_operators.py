@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tidemark.llm import (
-    decontaminate, jaccard, lm_scoring, mixing, pii, quality_classifier, quality_rules, secrets, sharding, toxicity,
+    decontaminate, jaccard, lm_scoring, mixing, pii, quality_classifier, quality_rules, queries, secrets, sharding,
+    toxicity,
 )
 from tidemark.llm.links import components
 
@@ -323,6 +324,26 @@ def test_mixture_meets_weights(spark, target):
         assert max(counts) - min(counts) <= 1
 
 
+def test_query_mixes(spark):
+    """Half-way in entropy to equal weights, whole epochs and a cut one, on the supplied tables."""
+    import math
+
+    draws = queries.op5_temperature_mix(spark, "/root/testdata/sf0.01").collect()
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    own = {r.source: r.n for r in docs.groupBy("source").agg(F.sum(mixing.token_count(F.col("text"))).alias("n")).collect()}
+    total = sum(own.values())
+    weight = {r.source: r.weight for r in draws}
+    entropy = lambda shares: -sum(x * math.log(x) for x in shares if x)
+    before = entropy([n / total for n in own.values()])
+    wanted = before + 0.5 * (math.log(len(own)) - before)
+    assert abs(entropy(weight.values()) - wanted) < 1e-6 and wanted > before
+    times = Counter(r.doc_id for r in draws)
+    assert {1, 2} <= set(times.values()) and {r.epoch for r in draws} >= {0, 1}
+    longest = docs.agg(F.max(mixing.token_count(F.col("text")))).first()[0]
+    assert abs(sum(r.n_tokens for r in draws) - 1.5 * total) <= longest * len(own)
+    assert all(weight[s] < n / total for s, n in own.items() if n == max(own.values()))
+
+
 def test_mixture_of_awkward_rows(docs, rows):
     mixed = mixing.mixed_documents(docs, mixing.Target(0.95, 2.0, None))
     assert mixed.columns == docs.columns
@@ -509,6 +530,7 @@ def test_empty_tables(spark, empty, labels, docs):
     assert secrets.secret_spans(empty).count() == 0
     assert pii.personal_spans(empty).count() == 0
     assert mixing.mixture(empty, mixing.Target()).count() == 0
+    assert mixing.mixture(empty, mixing.Target(0.5, relative=True, passes=1.5)).count() == 0
     assert sharding.shard_documents(empty).count() == 0
     assert jaccard.jaccard_components(empty).count() == 0
     assert jaccard.one_of_each(empty).count() == 0

@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -31,14 +31,17 @@ ROUNDS = 8
 class Target:
     """What the weights must meet.
 
-    ``entropy`` is a share of the logarithm of the number of sources; ``repeats`` how
-    often a document may be drawn at most; ``budget`` the tokens to draw, or None for the
-    fewest that draw every document once or more.
+    ``entropy`` is a share of the logarithm of the number of sources or, if ``relative``, of the way there from
+    the entropy that the sources have; ``repeats`` how often a document may be drawn at most; ``budget`` the
+    tokens to draw, or None for the fewest that draw every document once or more. ``passes`` states the budget as
+    a multiple of the tokens there are.
     """
 
     entropy: float = 0.95
     repeats: float = 4.0
     budget: int | None = None
+    relative: bool = False
+    passes: float | None = None
 
 
 def token_count(text: Column) -> Column:
@@ -83,9 +86,14 @@ def fit_exponent(shares: DataFrame, total: int, target: Target) -> tuple[float,
         row = shares.agg(*[F.sum(x) for x in power], *[F.sum(x * F.log(p)) for x in power]).first()
         return [(row[k], row[len(points) + k]) for k in range(len(points))]
 
+    def entropies(points: list[float]) -> list[float]:
+        return [math.log(s) - a * t / s for a, (s, t) in zip(points, sums(points), strict=True)]
+
+    own = entropies([1.0])[0]
+    least_entropy = own + target.entropy * (math.log(sources) - own) if target.relative else target.entropy * math.log(sources)
+
     def diverse(points: list[float]) -> list[bool]:
-        wanted = target.entropy * math.log(sources)
-        return [math.log(s) - a * t / s >= wanted for a, (s, t) in zip(points, sums(points), strict=True)]
+        return [h >= least_entropy for h in entropies(points)]
 
     def repeating(points: list[float]) -> list[bool]:
         if target.budget is None:
@@ -93,7 +101,7 @@ def fit_exponent(shares: DataFrame, total: int, target: Target) -> tuple[float,
         draws = target.budget / total
         return [draws * least ** (a - 1) / s > target.repeats for a, (s, _) in zip(points, sums(points), strict=True)]
 
-    exponent = 1.0 if diverse([1.0])[0] else _search(diverse, 0.0, 1.0)[0]
+    exponent = 1.0 if own >= least_entropy else _search(diverse, 0.0, 1.0)[0]
     if repeating([exponent])[0]:
         exponent = _search(repeating, exponent, 1.0)[1]
     return exponent, sums([exponent])[0][0]
@@ -113,6 +121,8 @@ def source_plan(narrow: DataFrame, target: Target) -> DataFrame:
     if total is None:
         exponent, powers, total = 1.0, 1.0, 1
     else:
+        if target.passes is not None:
+            target = replace(target, budget=int(total * target.passes))
         exponent, powers = fit_exponent(full, total, target)
     p = F.col("tokens") / F.lit(float(total))
     weight = F.when(F.col("tokens") > 0, F.pow(p, F.lit(exponent)) / F.lit(powers)).otherwise(0.0)

@@ -83,30 +83,32 @@ WITH RECURSIVE d AS (
          md5(coalesce(doc_id::VARCHAR, '') || ':' || coalesce(length(text)::VARCHAR, '')) AS k FROM documents),
 s AS (SELECT source, sum(n_tokens)::BIGINT AS tokens FROM d GROUP BY source),
 p AS (SELECT tokens / (SELECT sum(tokens)::DOUBLE FROM s) AS p FROM s WHERE tokens > 0),
+g AS (SELECT floor(sum(tokens) * 1.5)::BIGINT AS budget, sum(tokens)::DOUBLE AS total FROM s),
+h AS (SELECT own, own + 0.5 * (ln(n) - own) AS wanted FROM (SELECT ln(sum(p)) - sum(p * ln(p)) / sum(p) AS own, count(*) AS n FROM p)),
 e AS (  -- bisect for the largest exponent whose entropy is high enough, then for repetition
   SELECT 0 AS i, 0.0::DOUBLE AS low, 1.0::DOUBLE AS high
   UNION ALL
   SELECT i + 1, CASE WHEN ok THEN mid ELSE low END, CASE WHEN ok THEN high ELSE mid END
   FROM (SELECT i, low, high, (low + high) / 2 AS mid,
                (SELECT ln(sum(pow(p, (low + high) / 2))) - (low + high) / 2 * sum(pow(p, (low + high) / 2) * ln(p)) / sum(pow(p, (low + high) / 2))
-                       >= 0.95 * ln(count(*)) FROM p) AS ok
+                       >= (SELECT wanted FROM h) FROM p) AS ok
         FROM e WHERE i < 32)),
-a AS (SELECT CASE WHEN (SELECT ln(sum(p)) - sum(p * ln(p)) / sum(p) >= 0.95 * ln(count(*)) FROM p) THEN 1.0
+a AS (SELECT CASE WHEN (SELECT own >= wanted FROM h) THEN 1.0
                   ELSE (SELECT low FROM e WHERE i = 32) END AS a),
 f AS (
   SELECT 0 AS i, a AS low, 1.0::DOUBLE AS high FROM a
   UNION ALL
   SELECT i + 1, CASE WHEN over THEN mid ELSE low END, CASE WHEN over THEN high ELSE mid END
   FROM (SELECT i, low, high, (low + high) / 2 AS mid,
-               (SELECT pow(min(p), (low + high) / 2 - 1) / sum(pow(p, (low + high) / 2)) > 4.0 FROM p) AS over
+               (SELECT (SELECT budget / total FROM g) * pow(min(p), (low + high) / 2 - 1) / sum(pow(p, (low + high) / 2)) > 4.0 FROM p) AS over
         FROM f WHERE i < 32)),
-x AS (SELECT CASE WHEN (SELECT pow(min(p), a - 1) / sum(pow(p, a)) > 4.0 FROM p) THEN (SELECT high FROM f WHERE i = 32) ELSE a END AS a FROM a),
+x AS (SELECT CASE WHEN (SELECT (SELECT budget / total FROM g) * pow(min(p), a - 1) / sum(pow(p, a)) > 4.0 FROM p) THEN (SELECT high FROM f WHERE i = 32) ELSE a END AS a FROM a),
 w AS (
   SELECT source, tokens, CASE WHEN tokens > 0 THEN pow(tokens / (SELECT sum(tokens)::DOUBLE FROM s), (SELECT a FROM x))
          / (SELECT sum(pow(p, (SELECT a FROM x))) FROM p) ELSE 0.0 END AS weight FROM s),
 q AS (
   SELECT *, CASE WHEN tokens > 0 THEN quota // tokens ELSE 1 END AS epochs, CASE WHEN tokens > 0 THEN quota % tokens ELSE 0 END AS rest
-  FROM (SELECT *, floor(weight * (SELECT sum(tokens)::DOUBLE FROM s) + 0.5)::BIGINT AS quota FROM w)),
+  FROM (SELECT *, floor(weight * (SELECT budget::DOUBLE FROM g) + 0.5)::BIGINT AS quota FROM w)),
 b AS (
   SELECT *, sum(n) OVER (PARTITION BY source ORDER BY turn) AS upto
   FROM (SELECT d.source, substr(k, 1, 3) AS block, any_value(q.rest) AS rest, sum(n_tokens) AS n,

@@ -41,10 +41,9 @@ def op4_randomness_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_temperature_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """As many tokens as there are, drawn by weights near those of equal sources."""
-    docs = table(spark, sf_dir, "documents")
-    tokens = docs.agg(F.sum(mixing.token_count(F.col("text")))).first()[0] or 0
-    draws = mixing.mixture(docs, mixing.Target(entropy=0.95, repeats=4.0, budget=tokens))
+    """Half as many tokens again as there are, the weights half-way in entropy to those of equal sources."""
+    target = mixing.Target(entropy=0.5, relative=True, repeats=4.0, passes=1.5)
+    draws = mixing.mixture(table(spark, sf_dir, "documents"), target)
     return draws.withColumn("weight", F.round("weight", 12))
 
 
