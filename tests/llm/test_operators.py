@@ -57,11 +57,40 @@ def test_rules_reject_odd_documents_of_a_group_and_keep_the_rest(spark):
     assert [i for i, k in kept.items() if not k] == [100]
 
 
+def with_repeats(i, share, words=100):
+    """A text of ``words`` words, ``share`` percent of them in a run that occurs twice."""
+    half = share * words // 200
+    run = [f"again{i}x{k}" for k in range(half)]
+    return " ".join([*run, *[f"once{i}x{k}" for k in range(words - 2 * half)], *run])
+
+
+def test_limits_follow_the_group(spark):
+    rows = [(i, with_repeats(i, 0), "en", "spotless") for i in range(200)]
+    rows += [(1000 + i, with_repeats(i, 16 if i % 2 else 0), "en", "repetitive") for i in range(200)]
+    rows += [(2000, with_repeats(2000, 16), "en", "spotless"), (2001, with_repeats(2001, 10), "en", "spotless"),
+             (2002, with_repeats(2002, 16), "en", "repetitive"), (2003, with_repeats(2003, 16), "en", "other")]
+    judged = {r.doc_id: r for r in quality_rules.quality_rules(
+        spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(5)).collect()}
+    assert judged[2000].repeat_rate == 160 and not judged[2000].base_failed
+    assert [i for i, r in judged.items() if not r.kept] == [2000]
+    assert judged[0].max_repeat_rate == 0 and judged[1000].max_repeat_rate > 160
+    # A group too small for limits of its own has those of its language, where such repeats are usual.
+    assert judged[2003].max_repeat_rate > 160
+
+
+def test_slack_grows_slower_than_the_text(spark):
+    rows = [(i, with_repeats(i, 0), "en", "a") for i in range(100)]
+    rows += [(200, with_repeats(200, 1, 10_000), "en", "a"), (201, with_repeats(201, 2, 10_000), "en", "a")]
+    kept = {r.doc_id: r.kept for r in quality_rules.quality_rules(
+        spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
+    assert kept[200] and not kept[201]
+
+
 def test_sketches_merge(spark):
     values = [(i % 3, v) for i, v in enumerate([0, 1, 31, 32, 33, 47, 48, 100, 1000, 10**6, 10**9] * 3)]
     df = spark.createDataFrame(values, "g int, value long").withColumn("bin", quality_rules.sketch_bin("value"))
-    for r in df.withColumn("low", quality_rules.bin_floor("bin")).collect():
-        assert r.low <= r.value <= r.low * 17 / 16 + 1e-9
+    for r in df.withColumn("low", quality_rules.bin_floor("bin")).withColumn("last", quality_rules.bin_last("bin")).collect():
+        assert r.low <= r.value <= r.last <= r.low * 17 / 16 + 1e-9
     whole = quality_rules.sketches(df.withColumnRenamed("value", "m"), [], ("m",))
     parts = quality_rules.merged(quality_rules.sketches(df.withColumnRenamed("value", "m"), ["g"], ("m",)), [])
     assert sorted(map(tuple, whole.collect())) == sorted(map(tuple, parts.collect()))

@@ -8,7 +8,10 @@ held-out labels.
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 _MEASURES = ("symbol_rate", "repeat_rate", "dup_line_rate", "word_length")
-_LEAST = {"symbol_rate": 60, "repeat_rate": 200, "dup_line_rate": 300, "word_length": 0}
+_SLACK = {
+    "symbol_rate": ("n_symbols", "word_chars", 4, 500), "repeat_rate": ("n_repeat_words", "n_words", 10, 100),
+    "dup_line_rate": ("n_dup_lines", "n_lines", 1, 10),
+}
 
 
 def _limits(level: str, keys: str) -> str:
@@ -17,20 +20,19 @@ def _limits(level: str, keys: str) -> str:
     columns = ", ".join(
         f"max(CASE WHEN measure = '{m}' THEN high END) AS max_{m}" for m in _MEASURES
     )
-    least = " ".join(f"WHEN '{m}' THEN {v}" for m, v in _LEAST.items())
     return f"""
 {level}_q AS (
   SELECT {group}measure, max(total) AS n,
          min(low) FILTER (upto * 4 >= total) AS q1, min(low) FILTER (upto * 4 >= total * 2) AS q2,
-         min(low) FILTER (upto * 4 >= total * 3) AS q3
-  FROM (SELECT {group}measure, low, sum(n) OVER (PARTITION BY {group}measure ORDER BY low) AS upto,
+         min(low) FILTER (upto * 4 >= total * 3) AS q3, min(low) FILTER (upto * 10 >= total * 9) AS d9,
+         min(last) FILTER (upto * 10 >= total * 9) AS top
+  FROM (SELECT {group}measure, low, last, sum(n) OVER (PARTITION BY {group}measure ORDER BY low) AS upto,
                sum(n) OVER (PARTITION BY {group}measure) AS total
-        FROM (SELECT {group}measure, low, count(*) AS n FROM binned GROUP BY {group}measure, low))
+        FROM (SELECT {group}measure, low, last, count(*) AS n FROM binned GROUP BY {group}measure, low, last))
   GROUP BY {group}measure),
 {level} AS (
   SELECT {group}max(n) AS n, {columns}, max(CASE WHEN measure = 'word_length' THEN low END) AS min_word_length
-  FROM (SELECT *, greatest(q3 + 4 * (q3 - q1), CASE measure {least} END,
-                           CASE WHEN measure = 'word_length' THEN 2 * q2 ELSE 0 END) AS high,
+  FROM (SELECT *, CASE WHEN measure = 'word_length' THEN greatest(q3 + 4 * (q3 - q1), 2 * q2) ELSE top + 3 * (d9 - q2) END AS high,
                least(q1 - 4 * (q3 - q1), q2 // 2) AS low
         FROM {level}_q) {by})"""
 
@@ -39,7 +41,14 @@ def _op2() -> str:
     pick = lambda c: (
         f"CASE WHEN g.n >= 50 THEN g.{c} WHEN l.n >= 50 THEN l.{c} ELSE o.{c} END"
     )
-    fits = " AND ".join(f"{m} <= coalesce({pick(f'max_{m}')}, {m})" for m in _MEASURES)
+    def within(m: str) -> str:
+        limit = f"coalesce({pick(f'max_{m}')}, {m})"
+        if m not in _SLACK:
+            return f"{m} <= {limit}"
+        n, size, least, unit = _SLACK[m]
+        return f"({m} <= {limit} OR 1000 * {n} - {limit} * {size} <= 1000.0::DOUBLE * {least} * greatest(1.0::DOUBLE, sqrt({size}::DOUBLE / {unit})))"
+
+    fits = " AND ".join(map(within, _MEASURES))
     return f"""
 WITH t AS (
   SELECT row_number() OVER () AS r, doc_id, lang, source, coalesce(text, '') AS text,
@@ -65,7 +74,8 @@ long AS (UNPIVOT (SELECT lang, source, symbol_rate, repeat_rate, dup_line_rate,
          ON symbol_rate, repeat_rate, dup_line_rate, word_length INTO NAME measure VALUE value),
 binned AS (
   SELECT lang, source, measure,
-         CASE WHEN value < 32 THEN value ELSE (value >> (length(bin(value)) - 5)) << (length(bin(value)) - 5) END AS low
+         CASE WHEN value < 32 THEN value ELSE (value >> (length(bin(value)) - 5)) << (length(bin(value)) - 5) END AS low,
+         CASE WHEN value < 32 THEN value ELSE (((value >> (length(bin(value)) - 5)) + 1) << (length(bin(value)) - 5)) - 1 END AS last
   FROM long),
 {_limits("g", "lang, source")}, {_limits("l", "lang")}, {_limits("o", "")}
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,

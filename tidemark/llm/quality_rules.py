@@ -3,9 +3,11 @@
 Every text gets a few whole-number measures. Their distribution per language
 and source is kept as a quantile sketch: counts over bins whose width is at most a
 sixteenth of their value, so sketches merge by adding counts and give the same
-quantiles however the rows were dealt. Limits are fences around the middle of
-a group's distribution; groups with few documents use the merged sketch of their
-language, or of all rows. Documents are then joined to the limits of their group.
+quantiles however the rows were dealt. Limits come from a group's own sketch: its ninth
+decile and three times that decile's distance from the median, so that up to a tenth of a group may be
+junk without widening them. Beyond the limit a text may have a few counts, growing with the square root
+of its size as chance does; in a spotless group that is all it may have. Groups with few documents use the
+merged sketch of their language, or of all rows. Documents are then joined to the limits of their group.
 
 All of it is DataFrame code; a text never leaves its row.
 """
@@ -22,9 +24,14 @@ SPACES = " \t\n\u000b\f\r"
 WINDOW = 5
 # Measures: whole numbers, larger is worse for the first three.
 MEASURES = ("symbol_rate", "repeat_rate", "dup_line_rate", "word_length")
-# The least upper fence of each measure, in thousandths (word_length: in hundredths of a
-# character); a group whose quartiles are all zero still allows this much.
-LEAST_FENCE = {"symbol_rate": 60, "repeat_rate": 200, "dup_line_rate": 300, "word_length": 0}
+# Per rate what is counted, what it is counted in, and how many counts beyond the limit a text of the
+# stated size or less may have; larger texts may have more, by the square root of their size.
+SLACK = {
+    "symbol_rate": ("n_symbols", "word_chars", 4, 500),
+    "repeat_rate": ("n_repeat_words", "n_words", 10, 100),
+    "dup_line_rate": ("n_dup_lines", "n_lines", 1, 10),
+}
+SPREAD = 3
 
 
 def words_of(text: Column) -> Column:
@@ -152,8 +159,16 @@ def merged(sketch: DataFrame, keys: list[str]) -> DataFrame:
     return sketch.groupBy(*keys, "measure", "bin").agg(F.sum("n").alias("n"))
 
 
-def quartiles(sketch: DataFrame, keys: list[str]) -> DataFrame:
-    """n, q1, q2 and q3 of each group and measure, as floors of their bins."""
+def bin_last(at: str) -> Column:
+    """The largest value in a bin."""
+    return F.expr(
+        f"case when {at} < 32 then cast({at} as long) else "
+        f"shiftleft(cast(17 + ({at} - 32) % 16 as long), cast((({at} - 32) div 16) + 1 as int)) - 1 end"
+    )
+
+
+def quantiles(sketch: DataFrame, keys: list[str]) -> DataFrame:
+    """n, q1, q2, q3, d9 and top of each group and measure: quartiles and ninth decile as floors of their bins, and the last of d9's bin."""
     group = [*keys, "measure"]
     upto = Window.partitionBy(*group).orderBy("bin")
     whole = Window.partitionBy(*group)
@@ -161,29 +176,27 @@ def quartiles(sketch: DataFrame, keys: list[str]) -> DataFrame:
         sketch.withColumn("__upto", F.sum("n").over(upto))
         .withColumn("__all", F.sum("n").over(whole))
         .withColumn("__floor", bin_floor("bin"))
+        .withColumn("__last", bin_last("bin"))
     )
-    at = lambda k: F.min(F.when(F.col("__upto") * 4 >= F.col("__all") * k, F.col("__floor")))
+    at = lambda k, c="__floor": F.min(F.when(F.col("__upto") * 20 >= F.col("__all") * k, F.col(c)))
     return ranked.groupBy(*group).agg(
-        F.max("__all").alias("n"), at(1).alias("q1"), at(2).alias("q2"), at(3).alias("q3")
+        F.max("__all").alias("n"), at(5).alias("q1"), at(10).alias("q2"), at(15).alias("q3"),
+        at(18).alias("d9"), at(18, "__last").alias("top"),
     )
 
 
-def fences(sketch: DataFrame, keys: list[str], spread: int = 4) -> DataFrame:
+def fences(sketch: DataFrame, keys: list[str], spread: int = SPREAD) -> DataFrame:
     """One row per group with n and, for each measure, its low and high limit.
 
-    The high limit is q3 plus ``spread`` times q3 - q1, but at least the measure's
-    least fence; that of word_length at least twice the median. Only word_length has a low limit: q1
-    less the spread, at most half the median.
+    The high limit of a rate is the ninth decile plus ``spread`` times its distance from the median. That of
+    word_length is q3 plus four times q3 - q1, at least twice the median, and its low limit q1 less as much, at most
+    half the median.
     """
-    q = quartiles(sketch, keys)
-    least = F.create_map(*[F.lit(x) for m in MEASURES for x in (m, LEAST_FENCE[m])])
-    wide = spread * (F.col("q3") - F.col("q1"))
+    q = quantiles(sketch, keys)
+    wide = 4 * (F.col("q3") - F.col("q1"))
     length = F.col("measure") == "word_length"
-    high = F.greatest(
-        F.col("q3") + wide,
-        least[F.col("measure")].cast("long"),
-        F.when(length, 2 * F.col("q2")).otherwise(0),
-    )
+    high = F.when(length, F.greatest(F.col("q3") + wide, 2 * F.col("q2"))).otherwise(
+        F.col("top") + spread * (F.col("d9") - F.col("q2")))
     low = F.when(length, F.least(F.col("q1") - wide, F.expr("q2 div 2"))).otherwise(-1)
     limits = q.withColumn("__high", high).withColumn("__low", low)
     pick = lambda m, c: F.max(F.when(F.col("measure") == m, F.col(c)))
@@ -194,6 +207,17 @@ def fences(sketch: DataFrame, keys: list[str], spread: int = 4) -> DataFrame:
     )
 
 
+def within(measure: str) -> Column:
+    """Whether a row is within its group's limit of a measure, or beyond it by no more than its slack."""
+    limit = F.coalesce(F.col(f"max_{measure}"), F.col(measure))
+    fits = F.col(measure) <= limit
+    if measure in SLACK:
+        count, size, least, unit = SLACK[measure]
+        beyond = 1000 * F.col(count) - limit * F.col(size)
+        fits = fits | (beyond <= 1000.0 * least * F.greatest(F.lit(1.0), F.sqrt(F.col(size) / F.lit(float(unit)))))
+    return fits
+
+
 LIMITS = [f"max_{m}" for m in MEASURES] + ["min_word_length"]
 
 
@@ -254,7 +278,7 @@ def quality_rules(
     empty text has no words and fails the base rules; null languages and sources are groups
     of their own; repeated rows are judged as often as they occur; an empty table gives
     no rows. ``kept`` is false for what the base rules fail, else whether every measure is
-    within the limits of the document's language and source.
+    within the limits, and their slack, of the document's language and source.
     """
     counts = measured(docs.select("doc_id", "text", "lang", "source")).drop("text")
     failed = (F.col("n_words") < min_words) | (
@@ -266,5 +290,5 @@ def quality_rules(
     judged = with_limits(rates, stored(limits, "limits"), keys)
     fits = F.col("word_length") >= F.coalesce(F.col("min_word_length"), F.lit(-1))
     for m in MEASURES:
-        fits = fits & (F.col(m) <= F.coalesce(F.col(f"max_{m}"), F.col(m)))
+        fits = fits & within(m)
     return judged.withColumn("kept", ~F.col("base_failed") & fits)
