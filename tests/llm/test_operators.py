@@ -441,6 +441,49 @@ def test_mistyped_cards_are_selected_and_years_are_not(spark):
     assert not any(model[i] for i in range(800) if i % 20)
 
 
+def new_forms(seed: int) -> list[tuple]:
+    """Texts with forms that no base pattern finds (third column: start, end) or harmless numbers, beside known formats."""
+    rng = random.Random(seed)
+    digits = lambda n: "".join(rng.choice("123456789") for _ in range(n))
+    word = lambda: "".join(rng.choice("abcdeilmnorst") for _ in range(rng.randint(3, 9)))
+    made = []
+
+    def add(before: str, own: str, wanted: bool | None):
+        lead = " ".join(word() for _ in range(rng.randint(1, 6))) + before
+        span = None if wanted is None else (len(lead), len(lead) + len(own)) if wanted else ()
+        made.append((len(made), f"{lead}{own} {word()} {word()}", span))
+
+    for _ in range(100):
+        add(rng.choice([" mail ", " "]), f"{word()}{rng.choice([' (at) ', ' [at] '])}{word()}.org", True)
+        add(rng.choice([" call ", " "]), f"({digits(3)}) {digits(3)}-{digits(4)}", True)
+        add(rng.choice([" host ", " "]), ":".join(f"{rng.randint(4096, 65535):x}" for _ in range(8)), True)
+        add(" on ", f"{rng.randint(1960, 2030)}-{rng.randint(10, 12)}-{rng.randint(10, 28)}", False)
+        add(" for $", f"{digits(5)}.{digits(2)}", False)
+        add(" order ", digits(rng.choice([7, 9])), False)
+        add(" version ", f"{digits(1)}.{digits(2)}.{digits(2)}", False)
+    for _ in range(400):
+        add(rng.choice([" mail ", " "]), f"{word()}@{word()}.com", None)
+    for _ in range(100):
+        add(rng.choice([" call ", " "]), f"+1 {digits(3)}-{digits(3)}-{digits(4)}", None)
+    return made
+
+
+def test_forms_that_no_pattern_knows(spark):
+    made = new_forms(8)
+    rows = [(i, t) for i, t, _ in made]
+    found = [
+        {r.doc_id: sorted((s.start, s.end) for s in r.model) for r in pii.personal_spans(
+            spark.createDataFrame(rows, "doc_id long, text string").repartition(n)).collect()}
+        for n in (1, 7)
+    ]
+    assert found[0] == found[1]
+    for k, name in enumerate(("at", "phone", "network")):
+        wanted = [(i, w) for i, _, w in made[:700] if i % 7 == k]
+        assert sum([w] == found[0][i] for i, w in wanted) >= 90, name
+    assert sum(bool(found[0][i]) for i, _, w in made if w == ()) <= 8
+    assert not any(found[0][i] for i, _, w in made if w is None)
+
+
 def test_redaction(spark):
     df = spark.createDataFrame([("é a@b.c and 1.2.3.4!",)], "text string")
     spans = "array(named_struct('start', 2, 'end', 7, 'kind', 'email'), named_struct('start', 12, 'end', 19, 'kind', 'ip'))"
