@@ -90,9 +90,14 @@ def _before(text: Column, s: Column) -> Column:
 
 
 def _harmless(text: Column, s: Column) -> Column:
-    """Whether a candidate has a checked harmless shape, or is part of a longer word or number."""
+    """Whether a candidate has a checked harmless shape, or is part of a longer word or number.
+
+    So has a number as long as a card's that fails the check and has no word of payment before it.
+    """
     before, after = _before(text, s), F.substring(text, s["end"] + 1, F.lit(1))
-    shape = before.rlike(HARMLESS_BEFORE) | before.rlike("[A-Za-z0-9]$") | after.rlike("^[A-Za-z0-9]")
+    digits = digits_of(s["text"])
+    failing = F.when(s["text"].rlike("^[0-9\\x20-]+$") & F.length(digits).between(13, 19), ~luhn(digits) & ~before.rlike(WORDS_BEFORE[2])).otherwise(False)
+    shape = before.rlike(HARMLESS_BEFORE) | before.rlike("[A-Za-z0-9]$") | after.rlike("^[A-Za-z0-9]") | failing
     for pattern in HARMLESS:
         shape = shape | s["text"].rlike(pattern)
     return shape
@@ -180,18 +185,24 @@ def _wrong_forms(own: str) -> str:
         (" costs $", f"concat({digits(1, 5)}, '.', {digits(9, 2)})"), (" sold ", f"concat({digits(1, 5)}, '.', {digits(9, 2)})"),
         (" version ", f"concat_ws('.', {digits(1, 1)}, {digits(2, 2)}, {digits(4, 2)})"),
         (" order ", digits(1, 7)), (" order ", digits(1, 10)), (" invoice no. ", digits(1, 12)), (" ticket #", digits(1, 8)), (" ref ", digits(1, 16)),
-        (" total ", digits(1, 6)), (" hash a7f", digits(1, 14)), (" sold ", f"concat({digits(1, 2)}, ' @ ', {digits(3, 2)})"),
+        (" total ", digits(1, 6)), (" ", digits(1, 8)), (" ", digits(1, 11)), (" ", digits(1, 16)), (" hash a7f", digits(1, 14)), (" sold ", f"concat({digits(1, 2)}, ' @ ', {digits(3, 2)})"),
     ]
     return "array(" + ", ".join(f"named_struct('before', '{b}', 'own', {own_form})" for b, own_form in shapes) + ")"
 
 
 def _altered(seeds: DataFrame) -> DataFrame:
     """Labelled candidates from each known span rewritten once as a right form and once as a wrong one."""
-    pick = lambda forms: f"element_at({forms}, 1 + cast(pmod(xxhash64(own, start, doc_id), size({forms})) as int))"
-    wrong = pick(_wrong_forms("own"))
+    # Within lambdas the many forms are evaluated as they are; as generated code they are too long to compile.
+    pick = lambda forms: (
+        f"get(transform(array(own), o -> get(transform(array({forms}), f -> get(f, cast(pmod(xxhash64(o, start, doc_id), size(f)) as int))), 0)), 0)"
+    )
+    wrong = pick(_wrong_forms("o"))
+    # A mistyped card is one only after a word of payment.
+    paying = f"concat(left(before, 8), {pick("array(' card ', ' visa ', ' account ', ' card number: ')")})"
+    lead = f"if(rank = 2 and not before rlike '{WORDS_BEFORE[2]}', {paying}, before)"
     two = seeds.select(
         "doc_id", "start",
-        F.expr(f"stack(2, 1.0D, before, {pick(_right_forms('own', 'rank'))}, after, "
+        F.expr(f"stack(2, 1.0D, {lead}, {pick(_right_forms('o', 'rank'))}, after, "
                f"0.0D, concat(left(before, 8), {wrong}.before), {wrong}.own, after) as (label, before, own, after)"),
     )
     text, first = F.col("__text"), F.length("before")
