@@ -530,6 +530,29 @@ def test_quality_held_out(spark):
     assert held_out_accuracy(scored, spark, "quality", 3, 1, 0.5) >= 0.97
 
 
+def test_quality_learns_from_every_labelled_row(spark):
+    """The only bad rows have the greatest hashes of over 20,000 ids."""
+    from tidemark.llm.common import id_remainder
+
+    ids = spark.range(33_000).select(F.col("id").alias("doc_id"))
+    usable = ids.filter(id_remainder("doc_id", 3) != 1).orderBy(F.xxhash64("doc_id"), "doc_id")
+    bad = {r[0] for r in usable.collect()[20_050:]}
+    assert len(bad) > 500
+    rows = [(i, " ".join(["@@##" if i in bad else "word"] * (3 + i % 50)), int(i not in bad)) for i in range(33_000)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, quality int")
+    model = quality_classifier.learn_quality(table.select("doc_id", "text"), table.select("doc_id", "quality"))
+    probe = spark.createDataFrame([(0, "word " * 9), (1, "@@## " * 9)], "i int, text string")
+    score = dict(map(tuple, probe.select("i", quality_classifier.quality_score(F.col("text"), model)).collect()))
+    assert score[0] > 0.5 > score[1]
+
+
+def test_value_at_rank(spark):
+    values = [random.Random(3).choice([1.5, 2.0, 9.0]) for _ in range(300)] + [i / 7 for i in range(500)]
+    rows = spark.createDataFrame([(v,) for v in values], "v double")
+    for rank in (0, 1, 250, 400, 799):
+        assert quality_classifier.value_at(rows, "v", rank, bins=4, few=20) == sorted(values)[rank]
+
+
 def test_toxicity_held_out(spark):
     read = lambda t: spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet")
     scored = toxicity.scored_documents(read("documents"), read("labels"))

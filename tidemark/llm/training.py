@@ -1,4 +1,4 @@
-"""Labelled rows for learning, and small models fitted on bounded samples of them."""
+"""Labelled rows for learning, and small models fitted on them."""
 
 from __future__ import annotations
 
@@ -9,18 +9,25 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import id_remainder
 
 
-def label_sample(labels: DataFrame, label: str, modulus: int, held_out: int, limit: int) -> DataFrame:
-    """(doc_id, label) for at most ``limit`` labelled ids that may be learnt from.
+def known_labels(labels: DataFrame, label: str, modulus: int, held_out: int) -> DataFrame:
+    """(doc_id, label) for all labelled ids that may be learnt from.
 
     Ids with crc32 remainder ``held_out`` are left out, as are null ids, null labels and ids
-    with both labels. Of more ids than ``limit`` those with the least hash are
-    taken, so that the sample is the same on every run.
+    with both labels.
     """
     known = labels.select("doc_id", F.col(label).cast("int").alias("label"))
     known = known.filter(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1))
     known = known.filter(id_remainder("doc_id", modulus) != held_out)
     agreed = known.groupBy("doc_id").agg(F.min("label").alias("label"), F.max("label").alias("__max"))
-    agreed = agreed.filter(F.col("label") == F.col("__max")).select("doc_id", "label")
+    return agreed.filter(F.col("label") == F.col("__max")).select("doc_id", "label")
+
+
+def label_sample(labels: DataFrame, label: str, modulus: int, held_out: int, limit: int) -> DataFrame:
+    """At most ``limit`` of :func:`known_labels`.
+
+    Of more ids than ``limit`` those with the least hash are taken, so that the sample is the same on every run.
+    """
+    agreed = known_labels(labels, label, modulus, held_out)
     return agreed.orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
 
 
@@ -48,8 +55,3 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float, steps: int = 30) -> np.
             break
     return w
 
-
-def scales(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Mean and spread of each column; a constant column gets a spread of 1."""
-    spread = x.std(axis=0)
-    return x.mean(axis=0), np.where(spread > 1e-9, spread, 1.0)
