@@ -362,3 +362,21 @@ def test_a_feed_of_layers_compares_only_their_keys(spark, tmp_path):
             table.apply(changes(spark, 1 + version, rows=9, since=900 - 300 * version), version, **ARGUMENTS)
         for start in (0, 1, 2):
             assert rows_of(table.feed(start, 3)) == rows_of(change_feed(table.read(start), table.read(3), ["id"]))
+
+
+def test_huge_keys_are_counted_without_reading_last_events(spark, tmp_path, monkeypatch):
+    table = CdcTable(spark, f"{tmp_path}/t", ["id"], 2, buckets=2)
+    rows = lambda *more: spark.createDataFrame(list(more), "id long, v string, lsn long, op string")
+    arguments = dict(sequence_by="lsn", delete_when="op = 'd'", except_columns=["op", "lsn"])
+    table.apply(rows((1, "a", 10, "c"), (2, "b", 11, "c")), 0, **arguments)
+    read, history = [], cdc.history
+
+    def watched(events, keys, limits, measured_on=None, *more, **named):
+        read.extend((events if measured_on is None else measured_on).inputFiles())
+        return history(events, keys, limits, measured_on, *more, **named)
+
+    monkeypatch.setattr(cdc, "history", watched)
+    table.apply(rows((1, "c", 20, "u"), (2, "z", 5, "u"), (3, "d", 21, "c")), 1, **arguments)
+    assert not [f for f in read if "kind=open" in f]
+    got = {(r["id"], r["v"], r["__START_AT"], r["__END_AT"]) for r in table.read().collect()}
+    assert got == {(1, "a", 10, 20), (1, "c", 20, None), (2, "z", 5, 11), (2, "b", 11, None), (3, "d", 21, None)}

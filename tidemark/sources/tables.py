@@ -491,26 +491,20 @@ class CdcTable:
             kind = events.schema[cdc.START].dataType
             return rows.select(*columns, F.lit(is_stored).alias(cdc.STORED), end.cast(kind).alias(cdc.OLD_END))
 
-        # Outside of buckets rewritten whole, only rows of keys in the batch play a part.
+        # Outside of buckets rewritten whole, only rows of keys in the batch play a part. They are looked up once.
         first = events.groupBy(*self.keys).agg(F.min(cdc.START).alias(_FROM))
-        inputs = marked(events, False).unionByName(
-            marked(self._inside(opened, folded, inverse=True).join(first, self.keys, "left_semi"), True)
-        )
-        late = (
-            opened.select(*self.keys, F.col(cdc.START).alias("__last"))
-            .join(first, self.keys)
-            .filter(F.col(_FROM) < F.col("__last"))
-            .drop("__last")
-            .persist()
-        )
-        self._kept.append(late)
+        known = self._inside(opened, folded, inverse=True).join(first, self.keys).persist()
+        self._kept.append(known)
+        inputs = marked(events, False).unionByName(marked(known, True))
+        # A key has one last event at most, so huge keys show without those.
+        counted = [events]
+        late = known.filter(F.col(_FROM) < F.col(cdc.START)).select(*self.keys, _FROM)
         # One row per bucket that late events fall into, with the earliest of them.
         reached = {
             r["bucket"]: (r["n"], r["least"])
             for r in late.groupBy(self._bucket().alias("bucket"))
             .agg(F.count(F.lit(1)).alias("n"), F.min(_FROM).alias("least"))
             .collect()
-            if r["bucket"] not in folded
         }
         if reached:
             chosen = [
@@ -525,13 +519,19 @@ class CdcTable:
                 few = sum(n for n, _ in reached.values()) <= BROADCAST_ROWS
                 split = ended.join(F.broadcast(late) if few else late, self.keys).filter(F.col(cdc.END) > F.col(_FROM))
                 inputs = inputs.unionByName(marked(split, True))
+                counted.append(split)
         if folded:
             inputs = inputs.unionByName(marked(self._inside(opened, folded), True))
+            counted.append(self._inside(opened, folded))
             whole = self._ended([f for f in stored.files if f.bucket in folded and f.kind not in (OPEN, DELTA)], stored.schema)
             if whole is not None:
                 inputs = inputs.unionByName(marked(whole, True))
+                counted.append(whole)
+        measured = counted[0].select(*self.keys, cdc.START)
+        for rows in counted[1:]:
+            measured = measured.unionByName(rows.select(*self.keys, cdc.START))
         closed = cdc.history(
-            inputs, self.keys, self.limits, partitions=self._partitions(), previous=_PREVIOUS
+            inputs, self.keys, self.limits, measured, self._partitions(), previous=_PREVIOUS
         )
         whole = self._bucket().isin(*folded) if folded else F.lit(False)
         changed = ~(F.col(cdc.STORED) & F.col(cdc.END).eqNullSafe(F.col(cdc.OLD_END)))
