@@ -241,3 +241,12 @@ def test_decoding_reads_the_kafka_columns(spark, log):
                            "timestampType"]
     back = decode_changes(raw, entities.ORDERS.row, ["order_id"]).drop("updated_at")
     assert rows_of(back) == rows_of(log)
+
+
+def test_a_long_backlog_takes_few_batches(spark, log, expected, tmp_path):
+    land(log, f"{tmp_path}/raw", 0, files=7)
+    land(log, f"{tmp_path}/raw", 1, files=7)
+    seen = {}
+    table = run(spark, tmp_path, on_metrics=seen.__setitem__)
+    assert sorted(seen) == [0, 1, 2]
+    assert stored(spark, tmp_path, table) == expected
