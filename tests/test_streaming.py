@@ -12,9 +12,11 @@ from tidemark.operators.decode import decode_changes
 from tidemark.plans import entities, marts, stages
 from tidemark.settings import Settings
 from tidemark.sources.changes import RAW_SCHEMA, encode_changes
+from tidemark.sources.manifest import list_paths
 from tidemark.sources.tables import CdcTable, complete_versions, read_published
-from tidemark.streaming.flows import run_entity, run_order_enriched
+from tidemark.streaming.flows import route_changes, run_entity, run_order_enriched, valid_events
 from workload import derive
+from workload import queries as registered
 
 COLUMNS = ["order_id", "customer_id", "restaurant_id", "status", "total_amount", "created_at"]
 
@@ -250,3 +252,11 @@ def test_a_long_backlog_takes_few_batches(spark, log, expected, tmp_path):
     table = run(spark, tmp_path, on_metrics=seen.__setitem__)
     assert sorted(seen) == [0, 1, 2]
     assert stored(spark, tmp_path, table) == expected
+
+
+def test_filters_do_not_parse_again(spark, log):
+    raw = encode_changes(log, ["order_id"], COLUMNS, "orders")
+    decoded = decode_changes(raw, entities.ORDERS.row, ["order_id"], position=True, diagnostics=True)
+    events = valid_events(route_changes(decoded, entities.ORDERS), entities.ORDERS)
+    plan = events._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(") == 1

@@ -33,8 +33,10 @@ def decode_changes(
     """
     text = F.col("value").cast("string")
     carried = [F.col("partition").alias("_partition"), F.col("offset").alias("_offset")]
+    # The explode of one element keeps later filters from moving below the parsing, where each
+    # mention of a column would parse the text again.
     parsed = raw.select(
-        F.from_json(text, envelope_schema(row)).alias("e"),
+        F.explode(F.array(F.from_json(text, envelope_schema(row)))).alias("e"),
         *(carried if position else []),
         *([text.alias(RAW_TEXT)] if diagnostics else []),
     )
