@@ -260,3 +260,21 @@ def test_filters_do_not_parse_again(spark, log):
     events = valid_events(route_changes(decoded, entities.ORDERS), entities.ORDERS)
     plan = events._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("from_json(") == 1
+
+
+def test_staged_queries_run_anew_what_they_need(spark, monkeypatch):
+    layouts, whole = [], registered.run_stages
+
+    def run_stages(spark, layout, *rest):
+        layouts.append(layout)
+        whole(spark, layout, *rest)
+
+    monkeypatch.setattr(registered, "run_stages", run_stages)
+    expected = rows_of(registered.revenue_by_city(spark, SF_DIR))
+    for _ in range(2):
+        assert rows_of(registered.staged_revenue_by_city(spark, SF_DIR)) == expected
+    assert len(layouts) == 2
+    names = [spec.name for spec in entities.ENTITIES]
+    assert [n for n in names if list_paths(spark, f"{layouts[1].raw(n)}/*.parquet")] == ["restaurants", "orders"]
+    assert stages.topics_for({stages.SERVING}) == {"customers", "restaurants", "orders"}
+    assert stages.topics_for(stages.ALL_TARGETS) == set(names)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -86,8 +87,29 @@ def topic_options(settings: Settings, name: str) -> dict:
     return {"path": f"{settings.source}/{topic}"}
 
 
-def land_all(spark: SparkSession, layout: Layout, settings: Settings) -> None:
+SERVING = "order_enriched"
+
+
+def tables_for(targets: Collection[str]) -> set[str]:
+    """The entity tables that targets are, or are made of."""
+    inputs = {**{spec.name: (spec.name,) for spec in entities.ENTITIES}, **{m.name: m.inputs for m in MARTS}}
+    inputs[SERVING] = (entities.CUSTOMERS.name, entities.RESTAURANTS.name)
+    return {name for target in targets for name in inputs[target]}
+
+
+def topics_for(targets: Collection[str]) -> set[str]:
+    """The topics that targets are made of; the serving table reads the raw orders, not their history."""
+    return tables_for(targets) | ({entities.ORDERS.name} if SERVING in targets else set())
+
+
+ALL_TARGETS = frozenset({*(spec.name for spec in entities.ENTITIES), *(mart.name for mart in MARTS), SERVING})
+
+
+def land_all(
+    spark: SparkSession, layout: Layout, settings: Settings, targets: Collection[str] = ALL_TARGETS
+) -> None:
     """Bring every topic's new records into its raw table, topics side by side."""
+    wanted = topics_for(targets)
     running = [
         land_raw(
             read_changes(spark, settings.source_format, **topic_options(settings, spec.name)),
@@ -95,6 +117,7 @@ def land_all(spark: SparkSession, layout: Layout, settings: Settings) -> None:
             layout.checkpoint(f"raw_{spec.name}"),
         )
         for spec in entities.ENTITIES
+        if spec.name in wanted
     ]
     for query in running:
         query.awaitTermination()
@@ -115,8 +138,12 @@ def _keep_metrics(spark: SparkSession, path: str):
     return keep
 
 
-def transform_all(spark: SparkSession, layout: Layout, settings: Settings) -> None:
-    """Apply raw changes to all targets side by side, then to the serving table."""
+def transform_all(
+    spark: SparkSession, layout: Layout, settings: Settings, targets: Collection[str] = ALL_TARGETS
+) -> None:
+    """Apply raw changes to all tables side by side, then to the serving table."""
+    wanted = tables_for(targets)
+    specs = [spec for spec in entities.ENTITIES if spec.name in wanted]
 
     def run(spec: entities.EntitySpec) -> None:
         run_entity(
@@ -129,12 +156,14 @@ def transform_all(spark: SparkSession, layout: Layout, settings: Settings) -> No
             on_metrics=_keep_metrics(spark, layout.metrics(spec.name)),
         )
 
-    with ThreadPoolExecutor(len(entities.ENTITIES)) as pool:
-        list(pool.map(run, entities.ENTITIES))  # raises what any of them raised
+    with ThreadPoolExecutor(max(1, len(specs))) as pool:
+        list(pool.map(run, specs))  # raises what any of them raised
+    if SERVING not in targets:
+        return
     run_order_enriched(
         spark,
         layout.raw("orders"),
-        serving_table(spark, layout, "order_enriched", settings),
+        serving_table(spark, layout, SERVING, settings),
         entity_table(spark, layout, entities.CUSTOMERS, settings),
         entity_table(spark, layout, entities.RESTAURANTS, settings),
         layout.checkpoint("order_enriched"),
@@ -142,7 +171,9 @@ def transform_all(spark: SparkSession, layout: Layout, settings: Settings) -> No
     )
 
 
-def publish_marts(spark: SparkSession, layout: Layout, settings: Settings) -> None:
+def publish_marts(
+    spark: SparkSession, layout: Layout, settings: Settings, targets: Collection[str] = ALL_TARGETS
+) -> None:
     """Publish the aggregates over current versions as a new version each.
 
     Those that are kept up are refreshed from what changed; one in which nothing did is not published again.
@@ -153,6 +184,8 @@ def publish_marts(spark: SparkSession, layout: Layout, settings: Settings) -> No
         return entity_table(spark, layout, by_name[name], settings)
 
     for mart in MARTS:
+        if mart.name not in targets:
+            continue
         path = layout.mart(mart.name)
         done = complete_versions(spark, path)
         version = done[-1] + 1 if done else 0
@@ -217,10 +250,17 @@ def expire_all(spark: SparkSession, layout: Layout, settings: Settings) -> None:
         expire_published(spark, layout.mart(mart.name), settings.keep_versions)
 
 
-def run_stages(spark: SparkSession, layout: Layout, settings: Settings) -> None:
-    """One triggered run; a stage that fails stops those after it."""
-    land_all(spark, layout, settings)
-    transform_all(spark, layout, settings)
-    publish_marts(spark, layout, settings)
-    sync_serving(spark, layout, settings)
+def run_stages(
+    spark: SparkSession, layout: Layout, settings: Settings, targets: Collection[str] = ALL_TARGETS
+) -> None:
+    """One triggered run; a stage that fails stops those after it.
+
+    ``targets`` names tables, aggregates or the serving table; what they are made of is brought up to date
+    as well, and the rest is left as it was.
+    """
+    land_all(spark, layout, settings, targets)
+    transform_all(spark, layout, settings, targets)
+    publish_marts(spark, layout, settings, targets)
+    if SERVING in targets:
+        sync_serving(spark, layout, settings)
     expire_all(spark, layout, settings)
