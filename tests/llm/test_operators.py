@@ -271,6 +271,26 @@ def found_by_hand(rows, items):
     return out
 
 
+def test_hashing_holds_a_bounded_piece_of_the_text(monkeypatch):
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from tidemark.llm import blocks
+
+    text = "word " + " ".join(f"W{i}" + "x" * (i % 40) for i in range(60_000))
+    words, = blocks.word_chunks(pa.array([text]), blocks.ALNUM)
+    words.hashes()
+    tracemalloc.start()
+    whole = words.hashes()
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 15 * len(text)
+    monkeypatch.setattr(blocks, "HASH_BYTES", 7)
+    few, = blocks.word_chunks(pa.array([text[:2000]]), blocks.ALNUM)
+    assert few.hashes()[:-1].tolist() == whole[: len(few.start) - 1].tolist()
+
+
 @pytest.mark.parametrize("most", [1, 7, 50])
 def test_an_index_is_cut_without_loss(monkeypatch, most):
     monkeypatch.setattr(decontaminate, "INDEX_WORDS", most)

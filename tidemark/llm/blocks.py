@@ -18,6 +18,7 @@ import pyarrow.compute as pc
 
 U64 = np.uint64
 CHUNK_BYTES = 2_000_000
+HASH_BYTES = 250_000  # hashed at a time, since that takes fifty times as much memory
 
 
 def byte_class(members) -> np.ndarray:
@@ -91,14 +92,15 @@ class Words:
 
     def hashes(self, lower: bool = True) -> np.ndarray:
         """64-bit hash of each word, of its lower-cased ASCII letters if asked."""
-        if not len(self.start):
-            return np.zeros(0, U64)
         size = self.end - self.start
-        at = np.repeat(self.start - np.concatenate([[0], np.cumsum(size)[:-1]]), size)
-        index = np.arange(len(at), dtype=np.int64) + at
-        place = index - np.repeat(self.start, size)
-        code = _CODES[lower][self.data[index]] * _powers(int(size.max()) + 1)[place]
-        sums = np.add.reduceat(code, np.concatenate([[0], np.cumsum(size)[:-1]]))
+        sums = np.empty(len(size), U64)
+        for first, last in _between(np.concatenate([[0], np.cumsum(size)]), HASH_BYTES):
+            n = size[first:last]
+            before = np.cumsum(n) - n
+            place = np.arange(n.sum(), dtype=np.int64) - np.repeat(before, n)
+            index = np.repeat(self.start[first:last], n) + place
+            code = _CODES[lower][self.data[index]] * _powers(int(n.max()) + 1)[place]
+            sums[first:last] = np.add.reduceat(code, before)
         return mix(sums + size.astype(U64))
 
 

@@ -1,6 +1,6 @@
 """Benchmark decontamination with an FM-index per shard of training text.
 
-Every task cuts its documents into shards of two megabytes and builds an FM-index over the
+Every task cuts its documents into shards of a megabyte and builds an FM-index over the
 words of each. Test phrases, ten consecutive words of an item (or the whole of a
 shorter one), are searched in it backwards, all phrases at once, with ranks from a wavelet
 matrix over the Burrows-Wheeler transform. Occurrences are located by walking back to
@@ -30,7 +30,7 @@ from tidemark.llm.common import stored, unused
 
 PHRASE = 10
 SAMPLE = 8  # every so many positions of a run are kept for locating
-SHARD_BYTES = 2_000_000  # a task holds about a hundred times as much while it indexes one
+SHARD_BYTES = 1_000_000  # a task holds some 25 times as much while it indexes one
 INDEX_WORDS = 1 << 20  # positions of one index; what it takes of memory does not grow with a text
 
 
