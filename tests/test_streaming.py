@@ -1,6 +1,7 @@
 """Streams give the batch answer, also when stopped and started or failing."""
 
 import json
+import time
 from dataclasses import replace
 
 import pytest
@@ -14,6 +15,7 @@ from tidemark.settings import Settings
 from tidemark.sources.changes import RAW_SCHEMA, encode_changes
 from tidemark.sources.manifest import list_paths
 from tidemark.sources.tables import CdcTable, complete_versions, read_published
+from tidemark.streaming import flows
 from tidemark.streaming.flows import route_changes, run_entity, run_order_enriched, valid_events
 from workload import derive
 from workload import queries as registered
@@ -278,3 +280,94 @@ def test_staged_queries_run_anew_what_they_need(spark, monkeypatch):
     assert [n for n in names if list_paths(spark, f"{layouts[1].raw(n)}/*.parquet")] == ["restaurants", "orders"]
     assert stages.topics_for({stages.SERVING}) == {"customers", "restaurants", "orders"}
     assert stages.topics_for(stages.ALL_TARGETS) == set(names)
+
+
+def shuffle_files(spark):
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {f for f in files.mkString("\n").splitlines() if "/shuffle_" in f}
+
+
+def test_a_large_batch_makes_room_part_by_part(spark, log, expected, tmp_path, monkeypatch):
+    """Merged by parts of the buckets, with late events too; what was decoded and shuffled is let go of."""
+    left, merge_parts = [], CdcTable.merge_parts
+
+    def watch(table, events, parts, *rest, **more):
+        def watched():
+            for part in events:
+                left.append(len(list_paths(spark, f"{table.path}/_decoded/_route=valid/_part=*")))
+                yield part
+
+        merge_parts(table, watched(), parts, *rest, **more)
+
+    monkeypatch.setattr(CdcTable, "merge_parts", watch)
+    monkeypatch.setattr(flows, "PART_BYTES", 1)
+    for half in (0, 1):
+        land(log, f"{tmp_path}/raw", half)
+        table = run(spark, tmp_path)
+    assert left == [4, 3, 2, 1] * (len(left) // 4) and len(left) >= 16
+    assert stored(spark, tmp_path, table) == expected
+    assert rows_of(table.current().drop("updated_at")) == rows_of(
+        cdc.current_versions(table.read()).drop("updated_at")
+    )
+    assert not list_paths(spark, f"{table.path}/_decoded*")
+    # Only a first batch is without shuffles that stay in a cache until they are collected.
+    first = CdcTable(spark, f"{tmp_path}/first", ["order_id"], 2, buckets=4)
+    before = shuffle_files(spark)
+    run_entity(spark, entities.ORDERS, f"{tmp_path}/raw", first, f"{tmp_path}/first_checkpoint")
+    for _ in range(100):
+        if not shuffle_files(spark) - before:
+            break
+        time.sleep(0.1)
+    assert not shuffle_files(spark) - before
+    assert rows_of(first.read().drop("updated_at")) == expected[0]
+
+
+def test_an_empty_batch_in_parts_is_a_version(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(flows, "PART_BYTES", 1)
+    spark.createDataFrame([], RAW_SCHEMA).coalesce(1).write.parquet(f"{tmp_path}/raw")
+    rejected = [(None, bytearray(b"{oops"), "t", 0, 1, None, 0)]
+    spark.createDataFrame(rejected, RAW_SCHEMA).write.mode("append").parquet(f"{tmp_path}/raw")
+    seen = {}
+    table = run(spark, tmp_path, on_metrics=seen.__setitem__)
+    assert table.read().count() == 0 and sum(m["rows"] for m in seen.values()) == 1
+    assert spark.read.parquet(f"{tmp_path}/rejects").count() == 1
+
+
+def test_large_topics_are_applied_in_turn(spark, topics, tmp_path, monkeypatch):
+    folder, write, _ = topics
+    if not list_paths(spark, f"{folder}/*"):
+        write(0)
+    running, most, order, apply = [], [], [], stages.run_entity
+
+    def watch(spark, spec, *rest, **more):
+        running.append(spec.name)
+        order.append(spec.name)
+        most.append(len(running))
+        apply(spark, spec, *rest, **more)
+        running.remove(spec.name)
+
+    monkeypatch.setattr(stages, "run_entity", watch)
+    monkeypatch.setattr(stages, "SIDE_BY_SIDE_BYTES", 0)
+    settings = Settings(source_format="parquet", source=str(folder), topic_prefix="delivery.public.", buckets=4)
+    names = {"customers", "restaurants", "products"}
+    stages.run_stages(spark, stages.Layout(str(tmp_path)), settings, names)
+    assert max(most) == 1 and set(order) == names and order[-1] == "restaurants"
+
+
+def test_staged_topics_make_room_once_landed(spark, monkeypatch):
+    layouts, whole = [], registered.run_stages
+
+    def run_stages(spark, layout, *rest):
+        layouts.append(layout)
+        whole(spark, layout, *rest)
+
+    monkeypatch.setattr(registered, "run_stages", run_stages)
+    registered.staged_revenue_by_city(spark, SF_DIR)
+    root = layouts[0].root.rsplit("/", 1)[0]
+    assert not list_paths(spark, f"{root}/topic.*")
+    for name in ("restaurants", "orders"):
+        raw = spark.read.parquet(layouts[0].raw(name))
+        assert raw.count() == derive.topics(spark, SF_DIR)[name][0].count()
+        packed = list_paths(spark, f"{layouts[0].raw(name)}/*.parquet")
+        packed += list_paths(spark, f"{layouts[0].state(name)}/version=*/*/*/*.parquet")
+        assert packed and all(p.endswith(".zstd.parquet") for p in packed)

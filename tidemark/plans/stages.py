@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Collection
+from collections.abc import Callable, Collection
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -13,6 +13,7 @@ from tidemark.plans.maintained import MAINTAINED, Maintained
 from tidemark.plans.marts import MARTS
 from tidemark.settings import Settings
 from tidemark.sources.changes import kafka_options, land_raw, read_changes
+from tidemark.sources.manifest import bytes_below
 from tidemark.sources.tables import (
     CdcTable,
     complete_versions,
@@ -23,6 +24,9 @@ from tidemark.sources.tables import (
 )
 from tidemark.streaming.flows import run_entity, run_order_enriched
 
+# Topics of which more has landed are applied in turn: each fills the cores, and leaves its room to the next.
+SIDE_BY_SIDE_BYTES = 1 << 30
+
 
 @dataclass(frozen=True)
 class Layout:
@@ -141,9 +145,15 @@ def _keep_metrics(spark: SparkSession, path: str):
 def transform_all(
     spark: SparkSession, layout: Layout, settings: Settings, targets: Collection[str] = ALL_TARGETS
 ) -> None:
-    """Apply raw changes to all tables side by side, then to the serving table."""
+    """Apply raw changes to all tables, then to the serving table.
+
+    Small topics are applied side by side, then large ones in turn, the largest first.
+    """
     wanted = tables_for(targets)
+    sizes = {name: bytes_below(spark, layout.raw(name)) for name in wanted}
     specs = [spec for spec in entities.ENTITIES if spec.name in wanted]
+    large = [spec for spec in specs if sizes[spec.name] > SIDE_BY_SIDE_BYTES]
+    small = [spec for spec in specs if spec not in large]
 
     def run(spec: entities.EntitySpec) -> None:
         run_entity(
@@ -156,8 +166,10 @@ def transform_all(
             on_metrics=_keep_metrics(spark, layout.metrics(spec.name)),
         )
 
-    with ThreadPoolExecutor(max(1, len(specs))) as pool:
-        list(pool.map(run, specs))  # raises what any of them raised
+    with ThreadPoolExecutor(max(1, len(small))) as pool:
+        list(pool.map(run, small))  # raises what any of them raised
+    for spec in sorted(large, key=lambda spec: -sizes[spec.name]):
+        run(spec)
     if SERVING not in targets:
         return
     run_order_enriched(
@@ -251,14 +263,20 @@ def expire_all(spark: SparkSession, layout: Layout, settings: Settings) -> None:
 
 
 def run_stages(
-    spark: SparkSession, layout: Layout, settings: Settings, targets: Collection[str] = ALL_TARGETS
+    spark: SparkSession,
+    layout: Layout,
+    settings: Settings,
+    targets: Collection[str] = ALL_TARGETS,
+    on_landed: Callable[[], None] | None = None,
 ) -> None:
     """One triggered run; a stage that fails stops those after it.
 
     ``targets`` names tables, aggregates or the serving table; what they are made of is brought up to date
-    as well, and the rest is left as it was.
+    as well, and the rest is left as it was. ``on_landed`` is called once all records are in the raw tables.
     """
     land_all(spark, layout, settings, targets)
+    if on_landed is not None:
+        on_landed()
     transform_all(spark, layout, settings, targets)
     publish_marts(spark, layout, settings, targets)
     if SERVING in targets:

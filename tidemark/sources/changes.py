@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tidemark.settings import CODEC
 from tidemark.sources.tables import complete_versions
 
 # The columns a Kafka source yields.
@@ -63,6 +64,7 @@ def land_raw(changes: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     return (
         changes.writeStream.format("parquet")
         .outputMode("append")
+        .option("compression", CODEC)
         .option("path", path)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)

@@ -41,6 +41,12 @@ def delete_path(spark: SparkSession, path: str) -> None:
     files.delete(target, True)
 
 
+def bytes_below(spark: SparkSession, path: str) -> int:
+    """The size of all files below a folder; none where there is no folder."""
+    files, target = _system(spark, path)
+    return files.getContentSummary(target).getLength() if files.exists(target) else 0
+
+
 def _read_bytes(spark: SparkSession, path: str) -> bytes:
     files, target = _system(spark, path)
     stream = files.open(target)

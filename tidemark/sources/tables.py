@@ -24,6 +24,7 @@ is how a batch is repeated after a failure. Anything else would lose rows and is
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -34,7 +35,7 @@ from pyspark.sql.window import Window
 from tidemark.operators import cdc
 from tidemark.operators.changefeed import FEED_ARGUMENTS, change_feed, feed_as_changes
 from tidemark.operators.curve import with_curve_key
-from tidemark.settings import SkewLimits
+from tidemark.settings import CODEC, SkewLimits
 from tidemark.sources import manifest
 from tidemark.sources.manifest import DataFile, Manifest, delete_path, list_paths
 
@@ -365,8 +366,15 @@ class CdcTable:
         """
         return F.pmod(F.hash(*(self.bucket_by or self.keys)), F.lit(self.buckets))
 
-    def _partitions(self) -> int:
+    def part(self, parts: int) -> Column:
+        """Which of so many parts of the buckets a row falls into."""
+        return F.pmod(self._bucket(), F.lit(parts))
+
+    def _partitions(self, parts: int = 1) -> int:
+        """As many that all cores are busy, if only a part of the buckets has rows."""
         wanted = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        if parts > 1:
+            wanted = max(wanted, parts * self.spark.sparkContext.defaultParallelism)
         return self.buckets * max(1, -(-wanted // self.buckets))
 
     def bucket_ids(self, rows: DataFrame) -> set[int]:
@@ -426,20 +434,49 @@ class CdcTable:
         names who writes, such as a streaming query; only it may write the version again. ``note`` is
         kept in the version's manifest.
         """
+        self.merge_parts([events], 1, version, one_per_key=one_per_key, writer=writer, note=note)
+
+    def merge_parts(
+        self,
+        events: Iterable[DataFrame],
+        parts: int,
+        version: int,
+        *,
+        one_per_key: bool = False,
+        writer: str | None = None,
+        note: dict | None = None,
+    ) -> None:
+        """As :meth:`merge`, a part of the buckets after another, see :meth:`part`.
+
+        What a part is shuffled and sorted with is let go of before the next, which is asked for then. The
+        version counts once all are written.
+        """
         self._check_version(version, writer)
         before = self.version_before(version)
         stored = self.manifest(before) if before is not None else None
         layers: dict[int, int] = {}
         for bucket, _, _ in {(f.bucket, f.version, f.kind in (OPEN, DELTA)) for f in stored.files} if stored else ():
             layers[bucket] = layers.get(bucket, 0) + 1
-        touched = self.bucket_ids(events) if stored else set()
-        folded = {b for b in touched if layers.get(b, 0) > self.rewrite_every}
-        if self.scd_type == 1:
-            fresh = events if one_per_key else cdc.latest(events, self.keys)
-            state = self._merged_latest(fresh, stored, folded)
-        else:
-            state = self._merged_history(events, stored, touched, folded)
-        self._write(state, version, stored, folded, writer, note or {})
+        again = version in self.versions()
+        name = f"version={version}" + (f"-{uuid.uuid4().hex[:8]}" if again else "")
+        rewritten: set[int] = set()
+        state = None
+        for part in events:
+            touched = self.bucket_ids(part) if stored else set()
+            folded = {b for b in touched if layers.get(b, 0) > self.rewrite_every}
+            mode = "overwrite" if state is None else "append"
+            if self.scd_type == 1:
+                fresh = part if one_per_key else cdc.latest(part, self.keys)
+                state = self._merged_latest(fresh, stored, folded, parts)
+            else:
+                state = self._merged_history(part, stored, touched, folded, parts)
+            schema = self._write(state, f"{self.path}/{name}", mode, version)
+            rewritten |= folded
+        written = self.spark.read.schema(schema).parquet(f"{self.path}/{name}")
+        new = manifest.written_files(written, name, version, cdc.START, cdc.END)
+        kept = [f for f in stored.files if f.bucket not in rewritten] if stored else []
+        columns = state.drop("kind").schema.json()
+        manifest.commit(self.spark, self.path, Manifest(version, writer, columns, [*kept, *new], note or {}))
 
     def _inside(self, rows: DataFrame, buckets: set[int], *, inverse: bool = False) -> DataFrame:
         if not buckets:
@@ -448,18 +485,18 @@ class CdcTable:
         return rows.filter(~inside if inverse else inside)
 
     def _merged_latest(
-        self, fresh: DataFrame, stored: Manifest | None, folded: set[int]
+        self, fresh: DataFrame, stored: Manifest | None, folded: set[int], parts: int
     ) -> DataFrame:
         """What the batch changes, and the folded buckets whole; late rows lose on reading."""
         kind = self._kind(OPEN, DELTA, stored, folded)
         opened = None
         if folded:
-            parts, _ = self._sides([f for f in stored.files if f.bucket in folded])
-            opened = self._open(parts, stored.schema)
+            files, _ = self._sides([f for f in stored.files if f.bucket in folded])
+            opened = self._open(files, stored.schema)
         if opened is None:
-            return fresh.repartition(self._partitions(), *(self.bucket_by or self.keys)).withColumn("kind", kind)
+            return fresh.repartition(self._partitions(parts), *(self.bucket_by or self.keys)).withColumn("kind", kind)
         both = opened.select(*fresh.columns).unionByName(fresh)
-        merged = cdc.latest(both.repartition(self._partitions(), *(self.bucket_by or self.keys)), self.keys)
+        merged = cdc.latest(both.repartition(self._partitions(parts), *(self.bucket_by or self.keys)), self.keys)
         return merged.withColumn("kind", kind)
 
     def _kind(self, whole: str, part: str, stored: Manifest | None, folded: set[int]) -> Column:
@@ -469,7 +506,7 @@ class CdcTable:
         return F.when(self._bucket().isin(*folded), whole).otherwise(part) if folded else F.lit(part)
 
     def _merged_history(
-        self, events: DataFrame, stored: Manifest | None, touched: set[int], folded: set[int]
+        self, events: DataFrame, stored: Manifest | None, touched: set[int], folded: set[int], parts: int
     ) -> DataFrame:
         """What the batch changes, and the folded buckets whole.
 
@@ -478,10 +515,10 @@ class CdcTable:
         columns = events.columns
         opened = None
         if touched:
-            parts, _ = self._sides([f for f in stored.files if f.bucket in touched])
-            opened = self._open(parts, stored.schema)
+            files, _ = self._sides([f for f in stored.files if f.bucket in touched])
+            opened = self._open(files, stored.schema)
         if opened is None:
-            closed = cdc.history(events, self.keys, self.limits, partitions=self._partitions())
+            closed = cdc.history(events, self.keys, self.limits, partitions=self._partitions(parts))
             ended = self._kind(BASE, ADD, stored, folded)
             kind = F.when(F.col(cdc.END).isNull(), self._kind(OPEN, DELTA, stored, folded)).otherwise(ended)
             return closed.withColumn("kind", kind)
@@ -531,7 +568,7 @@ class CdcTable:
         for rows in counted[1:]:
             measured = measured.unionByName(rows.select(*self.keys, cdc.START))
         closed = cdc.history(
-            inputs, self.keys, self.limits, measured, self._partitions(), previous=_PREVIOUS
+            inputs, self.keys, self.limits, measured, self._partitions(parts), previous=_PREVIOUS
         )
         whole = self._bucket().isin(*folded) if folded else F.lit(False)
         changed = ~(F.col(cdc.STORED) & F.col(cdc.END).eqNullSafe(F.col(cdc.OLD_END)))
@@ -546,29 +583,21 @@ class CdcTable:
         )
         return closed.filter(whole | changed).withColumn("kind", kind).drop(cdc.STORED, cdc.OLD_END, _PREVIOUS)
 
-    def _write(
-        self, state: DataFrame, version: int, stored: Manifest | None, folded: set[int], writer: str | None,
-        note: dict,
-    ) -> None:
-        """Write the rows of a version by kind and bucket, then the manifest that makes them count."""
-        again = version in self.versions()
-        name = f"version={version}" + (f"-{uuid.uuid4().hex[:8]}" if again else "")
+    def _write(self, state: DataFrame, folder: str, mode: str, version: int) -> StructType:
+        """Write rows by kind and bucket; they count once a manifest names them. Gives their columns."""
         placed = state.withColumn(_WRITTEN, F.lit(version).cast("long")).withColumn("bucket", self._bucket())
         try:
             (
                 placed.sortWithinPartitions("kind", "bucket", *self.keys, cdc.START)
-                .write.mode("overwrite")
+                .write.mode(mode)
+                .option("compression", CODEC)
                 .partitionBy("kind", "bucket")
-                .parquet(f"{self.path}/{name}")
+                .parquet(folder)
             )
         finally:
             while self._kept:
                 self._kept.pop().unpersist()
-        written = self.spark.read.schema(placed.schema).parquet(f"{self.path}/{name}")
-        new = manifest.written_files(written, name, version, cdc.START, cdc.END)
-        kept = [f for f in stored.files if f.bucket not in folded] if stored else []
-        columns = state.drop("kind").schema.json()
-        manifest.commit(self.spark, self.path, Manifest(version, writer, columns, [*kept, *new], note))
+        return placed.schema
 
     # Changes between versions
 
