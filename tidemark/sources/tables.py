@@ -472,7 +472,7 @@ class CdcTable:
                 state = self._merged_history(part, stored, touched, folded, parts)
             schema = self._write(state, f"{self.path}/{name}", mode, version)
             rewritten |= folded
-        written = self.spark.read.schema(schema).parquet(f"{self.path}/{name}")
+        written = state.sparkSession.read.schema(schema).parquet(f"{self.path}/{name}")
         new = manifest.written_files(written, name, version, cdc.START, cdc.END)
         kept = [f for f in stored.files if f.bucket not in rewritten] if stored else []
         columns = state.drop("kind").schema.json()
